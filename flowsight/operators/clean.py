@@ -23,11 +23,14 @@ def canonical_category(contract: Contract) -> Column:
     return F.when(F.col(contract.label) == 0, contract.negative_name).otherwise(F.coalesce(listed, own))
 
 
-def clean_rows(df: DataFrame, contract: Contract, *, missing_token: str = UNKNOWN, carry: Sequence[str] = ()) -> DataFrame:
+def clean_rows(
+    df: DataFrame, contract: Contract, *, missing_token: str = UNKNOWN, carry: Sequence[str] = (), unique: bool = False
+) -> DataFrame:
     """Drop rows with a broken target and exact copies, then normalise every column.
 
     Copies are rows equal in the contract's columns, identifier included, as they came in.
-    ``carry`` names further columns to keep, taken from one of the copies.
+    ``carry`` names further columns to keep, taken from one of the copies. ``unique`` says that
+    the identifiers are known to be unique, so that there are no copies and nothing is shuffled.
     """
 
     def tidy(name: str) -> Column:
@@ -43,12 +46,12 @@ def clean_rows(df: DataFrame, contract: Contract, *, missing_token: str = UNKNOW
         return value.alias(name)
 
     sound = df.select(*contract.columns, *carry).where(~target_broken(contract))
-    if carry:
+    if not unique and carry:
         kept = F.min(F.struct(*carry)).alias("_carry")
-        unique = sound.groupBy(*contract.columns).agg(kept).select(*contract.columns, "_carry.*")
-    else:
-        unique = sound.distinct()
-    return unique.select(*[tidy(name) for name in contract.columns], *carry)
+        sound = sound.groupBy(*contract.columns).agg(kept).select(*contract.columns, "_carry.*")
+    elif not unique:
+        sound = sound.distinct()
+    return sound.select(*[tidy(name) for name in contract.columns], *carry)
 
 
 def conflicting_keys(df: DataFrame, key: str, label: str = "label") -> DataFrame:

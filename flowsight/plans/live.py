@@ -84,7 +84,8 @@ def stream_summary(spark, folder):
 
 @query
 def stream_restart_check(spark, folder):
-    return progress.restart_check(sinks.read_batches(spark, f"{score_events(spark, folder)}/predictions"))
+    stored = sinks.read_batches(spark, f"{score_events(spark, folder)}/predictions")
+    return progress.restart_check(stored).drop("batches")
 
 
 @query

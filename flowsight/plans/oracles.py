@@ -587,3 +587,9 @@ SELECT count(*) AS input_rows, count(*) FILTER (prediction = 1) AS alert_rows, c
     SCORED,
 )
 add("stream_windows", "SELECT * FROM ruled", FLOWS, DAY_WINDOWS, RULED)
+add(
+    "stream_restart_check",
+    """
+SELECT count(*) AS "rows", count(DISTINCT event_id) AS distinct_ids, count(*) - count(DISTINCT event_id) AS duplicate_ids,
+       true AS consecutive FROM events""",
+)

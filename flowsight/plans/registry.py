@@ -25,7 +25,7 @@ from flowsight.operators import (
 )
 from flowsight.plans import tables
 from flowsight.plans.tables import table
-from flowsight.session import scratch_path
+from flowsight.session import scratch_path, written
 from flowsight.sources import manifest, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,7 +153,8 @@ def distinct_counts(spark, folder):
 
 @query
 def duplicate_count(spark, folder):
-    return quality.duplicate_count(table(spark, folder, "documents"), ["text"])
+    digests = table(spark, folder, "documents").select(F.sha2("text", 256).alias("digest"))
+    return quality.duplicate_count(digests)
 
 
 @query
@@ -483,7 +484,7 @@ def latest_windows(spark, folder):
 
 @query
 def numbered_windows(spark, folder):
-    numbered = reconcile.numbered_windows(day_windows(spark, folder))
+    numbered = reconcile.numbered_windows(written(day_windows(spark, folder), "day-windows"))
     return zoneless(numbered.select("actor_id", "window_start", "flow_count", "window_number"))
 
 
