@@ -85,8 +85,8 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
 
 
 def same_types(left: T.StructType, right: T.StructType) -> bool:
-    """Compare data types only: Parquet does not keep the not-null flag."""
-    return [f.dataType for f in left.fields] == [f.dataType for f in right.fields]
+    """Compare data types only: Parquet does not keep the not-null flags."""
+    return [f.dataType.simpleString() for f in left.fields] == [f.dataType.simpleString() for f in right.fields]
 
 
 # The columns of the flow table, in file order, and their types.

@@ -79,9 +79,10 @@ def threshold_counts(df: DataFrame, thresholds: Iterable[float], *, score: Colum
         F.sum(ones).over(all_steps).alias("all_ones"),
         F.sum(zeros).over(all_steps).alias("all_zeros"),
     )
-    return summed.where(F.col("threshold").isNotNull()).select(
+    counts = summed.where(F.col("threshold").isNotNull()).select(
         "threshold", "tp", "fp", (F.col("all_zeros") - F.col("fp")).alias("tn"), (F.col("all_ones") - F.col("tp")).alias("fn")
     )
+    return counts.sortWithinPartitions("threshold")  # the steps are in one partition already
 
 
 def threshold_curve(

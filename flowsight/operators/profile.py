@@ -105,7 +105,14 @@ def exact_medians(df: DataFrame, column: str, group: str, *, accuracy: int = 10_
 
 def label_correlations(df: DataFrame, columns: Sequence[str], top: int, label: str = "label") -> DataFrame:
     """Columns most correlated with the label, by absolute value; undefined ones are left out."""
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in columns])
+
+    def correlation(column: str) -> Column:
+        # corr itself divides by zero for a constant column, which is an error in ANSI mode
+        x, y = F.col(column).cast("double"), F.col(label).cast("double")
+        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    row = df.agg(*[correlation(c).alias(c) for c in columns])
     pairs = row.select(long_rows([(c, F.col(c)) for c in columns], ("feature", "correlation")))
     finite = ~F.isnan("correlation") & (F.abs("correlation") < float("inf"))
     strength: Column = F.abs("correlation")

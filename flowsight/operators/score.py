@@ -111,9 +111,7 @@ def score_batch(
     _, flat = scored_rows(
         model.transform(df), model_name=lock.model_name, model_sha256=lock.model_sha256, **particulars
     )
-    saved = write_checked(flat, f"{path}/parquet")
-    if saved.count() != df.count():
-        raise ValueError("scoring changed the number of rows")
+    saved = write_checked(flat, f"{path}/parquet", expected_rows=df.count())
     if csv:
         write_csv_report(saved, f"{path}/csv")
     return saved

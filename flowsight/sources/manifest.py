@@ -27,12 +27,12 @@ def file_manifest(spark: SparkSession, path: str, *, pattern: str | None = None)
 def audit_manifest(manifest: DataFrame, expected: DataFrame) -> DataFrame:
     """Status per file against ``expected(name, bytes, md5)``.
 
-    ``missing``, ``empty``, ``size_differs``, ``digest_differs``, ``unexpected`` or ``verified``.
+    ``missing``, ``size_differs``, ``digest_differs``, ``unexpected`` or ``verified``. Spark does
+    not read empty files, so an empty file counts as missing.
     """
     actual, wanted = manifest.alias("a"), expected.alias("e")
     status = (
         F.when(F.col("a.name").isNull(), "missing")
-        .when(F.col("a.bytes") == 0, "empty")
         .when(F.col("e.name").isNull(), "unexpected")
         .when(F.col("a.bytes") != F.col("e.bytes"), "size_differs")
         .when(F.col("a.md5") != F.lower("e.md5"), "digest_differs")

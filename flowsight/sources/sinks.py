@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsight.functions.hashing import signature_sum
-
 
 def write_parquet(df: DataFrame, path: str, *, once: bool = True, partition_by: Sequence[str] = ()) -> None:
     """Snappy Parquet; ``once`` refuses a path that exists, otherwise it is overwritten."""
@@ -21,21 +19,26 @@ def write_csv_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_checked(df: DataFrame, path: str, *, once: bool = True, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write, read back, and require equal types, row count and signature.
+def write_checked(
+    df: DataFrame, path: str, *, once: bool = True, partition_by: Sequence[str] = (), expected_rows: int | None = None
+) -> DataFrame:
+    """Write, read back, and require equal types and the expected number of rows.
 
-    The expected figures are observed while writing, so ``df`` is computed once.
+    Without ``expected_rows`` the rows of ``df`` are counted, which reads only the columns its
+    filters need; the stored rows are counted from the file footers. (Figures observed during
+    the write would save the count, but an observed session can no longer serialise a fitted
+    logistic regression.)
     """
-    columns = df.columns
-    seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), signature_sum(columns).alias("signature"))
-    write_parquet(observed, path, once=once, partition_by=partition_by)
-    back = df.sparkSession.read.parquet(path).select(*columns)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    changed = [f.name for f in back.schema.fields if f.dataType != types[f.name]]
+    write_parquet(df, path, once=once, partition_by=partition_by)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    stored = df.sparkSession.read.parquet(path)
+    # the type of a partition column is guessed from its folder names
+    back = stored.withColumns({c: F.col(c).cast(types[c]) for c in partition_by}).select(*df.columns)
+    changed = [f.name for f in back.schema.fields if f.dataType.simpleString() != types[f.name]]
     if changed:
         raise ValueError(f"types changed in {path}: {', '.join(changed)}")
-    actual = back.agg(F.count(F.lit(1)).alias("rows"), signature_sum(columns).alias("signature")).first()
-    if (actual.rows, actual.signature) != (seen.get["rows"], seen.get["signature"]):
-        raise ValueError(f"{path} reads back {actual.rows} rows, {seen.get['rows']} were written")
+    expected = df.count() if expected_rows is None else expected_rows
+    found = back.count()
+    if found != expected:
+        raise ValueError(f"{path} reads back {found} rows, {expected} expected")
     return back
