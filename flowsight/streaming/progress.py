@@ -19,7 +19,7 @@ def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
 
     Spark keeps a bounded number of recent reports. The rate is NULL for an empty batch.
     """
-    reports = [(json.dumps(item) if isinstance(item, dict) else item.json,) for item in progress]
+    reports = [(item.json if hasattr(item, "json") else json.dumps(item),) for item in progress]
     parsed = spark.createDataFrame(reports, "report string").select(F.from_json("report", PROGRESS_SCHEMA).alias("p"))
     seconds = F.coalesce(F.col("p.durationMs")["triggerExecution"], F.lit(0)) / 1000.0
     rows = F.coalesce("p.numInputRows", F.lit(0))
