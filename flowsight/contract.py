@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-_TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
 
 
 def ddl(text: str) -> T.StructType:

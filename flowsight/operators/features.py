@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame
 
 from flowsight.contract import FLOW, Contract
 from flowsight.operators.windows import SESSION_FEATURES
@@ -32,6 +33,10 @@ def feature_stages(contract: Contract = FLOW) -> list:
     ]
 
 
+def fit_features(rows: DataFrame, contract: Contract = FLOW) -> PipelineModel:
+    return Pipeline(stages=feature_stages(contract)).fit(rows)
+
+
 def logistic(
     *, label: str = "label", max_iter: int = 50, tol: float = 1e-6, reg: float = 0.0, elastic_net: float = 0.0, weight: str | None = None
 ) -> LogisticRegression:

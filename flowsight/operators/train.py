@@ -6,7 +6,7 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +45,11 @@ def with_class_weights(df: DataFrame, weights: Mapping[int, float], *, label: st
 
 @dataclass(frozen=True)
 class Candidate:
-    """A named pipeline, and whether its classifier is fitted with class weights."""
+    """A named classifier, and whether it is fitted with class weights."""
 
     name: str
     family: str
-    pipeline: Pipeline
+    classifier: Estimator
     weighted: bool = False
 
 
@@ -83,16 +83,21 @@ def details_table(df: DataFrame, name: str, model: Model) -> DataFrame:
 
 
 def fit_candidate(
-    candidate: Candidate, train: DataFrame, validation: DataFrame, *, thresholds: Sequence[float] = THRESHOLDS,
-    metric: str = "f1", label: str = "label",
+    candidate: Candidate, prepared: PipelineModel, train: DataFrame, validation: DataFrame, *,
+    thresholds: Sequence[float] = THRESHOLDS, metric: str = "f1", label: str = "label",
 ) -> Fitted:
-    """Fit on train, choose the threshold on validation; the report is one row."""
+    """Fit on train, choose the threshold on validation; the report is one row.
+
+    ``prepared`` are the fitted feature stages, which candidates share; the resulting model is
+    those stages followed by the classifier.
+    """
     rows = train
     if candidate.weighted:
         weights = {row.label: row.weight for row in class_weights(train, label).collect()}
         rows = with_class_weights(train, weights, label=label)
     started = time.perf_counter()
-    model = candidate.pipeline.fit(rows)
+    classifier = candidate.classifier.fit(prepared.transform(rows))
+    model = PipelineModel(stages=[*prepared.stages, classifier])
     fitted = time.perf_counter()
     columns = [F.col(label).alias("label"), "rawPrediction", positive_score().alias("score")]
     scores = written(model.transform(validation).select(*columns), "validation-scores")

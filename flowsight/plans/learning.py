@@ -14,7 +14,7 @@ from flowsight.operators import evaluate, features, score, split, train, windows
 from flowsight.operators.sample import seeded_sample
 from flowsight.plans import tables
 from flowsight.plans.registry import DAY, query
-from flowsight.session import scratch_path, written
+from flowsight.session import scratch_path, spread, written
 from flowsight.sources.readers import union_all
 
 
@@ -40,7 +40,7 @@ def fit_and_test(
 
     ``baseline`` names a score column of the test rows that is measured beside the model.
     """
-    model = pipeline.fit(parts["train"])
+    model = pipeline.fit(spread(parts["train"]))
     chosen = choose(evaluate.threshold_curve(model.transform(parts["validation"]), thresholds, label=label))
     chosen = written(chosen, "chosen-threshold")
     threshold = chosen.first().threshold
@@ -55,46 +55,49 @@ def fit_and_test(
 
 
 def compare_candidates(
-    candidates: Sequence[train.Candidate], training: DataFrame, validation: DataFrame, *, thresholds: Sequence[float] = evaluate.THRESHOLDS,
-    metric: str = "f1", label: str = "label",
+    candidates: Sequence[train.Candidate], training: DataFrame, validation: DataFrame, contract: Contract = FLOW, *,
+    thresholds: Sequence[float] = evaluate.THRESHOLDS, metric: str = "f1",
 ) -> tuple[train.Fitted, DataFrame]:
-    """Fit every candidate on the same rows; the winner, and one row per candidate."""
-    fitted = {
-        c.name: train.fit_candidate(c, training, validation, thresholds=thresholds, metric=metric, label=label) for c in candidates
-    }
+    """Fit every candidate on the same rows; the winner, and one row per candidate.
+
+    The feature stages do not depend on the classifier and are fitted once.
+    """
+    training, validation = spread(training), spread(validation)
+    prepared = features.fit_features(training, contract)
+    options = dict(thresholds=thresholds, metric=metric, label=contract.label)
+    fitted = {c.name: train.fit_candidate(c, prepared, training, validation, **options) for c in candidates}
     reports = written(union_all([f.report for f in fitted.values()]), "candidates")
     return fitted[train.best_candidate(reports, metric).first().name], reports
 
 
-def default_candidates(contract: Contract = FLOW) -> list[train.Candidate]:
+def default_candidates(label: str = "label") -> list[train.Candidate]:
     """Plain and weighted logistic regression, and two forests."""
-
-    def model(classifier):
-        return features.contract_model(contract, classifier)
-
-    weighted = features.logistic(label=contract.label, weight="class_weight")
     return [
-        train.Candidate("logistic_unweighted", "logistic", model(features.logistic(label=contract.label))),
-        train.Candidate("logistic_balanced", "logistic", model(weighted), weighted=True),
-        train.Candidate("forest_depth8", "forest", model(features.forest(30, 8, label=contract.label))),
-        train.Candidate("forest_depth12", "forest", model(features.forest(50, 12, label=contract.label))),
+        train.Candidate("logistic_unweighted", "logistic", features.logistic(label=label)),
+        train.Candidate("logistic_balanced", "logistic", features.logistic(label=label, weight="class_weight"), weighted=True),
+        train.Candidate("forest_depth8", "forest", features.forest(30, 8, label=label)),
+        train.Candidate("forest_depth12", "forest", features.forest(50, 12, label=label)),
     ]
 
 
-def baseline_job(rows: DataFrame, contract: Contract = FLOW, *, fraction: float = 0.2, seed: int = 42) -> train.Fitted:
-    """The logistic baseline with its threshold, on a split that is checked to be disjoint."""
+def disjoint_parts(rows: DataFrame, contract: Contract, fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
     training, validation = split.holdout_split(rows, contract.identifier, fraction=fraction, seed=seed)
     split.require_disjoint(training, validation, contract.identifier)
-    return train.fit_candidate(default_candidates(contract)[0], training, validation, label=contract.label)
+    return training, validation
+
+
+def baseline_job(rows: DataFrame, contract: Contract = FLOW, *, fraction: float = 0.2, seed: int = 42) -> train.Fitted:
+    """The logistic baseline with its threshold, on a split that is checked to be disjoint."""
+    training, validation = disjoint_parts(rows, contract, fraction, seed)
+    return compare_candidates(default_candidates(contract.label)[:1], training, validation, contract)[0]
 
 
 def comparison_job(
     rows: DataFrame, path: str, contract: Contract = FLOW, *, candidates: Sequence[train.Candidate] | None = None, fraction: float = 0.2, seed: int = 42
 ) -> tuple[score.ModelLock, DataFrame]:
     """Compare the candidates, then save and lock the winner with its threshold."""
-    training, validation = split.holdout_split(rows, contract.identifier, fraction=fraction, seed=seed)
-    split.require_disjoint(training, validation, contract.identifier)
-    winner, reports = compare_candidates(candidates or default_candidates(contract), training, validation, label=contract.label)
+    training, validation = disjoint_parts(rows, contract, fraction, seed)
+    winner, reports = compare_candidates(candidates or default_candidates(contract.label), training, validation, contract)
     threshold = winner.report.first().threshold
     lock = score.lock_model(rows.sparkSession, winner.model, path, name=winner.candidate.name, threshold=threshold)
     return lock, reports
@@ -107,9 +110,8 @@ def full_training_job(parts: DataFrame, path: str, contract: Contract = FLOW, *,
     """
     spark = parts.sparkSession
     part = {name: parts.where(F.col("split") == name) for name in split.PARTS}
-    classifier = features.logistic(label=contract.label, max_iter=max_iter)
-    candidate = train.Candidate("logistic", "logistic", features.contract_model(contract, classifier))
-    fitted = train.fit_candidate(candidate, part["train"], part["validation"], label=contract.label)
+    candidate = train.Candidate("logistic", "logistic", features.logistic(label=contract.label, max_iter=max_iter))
+    fitted, _ = compare_candidates([candidate], part["train"], part["validation"], contract)
     threshold = fitted.report.first().threshold
     lock = score.lock_model(spark, fitted.model, f"{path}/locked", name="logistic", threshold=threshold)
     scored = score.decide(fitted.model.transform(part["test"]), threshold, score="attack_score")
@@ -170,29 +172,24 @@ def sampled_job(rows: DataFrame, contract: Contract = FLOW, *, train_rows: int =
     training, validation = split.holdout_split(rows, contract.identifier, fraction=0.2, seed=seed)
     small = written(seeded_sample(training, limit=train_rows, **pick), "train-sample")
     held = written(seeded_sample(validation, limit=validation_rows, **pick), "validation-sample")
-    candidate = train.Candidate("sample_forest", "forest", features.contract_model(contract, features.sample_forest(label=contract.label)))
-    return train.fit_candidate(candidate, small, held, label=contract.label)
+    candidate = train.Candidate("sample_forest", "forest", features.sample_forest(label=contract.label))
+    return compare_candidates([candidate], small, held, contract)[0]
 
 
 # --- named queries ---------------------------------------------------------------------------
 
 
-def quick_candidates() -> list[train.Candidate]:
-    def model(classifier):
-        return features.contract_model(tables.LINE_FEATURES, classifier)
-
-    return [
-        train.Candidate("logistic_balanced", "logistic", model(features.logistic(max_iter=10, weight="class_weight")), weighted=True),
-        train.Candidate("forest", "forest", model(features.forest(5, 5))),
-    ]
-
-
 @query
 def candidate_comparison(spark, folder):
     """A weighted logistic regression and a forest on the same split of all order lines."""
     rows = tables.line_features(spark, folder)
     training, validation = split.holdout_split(rows, "id", fraction=0.2, seed=42)
-    return compare_candidates(quick_candidates(), training, validation)[1].drop("fit_seconds", "predict_seconds")
+    candidates = [
+        train.Candidate("logistic_balanced", "logistic", features.logistic(max_iter=10, weight="class_weight"), weighted=True),
+        train.Candidate("forest", "forest", features.forest(5, 5)),
+    ]
+    reports = compare_candidates(candidates, training, validation, tables.LINE_FEATURES)[1]
+    return reports.drop("fit_seconds", "predict_seconds")
 
 
 @query
@@ -201,7 +198,7 @@ def locked_scores(spark, folder):
     rows = tables.line_features(spark, folder)
     training, _ = split.holdout_split(rows, "id", fraction=0.2, seed=42)
     path = scratch_path(spark, "locked-model")
-    model = features.contract_model(tables.LINE_FEATURES, features.logistic(max_iter=5)).fit(training)
+    model = features.contract_model(tables.LINE_FEATURES, features.logistic(max_iter=5)).fit(spread(training))
     score.lock_model(spark, model, path, name="logistic", threshold=0.5)
     model, lock = score.load_locked(spark, path)
     _, flat = score.scored_rows(

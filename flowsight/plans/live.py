@@ -44,8 +44,7 @@ def window_stream_job(
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    schema = tables.table(spark, folder, name).schema
-    return sources.parquet_stream(spark, folder, schema, max_files=50, pattern=f"{name}*.parquet")
+    return sources.parquet_stream(spark, folder, tables.SCHEMAS[name], max_files=50, pattern=f"{name}*.parquet")
 
 
 def score_events(spark: SparkSession, folder: str) -> str:

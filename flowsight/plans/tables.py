@@ -55,8 +55,24 @@ PAGES = Contract(
 )
 
 
+# The columns of the given tables that the named queries read.
+SCHEMAS = {
+    "orders": ddl(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": ddl(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": ddl("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"),
+    "documents": ddl("doc_id bigint, text string, lang string, source string, n_chars bigint"),
+    "labels": ddl("doc_id bigint, quality int, toxic int"),
+    "pages": ddl("page_id bigint, url string, html string"),
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def line_rows(spark: SparkSession, folder: str) -> DataFrame:

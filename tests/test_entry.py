@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 import verify
+from flowsight.plans import tables
 from tests.conftest import SMALL
 
 
@@ -21,3 +22,8 @@ def test_every_counterpart_has_a_query():
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_its_sql(spark, db, name):
     assert verify.compare(spark, db, name, SMALL) == ""
+
+
+@pytest.mark.parametrize("name", sorted(tables.SCHEMAS))
+def test_given_tables_have_the_stated_columns(spark, name):
+    assert spark.read.parquet(f"{SMALL}/{name}.parquet").schema == tables.SCHEMAS[name]

@@ -44,12 +44,9 @@ def test_identifier_and_targets_are_no_features():
 
 
 def test_comparison_locks_the_winner(spark, rows, tmp_path):
-    def model(classifier):
-        return features.contract_model(SMALL, classifier)
-
     candidates = [
-        train.Candidate("weighted", "logistic", model(features.logistic(max_iter=5, weight="class_weight")), weighted=True),
-        train.Candidate("forest", "forest", model(features.forest(3, 3))),
+        train.Candidate("weighted", "logistic", features.logistic(max_iter=5, weight="class_weight"), weighted=True),
+        train.Candidate("forest", "forest", features.forest(3, 3)),
     ]
     path = str(tmp_path / "final")
     lock, reports = learning.comparison_job(rows, path, SMALL, candidates=candidates)
@@ -150,10 +147,10 @@ def test_window_job_refuses_few_windows_and_beats_no_rule(spark):
 
 
 def test_defaults_of_the_candidates():
-    pipelines = {c.name: c.pipeline.getStages()[-1] for c in learning.default_candidates()}
-    assert isinstance(pipelines["logistic_balanced"], LogisticRegression)
-    assert pipelines["logistic_balanced"].getWeightCol() == "class_weight"
-    assert (pipelines["forest_depth12"].getNumTrees(), pipelines["forest_depth12"].getMaxDepth()) == (50, 12)
+    classifiers = {c.name: c.classifier for c in learning.default_candidates()}
+    assert isinstance(classifiers["logistic_balanced"], LogisticRegression)
+    assert classifiers["logistic_balanced"].getWeightCol() == "class_weight"
+    assert (classifiers["forest_depth12"].getNumTrees(), classifiers["forest_depth12"].getMaxDepth()) == (50, 12)
     assert len(evaluate.THRESHOLDS) == 17 and EVENT_TRUTH_SCHEMA.fieldNames() == ["event_id", "label"]
 
 
