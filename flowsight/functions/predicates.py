@@ -38,17 +38,23 @@ def label_known(name: str) -> Column:
     return surely(F.col(name).isin(0, 1))
 
 
-def target_broken(contract: Contract) -> Column:
-    """No positive id, no 0/1 label, no class name, or a class name that contradicts the label."""
+def target_sound(contract: Contract) -> Column:
+    """A positive id, a 0/1 label, and a class name that agrees with the label; may be NULL.
+
+    For filters, where NULL drops the row: the parts on single columns reach the scan.
+    """
     category = folded(contract.category)
-    is_negative_name = category == contract.negative_name.lower()
-    sound = (
+    return (
         (F.col(contract.identifier) > 0)
         & F.col(contract.label).isin(0, 1)
         & ~category.isin(*BLANKS)
-        & ((F.col(contract.label) == 0) == is_negative_name)
+        & ((F.col(contract.label) == 0) == (category == contract.negative_name.lower()))
     )
-    return ~surely(sound)
+
+
+def target_broken(contract: Contract) -> Column:
+    """No positive id, no 0/1 label, no class name, or a class name that contradicts the label."""
+    return ~surely(target_sound(contract))
 
 
 def outcome(label: str = "label", prediction: str = "prediction") -> Column:

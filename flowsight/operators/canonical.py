@@ -20,11 +20,13 @@ def parsed_tokens(raw: DataFrame, layout: RawLayout) -> DataFrame:
 
 def token_problems(layout: RawLayout) -> list:
     """Two array columns: number fields that are not numbers, and number fields that are blank."""
+    # array_except with NULL drops the empty places and, unlike array_compact, stays in generated code
+    nothing = F.array(F.lit(None).cast("string"))
     malformed = [F.when(~blank(c) & F.col(f"p_{c}").isNull(), F.lit(c)) for c in layout.numeric]
     missing = [F.when(blank(c), F.lit(c)) for c in layout.numeric]
     return [
-        F.array_compact(F.array(*malformed)).alias("malformed_fields"),
-        F.array_compact(F.array(*missing)).alias("missing_fields"),
+        F.array_except(F.array(*malformed), nothing).alias("malformed_fields"),
+        F.array_except(F.array(*missing), nothing).alias("missing_fields"),
     ]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsight.contract import Contract
-from flowsight.functions.predicates import folded, missing_text, target_broken, unusable_number
+from flowsight.functions.predicates import folded, missing_text, target_sound, unusable_number
 from flowsight.operators.quality import key_groups
 from flowsight.session import written
 
@@ -45,7 +45,7 @@ def clean_rows(
             value = F.col(name)
         return value.alias(name)
 
-    sound = df.select(*contract.columns, *carry).where(~target_broken(contract))
+    sound = df.select(*contract.columns, *carry).where(target_sound(contract))
     if not unique and carry:
         kept = F.min(F.struct(*carry)).alias("_carry")
         sound = sound.groupBy(*contract.columns).agg(kept).select(*contract.columns, "_carry.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,40 +56,68 @@ def timed_events(flows: DataFrame, *, watermark_seconds: int | None = WATERMARK_
     return events
 
 
+# An aggregate in two steps: its name, the step over events, and how partial results merge.
+Measure = tuple[str, Column, Callable[[Column], Column]]
+
+
+def flow_measures() -> list[Measure]:
+    def total(column: str) -> Measure:
+        return f"{column}_total", F.sum(F.col(column).cast("double")), F.sum
+
+    def known(column: str) -> Measure:
+        return f"{column}_known", F.count(column), F.sum
+
+    return [
+        ("flows", F.count(F.lit(1)), F.sum),
+        *[step(column) for column in ("sbytes", "dbytes", "dur") for step in (total, known)],
+        ("web_flows", F.count_if(F.col("service") == WEB_SERVICE), F.sum),
+        ("decoy_flows", F.count_if(F.col("destination_port") != WEB_PORT), F.sum),
+    ]
+
+
 def window_features(
     flows: DataFrame,
     *,
     seconds: int = WINDOW_SECONDS,
     watermark_seconds: int | None = WATERMARK_SECONDS,
-    extra: Sequence[Column] = (),
-    extra_names: Sequence[str] = (),
+    extra: Sequence[Measure] = (),
 ) -> DataFrame:
     """One row per experiment, source and tumbling window.
 
-    The actor is the lowest actor id of the window. ``extra`` adds aggregates to the same pass.
+    The actor is the lowest actor id of the window. ``extra`` adds measures to the same pass.
+    A lowest text cannot be kept by a hash aggregate, and sorting all events for it is dear, so a
+    batch first sums up per actor; a stream, which allows one aggregate, goes there directly.
     """
-    length = F.lit(float(seconds))
-    grouped = timed_events(flows, watermark_seconds=watermark_seconds).groupBy(
-        "experiment_id", "source_ip", F.window("event_time", f"{seconds} seconds").alias("span")
-    )
-    features = grouped.agg(
-        F.min("actor_id").alias("actor_id"),
-        F.count(F.lit(1)).cast("double").alias("flow_count"),
-        F.avg("sbytes").alias("mean_sbytes"),
-        F.avg("dbytes").alias("mean_dbytes"),
-        F.avg("dur").alias("mean_duration"),
-        share(F.col("service") == WEB_SERVICE).alias("http_ratio"),
-        share(F.col("destination_port") != WEB_PORT).alias("port_scan_ratio"),
-        *extra,
-    )
-    return (
-        features.withColumn("elapsed_seconds", length)
-        .withColumn("flow_rate", F.col("flow_count") / length)
-        .select(
-            "experiment_id", "source_ip", "actor_id",
-            F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"),
-            *WINDOW_FEATURES, *extra_names,
-        )
+    events = timed_events(flows, watermark_seconds=watermark_seconds)
+    measures = [*flow_measures(), *extra]
+    keys = ["experiment_id", "source_ip", F.window("event_time", f"{seconds} seconds").alias("span")]
+    steps = [step.alias(name) for name, step, _ in measures]
+    actor = F.min("actor_id").alias("actor_id")
+    if flows.isStreaming:
+        summed = events.groupBy(*keys).agg(actor, *steps)
+    else:
+        merged = [merge(F.col(name)).alias(name) for name, _, merge in measures]
+        per_actor = events.groupBy(*keys, "actor_id").agg(*steps)
+        summed = per_actor.groupBy("experiment_id", "source_ip", "span").agg(actor, *merged)
+
+    def mean(column: str) -> Column:
+        return F.try_divide(F.col(f"{column}_total"), F.col(f"{column}_known"))
+
+    features = {
+        "flow_count": F.col("flows").cast("double"),
+        "elapsed_seconds": F.lit(float(seconds)),
+        "flow_rate": F.col("flows") / F.lit(float(seconds)),
+        "mean_sbytes": mean("sbytes"),
+        "mean_dbytes": mean("dbytes"),
+        "mean_duration": mean("dur"),
+        "http_ratio": F.col("web_flows") / F.col("flows"),
+        "port_scan_ratio": F.col("decoy_flows") / F.col("flows"),
+    }
+    return summed.select(
+        "experiment_id", "source_ip", "actor_id",
+        F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"),
+        *[features[name].alias(name) for name in WINDOW_FEATURES],
+        *[name for name, _, _ in extra],
     )
 
 
@@ -139,14 +167,12 @@ def windows_with_labels(flows: DataFrame, truth: DataFrame, *, seconds: int = WI
     """
     unique = flows.dropDuplicates(["event_id"])
     marked = unique.join(truth_per_event(truth), "event_id", "left")
-    labels = [
-        F.coalesce(F.sum("truth_rows"), F.lit(0)).alias("labelled_count"),
-        F.min("low_label").alias("low_label"),
-        F.max("high_label").alias("high_label"),
+    labels: list[Measure] = [
+        ("labelled_count", F.coalesce(F.sum("truth_rows"), F.lit(0)), F.sum),
+        ("low_label", F.min("low_label"), F.min),
+        ("high_label", F.max("high_label"), F.max),
     ]
-    return window_features(
-        marked, seconds=seconds, extra=labels, extra_names=["labelled_count", "low_label", "high_label"]
-    )
+    return window_features(marked, seconds=seconds, extra=labels)
 
 
 def labelled_windows(flows: DataFrame, truth: DataFrame, *, seconds: int = WINDOW_SECONDS) -> DataFrame:
