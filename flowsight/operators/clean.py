@@ -61,12 +61,12 @@ def conflicting_keys(df: DataFrame, key: str, label: str = "label") -> DataFrame
 
 def without_conflicts(df: DataFrame, key: str, label: str = "label") -> DataFrame:
     """Drop every row of a key with contradictory labels."""
-    return df.join(written(conflicting_keys(df, key, label), "conflicting-keys"), key, "left_anti")
+    return df.join(written(conflicting_keys(df, key, label), "conflicting-keys"), key, "left_anti").select(*df.columns)
 
 
 def only_conflicts(df: DataFrame, key: str, label: str = "label") -> DataFrame:
     """The rows that ``without_conflicts`` drops."""
-    return df.join(written(conflicting_keys(df, key, label), "conflicting-keys"), key, "left_semi")
+    return df.join(written(conflicting_keys(df, key, label), "conflicting-keys"), key, "left_semi").select(*df.columns)
 
 
 def single_label_rows(df: DataFrame, key: str, label: str = "label") -> DataFrame:
@@ -77,4 +77,4 @@ def single_label_rows(df: DataFrame, key: str, label: str = "label") -> DataFram
     """
     one_label = F.coalesce(F.col("low_label") == F.col("high_label"), F.lit(False))
     others = written(key_groups(df, key, label).where(~one_label).select(key), "ambiguous-keys")
-    return df.where(F.col(key).isNotNull()).join(others, key, "left_anti")
+    return df.where(F.col(key).isNotNull()).join(others, key, "left_anti").select(*df.columns)

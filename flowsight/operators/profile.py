@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsight.functions.predicates import long_rows
+from flowsight.operators.ranks import group_rank
 from flowsight.session import written
 
 
@@ -80,7 +81,8 @@ def exact_medians(df: DataFrame, column: str, group: str, *, accuracy: int = 10_
     """The exact lower median per group: the value at rank ceil(n / 2).
 
     A first pass brackets the median by two approximate percentiles. The second counts the rows
-    below the bracket and orders only the distinct values inside it, so no group is sorted whole.
+    below the bracket and ranks only the distinct values inside it, so no group is sorted whole.
+    Values are compared as doubles.
     """
     margin = 2.0 / accuracy
     ends = F.percentile_approx(column, F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), accuracy)
@@ -91,16 +93,17 @@ def exact_medians(df: DataFrame, column: str, group: str, *, accuracy: int = 10_
     # one row per group; written, so that its real size decides between broadcast and shuffle
     bracket = written(bracket, "median-brackets")
     placed = known.join(bracket, F.col(group).eqNullSafe(F.col("_group"))).where(F.col(column) <= F.col("high"))
-    inside = F.when(F.col(column) >= F.col("low"), F.col(column))
-    values = placed.groupBy(group, "middle", inside.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(group).orderBy(F.asc_nulls_first("value")))
-    reached = F.col("upto") >= F.col("middle")
-    found = values.withColumn("upto", upto).groupBy(group).agg(
-        F.min(F.when(reached, F.col("value"))).alias("median"),
-        F.count_if(reached & F.col("value").isNull()).alias("missed"),
+    inside = F.when(F.col(column) >= F.col("low"), F.col(column).cast("double"))
+    values = placed.groupBy(group, "low", "high", "middle", inside.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    part = F.floor(F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low")) * 4096)
+    slot = F.when(F.col("value").isNull(), -1).otherwise(F.coalesce(part, F.lit(0)))
+    ranked = group_rank(values, [group], [F.asc_nulls_first("value")], slot, rank="first", weight=F.col("n"))
+    reached = (F.col("first") <= F.col("middle")) & (F.col("middle") < F.col("first") + F.col("n"))
+    found = ranked.where(reached).select(F.col(group).alias("_found"), "value")
+    outside = F.raise_error(F.lit("median outside its bracket"))
+    return bracket.join(found, F.col("_group").eqNullSafe(F.col("_found")), "left").select(
+        F.col("_group").alias(group), F.coalesce("value", outside).alias("median")
     )
-    sound = F.col("median").isNotNull() & (F.col("missed") == 0)
-    return found.select(group, F.when(sound, F.col("median")).otherwise(F.raise_error(F.lit("median outside its bracket"))).alias("median"))
 
 
 def label_correlations(df: DataFrame, columns: Sequence[str], top: int, label: str = "label") -> DataFrame:

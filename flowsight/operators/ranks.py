@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 SLOT, BEFORE, TOTAL = "_slot", "_before", "_group_rows"
 
 
-def slot_sizes(df: DataFrame, group: Sequence[str]) -> DataFrame:
+def slot_sizes(df: DataFrame, group: Sequence[str], weight: Column | None = None) -> DataFrame:
     """Rows per slot, with the rows of earlier slots and of the group."""
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return (
         df.groupBy(*group, SLOT)
-        .agg(F.count(F.lit(1)).alias("_slot_rows"))
+        .agg(size.alias("_slot_rows"))
         .withColumn(BEFORE, F.coalesce(F.sum("_slot_rows").over(earlier), F.lit(0)))
         .withColumn(TOTAL, F.sum("_slot_rows").over(whole))
     )
@@ -35,21 +36,27 @@ def group_rank(
     *,
     rank: str = "rank",
     total: str | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1 in the given order.
 
-    ``slot`` must not decrease along the order, and should split a group into many parts.
+    ``slot`` must not decrease along the order, and should split a group into many parts. A row
+    with a ``weight`` stands for that many equal rows and gets the number of the first of them.
     """
-    slotted = df.withColumn(SLOT, slot)
-    inside = F.row_number().over(Window.partitionBy(*group, SLOT).orderBy(*order))
-    ranked = slotted.withColumn("_inside", inside)
-    sizes = slot_sizes(slotted, group)
-    same = [F.col(f"r.{name}").eqNullSafe(F.col(f"s.{name}")) for name in (*group, SLOT)]
-    kept = [F.col(f"r.{name}") for name in df.columns]
+    # one struct as key: equal also where parts are NULL, and shared by the window and the join
+    key = F.struct(*group, SLOT)
+    slotted = df.withColumn(SLOT, slot).withColumn("_key_of_slot", key)
+    inside = Window.partitionBy("_key_of_slot").orderBy(*order)
+    if weight is None:
+        place = F.row_number().over(inside)
+    else:
+        place = 1 + F.coalesce(F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = slotted.withColumn("_inside", place)
+    sizes = slot_sizes(slotted, group, weight).select(key.alias("_key_of_slot"), BEFORE, TOTAL)
     numbers = [(F.col(BEFORE) + F.col("_inside")).cast("bigint").alias(rank)]
     if total:
         numbers.append(F.col(TOTAL).cast("bigint").alias(total))
-    return ranked.alias("r").join(sizes.alias("s"), same).select(*kept, *numbers)
+    return ranked.join(sizes, "_key_of_slot").select(*df.columns, *numbers)
 
 
 def hex_slot(digest: Column, digits: int = 4) -> Column:

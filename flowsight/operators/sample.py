@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsight.functions.hashing import row_hash
-from flowsight.operators.ranks import BEFORE, SLOT, long_slot, slot_sizes
+from flowsight.operators.ranks import BEFORE, SLOT, group_rank, long_slot, slot_sizes
 from flowsight.session import written
 
 PARTIAL_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -32,7 +32,8 @@ def hash_sample(df: DataFrame, label: str, key: Column, ties: Sequence[Column],
 
     Small ``n`` uses ``first_per_group``. Otherwise the hashes are counted in 65,536 ranges, all
     rows in ranges below the n-th row are kept as they are, and only the range that holds the
-    n-th row is ordered; its copies are counted first, so many equal rows cost one row.
+    n-th row is ordered; its copies are counted first, so many equal rows cost one row, and many
+    different rows of one key are cut into parts again.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -46,16 +47,16 @@ def hash_sample(df: DataFrame, label: str, key: Column, ties: Sequence[Column],
     cuts = written(cuts.select("_label", "last.*"), "sample-cuts")
     candidates = slotted.join(cuts, F.col(label).eqNullSafe(F.col("_label")) & (F.col(SLOT) <= F.col("cut")))
     whole = candidates.where(F.col(SLOT) < F.col("cut")).select(*columns)
-    running = Window.partitionBy(label).orderBy("_key", *ties, row_hash(columns))
-    earlier = F.sum("_copies").over(running.rowsBetween(Window.unboundedPreceding, -1))
+    copies = (
+        candidates.where(F.col(SLOT) == F.col("cut")).groupBy(*columns, "_key", "need").agg(F.count(F.lit(1)).alias("_copies"))
+    )
+    # one identifier may have many different rows, so they are told apart by a hash of the row
+    last_tie = row_hash(columns)
+    slot = F.struct("_key", *ties, long_slot(last_tie))
+    placed = group_rank(copies, [label], [F.col("_key"), *ties, last_tie], slot, rank="_first", weight=F.col("_copies"))
+    left = F.col("need") - F.col("_first") + 1
     cut = (
-        candidates.where(F.col(SLOT) == F.col("cut"))
-        .groupBy(*columns, "_key", "need")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_left", F.col("need") - F.coalesce(earlier, F.lit(0)))
-        .where(F.col("_left") > 0)
-        .withColumn("_take", F.explode(F.sequence(F.lit(1), F.least("_left", "_copies"))))
-        .select(*columns)
+        placed.where(left > 0).withColumn("_take", F.explode(F.sequence(F.lit(1), F.least(left, "_copies")))).select(*columns)
     )
     return whole.unionByName(cut)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowsight.contract import FLOW, RAW_FLOW, Contract, RawLayout
 from flowsight.operators import alerts, canonical, clean, evaluate, features, profile, quality, sample, split
+from flowsight.session import written
 from flowsight.sources import manifest, readers, sinks
 
 
@@ -40,10 +41,12 @@ def bronze_job(
 def silver_job(spark: SparkSession, source: str, target: str, *, contract: Contract = FLOW) -> Stored:
     """Cleaned Parquet; the audit of the result must be clean."""
     bronze = spark.read.parquet(source)
-    rows = sinks.write_checked(clean.clean_rows(bronze, contract), target, once=False)
-    after = quality.cleaning_audit(rows, contract)
+    before = written(quality.cleaning_audit(bronze, contract), "audit-before")
+    kept = before.where(F.col("check_name") == "kept_rows").first()["rows"]
+    rows = sinks.write_checked(clean.clean_rows(bronze, contract), target, once=False, expected_rows=kept)
+    after = written(quality.cleaning_audit(rows, contract), "audit-after")
     quality.require_clean(after)
-    return Stored(rows, {"before": quality.cleaning_audit(bronze, contract), "after": after})
+    return Stored(rows, {"before": before, "after": after})
 
 
 def profile_job(rows: DataFrame, *, contract: Contract = FLOW, top: int = 15, correlations: int = 12) -> dict[str, DataFrame]:

@@ -282,6 +282,7 @@ UNION ALL SELECT 'invalid_labels', count(*) FILTER (label NOT IN (0, 1)), count(
 def audit_sql(source: str) -> str:
     return f"""
 SELECT 'all_rows' AS check_name, '' AS column_name, count(*) AS "rows" FROM {source}
+UNION ALL SELECT 'kept_rows', '', count(*) FROM (SELECT DISTINCT * FROM {source} WHERE {SOUND})
 UNION ALL SELECT 'duplicate_row', '', (SELECT count(*) FROM {source}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source}))
 UNION ALL SELECT 'unusable_number', 'dur', count(*) FILTER (dur IS NULL OR dur < 0) FROM {source}
 UNION ALL SELECT 'unusable_number', 'margin', count(*) FILTER (margin IS NULL OR margin < 0) FROM {source}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"flowsight-{application}-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder of the cluster.
 
@@ -45,8 +51,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="flowsight-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        base = local_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

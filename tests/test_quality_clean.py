@@ -28,7 +28,8 @@ def test_cleaning_audit_counts_each_problem(dirty):
     assert found["broken_target", "label"] == 1
     assert [found["unusable_number", c] for c in ("dur", "rate", "sload")] == [1, 1, 1]
     assert found["missing_text", "service"] == 4
-    assert sum(found.values()) == 4 + 1 + 1 + 3 + 4
+    assert found["kept_rows", ""] == 2
+    assert sum(found.values()) == 4 + 2 + 1 + 1 + 3 + 4
 
 
 def test_clean_rows_normalises_and_passes_its_own_audit(dirty):

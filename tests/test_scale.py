@@ -14,7 +14,7 @@ from tests.conftest import SMALL
 def hot(spark):
     """One key holds a third of the rows; it has one label, the next key has two."""
     key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 1000 == 1, "clash").otherwise(F.concat(F.lit("k"), "id"))
-    label = F.when(F.col("id") % 3 == 0, 1).otherwise((F.col("id") % 2).cast("int"))
+    label = F.when(F.col("id") % 3 == 0, 1).otherwise((F.floor(F.col("id") / 1000) % 2).cast("int"))
     return spark.range(30_000).select("id", key.alias("k"), label.alias("label"))
 
 
@@ -25,6 +25,7 @@ def test_conflicts_with_and_without_broadcast(spark, hot, plan_of, threshold):
     try:
         kept, dropped = clean.without_conflicts(hot, "k"), clean.only_conflicts(hot, "k")
         assert ("BroadcastHashJoin" in plan_of(kept)) == (threshold != "-1")
+        assert kept.columns == hot.columns
         clashes = hot.where("k = 'clash'").count()
         assert dropped.count() == clashes and kept.count() == 30_000 - clashes
         assert kept.where("k = 'hot'").count() == 10_000
@@ -109,6 +110,12 @@ def test_cluster_needs_a_shared_folder():
         scratch_path(Session(), "x")
 
 
+def test_local_session_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr("flowsight.session.CHECKPOINT_KEY", "spark.flowsight.unset")
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
 def test_spread_only_small_tables(spark):
     wide = spark.range(0, 100_000, 1, 8)
     assert spread(wide) is wide

@@ -106,6 +106,18 @@ def test_group_rank_equals_row_number_on_a_hot_group(spark):
         assert {r.n for r in rows if r.g == group} == {len(members)}
 
 
+def test_group_rank_shuffles_its_rows_once(spark, plan_of):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).select("id", (F.col("id") % 2).alias("g"), F.xxhash64("id").alias("h"))
+        plan = plan_of(ranks.group_rank(df, ["g"], [F.col("h")], ranks.long_slot(F.col("h"))))
+        # the window and the join share one shuffle of the rows; the other is of the slot sizes
+        assert plan.count("Exchange hashpartitioning(_key_of_slot") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("n", [10, 1500, 5000])
 def test_hash_sample_takes_the_first_by_hash(spark, n):
     df = spark.range(4000).select("id", (F.col("id") % 3 == 0).cast("int").alias("label"))
@@ -126,10 +138,24 @@ def test_hash_sample_cuts_through_copies(spark):
     assert found.where("id = -1").count() == 1200
 
 
+def test_hash_sample_of_one_key_with_many_different_rows(spark):
+    """A third of the rows share an identifier but differ; the cut falls among them."""
+    df = spark.range(6000).select(
+        F.when(F.col("id") < 2000, -1).otherwise(F.col("id")).alias("id"), F.lit(1).alias("label"), F.col("id").alias("other")
+    )
+    key = F.when(F.col("id") == -1, F.lit(0)).otherwise(F.xxhash64("id"))
+    below = df.where(key < 0).count()
+    found = sample.hash_sample(df, "label", key, [F.col("id")], below + 1200)
+    assert found.distinct().count() == below + 1200
+    hashes = sorted((r.h, r.other) for r in df.where("id = -1").withColumn("h", row_hash(["id", "label", "other"])).collect())
+    assert sorted(r.other for r in found.where("id = -1").collect()) == sorted(other for _, other in hashes[:1200])
+
+
 def test_large_sample_does_not_shuffle_the_rows(spark, plan_of):
     df = spark.range(100_000).select("id", (F.col("id") % 2).cast("int").alias("label"))
     plan = plan_of(sample.hash_sample(df, "label", row_hash(["id"]), [F.col("id")], 20_000))
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    # the rows meet the written cuts by broadcast; only rows of the cut range are shuffled
+    assert plan.count("BroadcastHashJoin") >= 2 and plan.count("Exchange hashpartitioning(label") <= 2
 
 
 def test_small_samples_are_cut_before_the_shuffle(spark, plan_of):
