@@ -57,9 +57,9 @@ def alert_export(
         "false_negatives": lowest_false_negatives(told, errors),
     }
     if groups:
-        parts = [
-            alert_distribution(df, c).select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), "alert_count", "mean_score")
-            for c in groups
-        ]
+        parts = []
+        for column in groups:
+            name, value = F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value")
+            parts.append(alert_distribution(df, column).select(name, value, "alert_count", "mean_score"))
         tables["alert_distribution"] = union_all(parts)
     return tables

@@ -127,7 +127,9 @@ def ranking_measures(df: DataFrame, *, label: str = "label", raw: str = "rawPred
     )
 
 
-def challenge_measures(df: DataFrame, threshold: float, *, mode: str = "training", mode_column: str = "lab_mode", **options) -> DataFrame:
+def challenge_measures(
+    df: DataFrame, threshold: float, *, mode: str = "training", mode_column: str = "lab_mode", **options
+) -> DataFrame:
     """Measures on the runs of a mode that was not trained on; empty if there are none."""
     measured = measure_at(df.where(F.col(mode_column) == mode).drop(mode_column), threshold, **options)
     return measured.where(F.col("total") > 0).select(F.lit(mode).alias("source_mode"), "*")

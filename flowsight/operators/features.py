@@ -24,8 +24,12 @@ def feature_stages(contract: Contract = FLOW) -> list:
     """
     texts = contract.categorical
     indexed, encoded = [f"{c}_index" for c in texts], [f"{c}_onehot" for c in texts]
+    indexers = [
+        StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep", stringOrderType="frequencyDesc")
+        for c, i in zip(texts, indexed)
+    ]
     return [
-        *[StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep", stringOrderType="frequencyDesc") for c, i in zip(texts, indexed)],
+        *indexers,
         OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=False),
         VectorAssembler(inputCols=contract.numeric, outputCol="numbers", handleInvalid="error"),
         StandardScaler(inputCol="numbers", outputCol="scaled_numbers", withMean=False, withStd=True),
@@ -38,7 +42,13 @@ def fit_features(rows: DataFrame, contract: Contract = FLOW) -> PipelineModel:
 
 
 def logistic(
-    *, label: str = "label", max_iter: int = 50, tol: float = 1e-6, reg: float = 0.0, elastic_net: float = 0.0, weight: str | None = None
+    *,
+    label: str = "label",
+    max_iter: int = 50,
+    tol: float = 1e-6,
+    reg: float = 0.0,
+    elastic_net: float = 0.0,
+    weight: str | None = None,
 ) -> LogisticRegression:
     """Logistic regression on features that are already scaled."""
     model = LogisticRegression(

@@ -131,7 +131,10 @@ def imbalance(df: DataFrame, label: str = "label") -> DataFrame:
 
 def table_summary(df: DataFrame, label: str = "label") -> DataFrame:
     """``item, detail, rows``: the columns with their types, and the rows per label."""
-    schema = [(f"column {i} {f.name}", f.dataType.simpleString(), F.lit(None).cast("bigint")) for i, f in enumerate(df.schema.fields, 1)]
+    no_count = F.lit(None).cast("bigint")
+    schema = [
+        (f"column {i} {f.name}", f.dataType.simpleString(), no_count) for i, f in enumerate(df.schema.fields, 1)
+    ]
     names = ("item", "detail", "rows")
     columns = df.sparkSession.range(1).select(long_rows(schema, names))
     labels = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows")).select(

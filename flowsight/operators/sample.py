@@ -61,7 +61,9 @@ def hash_sample(df: DataFrame, label: str, key: Column, ties: Sequence[Column],
     return whole.unionByName(cut)
 
 
-def balanced_sample(df: DataFrame, *, identifier: str, label: str, per_label: int, columns: Sequence[str] | None = None) -> DataFrame:
+def balanced_sample(
+    df: DataFrame, *, identifier: str, label: str, per_label: int, columns: Sequence[str] | None = None
+) -> DataFrame:
     """The same rows every time: first ``per_label`` rows of each label by the hash of all columns."""
     return hash_sample(df, label, row_hash(columns or df.columns), [F.col(identifier)], per_label)
 

@@ -38,7 +38,9 @@ def keyed_part(key: str, *, seed: int = 42, bucket: Bucket = hash_bucket) -> Col
     return F.when(slot < 70, "train").when(slot < 85, "validation").otherwise("test")
 
 
-def keyed_split(df: DataFrame, key: str = "flow_fingerprint", label: str = "label", *, seed: int = 42, bucket: Bucket = hash_bucket) -> DataFrame:
+def keyed_split(
+    df: DataFrame, key: str = "flow_fingerprint", label: str = "label", *, seed: int = 42, bucket: Bucket = hash_bucket
+) -> DataFrame:
     """Add ``split``: copies of a key stay together, keys without exactly one label are left out."""
     return single_label_rows(df, key, label).withColumn("split", keyed_part(key, seed=seed, bucket=bucket))
 

@@ -35,7 +35,9 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return counts.select(F.inline(F.array(entry(0), entry(1))))
 
 
-def with_class_weights(df: DataFrame, weights: Mapping[int, float], *, label: str = "label", weight: str = "class_weight") -> DataFrame:
+def with_class_weights(
+    df: DataFrame, weights: Mapping[int, float], *, label: str = "label", weight: str = "class_weight"
+) -> DataFrame:
     """Attach the weights that were computed on the training rows."""
     if set(weights) != {0, 1} or min(weights.values()) <= 0:
         raise ValueError("positive weights for the labels 0 and 1 are needed")

@@ -51,7 +51,13 @@ def silver_job(spark: SparkSession, source: str, target: str, *, contract: Contr
 
 def profile_job(rows: DataFrame, *, contract: Contract = FLOW, top: int = 15, correlations: int = 12) -> dict[str, DataFrame]:
     """The profile reports of the flow table."""
-    averages = {"avg_source_bytes": "sbytes", "avg_destination_bytes": "dbytes", "avg_rate": "rate", "avg_source_packets": "spkts", "avg_destination_packets": "dpkts"}
+    averages = {
+        "avg_source_bytes": "sbytes",
+        "avg_destination_bytes": "dbytes",
+        "avg_rate": "rate",
+        "avg_source_packets": "spkts",
+        "avg_destination_packets": "dpkts",
+    }
     rates = {f"rate_by_{name}": profile.positive_rate(rows, name, top, contract.label) for name in contract.categorical}
     numbers = profile.numeric_profile(rows, averages=averages, medians={"median_duration": "dur"}, label=contract.label)
     mean_duration = rows.groupBy(contract.label).agg(F.round(F.avg("dur"), 6).alias("avg_duration"))
@@ -106,7 +112,8 @@ def prepare_job(
     reports["tokens"] = quality.token_audit(bronze, layout)
     reports["sources"] = quality.source_counts(bronze)
     if verified_rows is not None:
-        reports["counts"] = quality.require_count(bronze, verified_rows=verified_rows, published_rows=published_rows or verified_rows)
+        published = published_rows or verified_rows
+        reports["counts"] = quality.require_count(bronze, verified_rows=verified_rows, published_rows=published)
     broken = reports["sources"].agg(F.sum("invalid_label_rows")).first()[0]
     if broken:
         raise ValueError(f"{broken} rows without a 0/1 label")
@@ -123,7 +130,9 @@ def prepare_job(
     return Stored(saved, reports)
 
 
-def alert_job(scored: DataFrame, target: str, columns: Sequence[str], *, groups: Sequence[str] = (), limit: int = 200, errors: int = 50) -> dict[str, DataFrame]:
+def alert_job(
+    scored: DataFrame, target: str, columns: Sequence[str], *, groups: Sequence[str] = (), limit: int = 200, errors: int = 50
+) -> dict[str, DataFrame]:
     """The bounded alert tables as Parquet below ``target``, and the confusion measures."""
     tables = alerts.alert_export(scored, columns, alerts=limit, errors=errors, groups=groups)
     tables = {**tables, "measures": evaluate.with_ratios(evaluate.confusion(scored))}

@@ -93,7 +93,13 @@ def baseline_job(rows: DataFrame, contract: Contract = FLOW, *, fraction: float
 
 
 def comparison_job(
-    rows: DataFrame, path: str, contract: Contract = FLOW, *, candidates: Sequence[train.Candidate] | None = None, fraction: float = 0.2, seed: int = 42
+    rows: DataFrame,
+    path: str,
+    contract: Contract = FLOW,
+    *,
+    candidates: Sequence[train.Candidate] | None = None,
+    fraction: float = 0.2,
+    seed: int = 42,
 ) -> tuple[score.ModelLock, DataFrame]:
     """Compare the candidates, then save and lock the winner with its threshold."""
     training, validation = disjoint_parts(rows, contract, fraction, seed)
@@ -103,7 +109,27 @@ def comparison_job(
     return lock, reports
 
 
-def full_training_job(parts: DataFrame, path: str, contract: Contract = FLOW, *, max_iter: int = 25) -> tuple[score.ModelLock, DataFrame, DataFrame]:
+def lock_winner(
+    fitted: train.Fitted, reports: DataFrame, path: str, *, name: str, threshold: float, trees: int | None = None
+) -> score.ModelLock:
+    """Lock a model whose name, threshold and number of trees were stated beforehand.
+
+    They must be those of the best candidate of the reports and of the model itself.
+    """
+    best = train.best_candidate(reports).first()
+    found = {"candidate": best.name, "model": fitted.candidate.name, "threshold": best.threshold}
+    stated = {"candidate": name, "model": name, "threshold": float(threshold)}
+    if trees is not None:
+        found["trees"], stated["trees"] = train.model_details(fitted.model.stages[-1]).get("trees"), float(trees)
+    differing = [key for key in stated if stated[key] != found[key]]
+    if differing:
+        raise ValueError(f"not the selected model: {', '.join(differing)} differ from {found}")
+    return score.lock_model(reports.sparkSession, fitted.model, path, name=name, threshold=threshold)
+
+
+def full_training_job(
+    parts: DataFrame, path: str, contract: Contract = FLOW, *, max_iter: int = 25
+) -> tuple[score.ModelLock, DataFrame, DataFrame]:
     """Fit on the saved train part, lock the threshold on validation, score the test part once.
 
     Returns the lock, the scored test rows and their measures.
@@ -115,8 +141,8 @@ def full_training_job(parts: DataFrame, path: str, contract: Contract = FLOW, *,
     threshold = fitted.report.first().threshold
     lock = score.lock_model(spark, fitted.model, f"{path}/locked", name="logistic", threshold=threshold)
     scored = score.decide(fitted.model.transform(part["test"]), threshold, score="attack_score")
-    kept = [c for c in ("id", "source_file", "attack_cat", "label", "prediction", "attack_score", "proto", "service") if c in scored.columns]
-    scored.select(*kept).write.mode("errorifexists").parquet(f"{path}/test")
+    wanted = "id source_file attack_cat label prediction attack_score proto service".split()
+    scored.select(*[c for c in wanted if c in scored.columns]).write.mode("errorifexists").parquet(f"{path}/test")
     stored = spark.read.parquet(f"{path}/test")
     measures = evaluate.with_ratios(evaluate.confusion(stored))
     if measures.first().total != part["test"].count():
@@ -146,12 +172,13 @@ def challenge_audit(model: PipelineModel, sessions: DataFrame, threshold: float)
     return measured
 
 
-def window_job(parts: Mapping[str, DataFrame], experiments: Mapping[str, str], *, least: int = 5, trees: int = 30, depth: int = 5) -> Trained:
+def window_job(
+    parts: Mapping[str, DataFrame], experiments: Mapping[str, str], *, least: int = 5, trees: int = 30, depth: int = 5
+) -> Trained:
     """The window classifier on labelled windows of three experiments, beside the rule."""
     stored = {name: written(df, f"windows-{name}") for name, df in parts.items()}
-    counts = union_all(
-        [df.groupBy("label").agg(F.count(F.lit(1)).alias("windows")).select(F.lit(name).alias("split"), "*") for name, df in stored.items()]
-    )
+    marked = union_all([df.select(F.lit(name).alias("split"), "label") for name, df in stored.items()])
+    counts = marked.groupBy("split", "label").agg(F.count(F.lit(1)).alias("windows"))
     short = split.experiment_check(experiments, counts, least=least).where(~F.col("enough")).collect()
     if short:
         raise ValueError("too few labelled windows: " + ", ".join(f"{r.split} {r.label} {r.windows}" for r in short))
@@ -166,7 +193,9 @@ def flow_job(rows: DataFrame, *, fraction: float = 0.2, seed: int = 42, trees: i
     return fit_and_test(features.flow_model(trees=trees, depth=depth), parts, thresholds=evaluate.THRESHOLDS)
 
 
-def sampled_job(rows: DataFrame, contract: Contract = FLOW, *, train_rows: int = 12_000, validation_rows: int = 3_000, seed: int = 42) -> train.Fitted:
+def sampled_job(
+    rows: DataFrame, contract: Contract = FLOW, *, train_rows: int = 12_000, validation_rows: int = 3_000, seed: int = 42
+) -> train.Fitted:
     """A small forest on label-balanced samples of both parts."""
     pick = dict(identifier=contract.identifier, label=contract.label, seed=seed)
     training, validation = split.holdout_split(rows, contract.identifier, fraction=0.2, seed=seed)
@@ -201,9 +230,9 @@ def locked_scores(spark, folder):
     model = features.contract_model(tables.LINE_FEATURES, features.logistic(max_iter=5)).fit(spread(training))
     score.lock_model(spark, model, path, name="logistic", threshold=0.5)
     model, lock = score.load_locked(spark, path)
-    _, flat = score.scored_rows(
-        model.transform(rows), threshold=lock.decision_threshold, run_id="run", scored_at="", model_name=lock.model_name, model_sha256=lock.model_sha256
-    )
+    named = dict(run_id="run", scored_at="", model_name=lock.model_name, model_sha256=lock.model_sha256)
+    scored = model.transform(spread(rows, store=False))
+    flat = score.scored_rows(scored, threshold=lock.decision_threshold, **named)[1]
     return flat.drop("run_id", "scored_at", "model_sha256")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from flowsight.operators.score import load_locked
 from flowsight.operators.windows import WINDOW_FEATURES, rule_score
@@ -14,7 +15,9 @@ from flowsight.session import scratch_path
 from flowsight.streaming import progress, queries, sinks, sources
 
 
-def scoring_job(spark: SparkSession, *, input_path: str, output: str, checkpoint: str, lock_path: str, name: str, max_files: int = 1) -> DataFrame:
+def scoring_job(
+    spark: SparkSession, *, input_path: str, output: str, checkpoint: str, lock_path: str, name: str, max_files: int = 1
+) -> DataFrame:
     """Score everything that has arrived with a locked model; returns the progress rows.
 
     Called again with the same checkpoint it goes on with the files that arrived since.
@@ -30,9 +33,16 @@ def scoring_job(spark: SparkSession, *, input_path: str, output: str, checkpoint
 
 
 def window_stream_job(
-    spark: SparkSession, *, input_path: str, output: str, checkpoint: str, model: PipelineModel, threshold: float, name: str,
+    spark: SparkSession,
+    *,
+    input_path: str,
+    output: str,
+    checkpoint: str,
+    model: PipelineModel,
+    threshold: float,
+    name: str,
     seconds: int | None = None,
-):
+) -> StreamingQuery:
     """Score the windows of the live flows as they change; returns the running query."""
     sources.check_paths(input=input_path, output=output, checkpoint=checkpoint)
     flows = sources.event_stream(spark, input_path)

@@ -387,8 +387,8 @@ def best_candidate(spark, folder):
     reports = []
     for name, score in scores.items():
         curve = evaluate.threshold_curve(events.withColumn("score", score), score="score")
-        named = evaluate.best_threshold(curve).withColumns({"name": F.lit(name), "predict_seconds": F.lit(0.0), "fit_seconds": F.lit(0.0)})
-        reports.append(named)
+        extra = {"name": F.lit(name), "predict_seconds": F.lit(0.0), "fit_seconds": F.lit(0.0)}
+        reports.append(evaluate.best_threshold(curve).withColumns(extra))
     chosen = train.best_candidate(readers.union_all(reports))
     return rounded(chosen.select("name", "threshold", "f1", "recall", "false_positive_rate"), 9)
 

@@ -40,7 +40,7 @@ PAGE_TOKENS = RawLayout(
     longs=frozenset(),
     doubles=frozenset(),
     texts=frozenset({"host", "proto", "state", "service", "attack_cat"}),
-    renames={c.lower(): c for c in ("sport", "dsport", "proto", "state", "service", "dur", "Spkts", "Dpkts", "attack_cat", "label")},
+    renames={c.lower(): c for c in "sport dsport proto state service dur Spkts Dpkts attack_cat label".split()},
 )
 
 PAGES = Contract(
@@ -58,7 +58,8 @@ PAGES = Contract(
 # The columns of the given tables that the named queries read.
 SCHEMAS = {
     "orders": ddl(
-        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
     ),
     "lineitem": ddl(
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "

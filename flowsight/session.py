@@ -66,15 +66,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
-    """A copy in more partitions if ``df`` has fewer of them than the cluster has cores.
+def spread(df: DataFrame, rows_per_task: int = 20_000, *, store: bool = True) -> DataFrame:
+    """More partitions if ``df`` has fewer of them than the cluster has cores.
 
-    For input of repeated passes, such as a fit: a table of few file splits would keep most cores
-    idle in each of them. Larger tables are returned as they are.
+    A table of few file splits would keep most cores idle in a costly pass, such as scoring.
+    ``store`` writes the copy, for the repeated passes of a fit. Larger tables are returned as
+    they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     parts = df.rdd.getNumPartitions()
     if parts >= cores:
         return df
     wanted = min(cores, df.count() // rows_per_task + 1)
-    return written(df.repartition(wanted), "spread") if wanted > parts else df
+    if wanted <= parts:
+        return df
+    return written(df.repartition(wanted), "spread") if store else df.repartition(wanted)

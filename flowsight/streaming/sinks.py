@@ -16,7 +16,8 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """A batch owns its folder, so a repeated batch replaces its own output only."""
-    df.withColumn("stream_batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(batch_folder(path, batch_id))
+    named = df.withColumn("stream_batch_id", F.lit(batch_id).cast("bigint"))
+    named.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

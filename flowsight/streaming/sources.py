@@ -25,7 +25,9 @@ def parquet_stream(
     return with_file_name(reader.parquet(path))
 
 
-def event_stream(spark: SparkSession, path: str, schema: T.StructType = FLOW_EVENT_SCHEMA, *, max_files: int = 50, mode: str = "live") -> DataFrame:
+def event_stream(
+    spark: SparkSession, path: str, schema: T.StructType = FLOW_EVENT_SCHEMA, *, max_files: int = 50, mode: str = "live"
+) -> DataFrame:
     """Recorded flows of a mode from JSON lines."""
     return recorded_flows(spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(path), mode)
 

@@ -65,6 +65,18 @@ def test_comparison_locks_the_winner(spark, rows, tmp_path):
         score.load_locked(spark, path)
 
 
+def test_only_the_selected_model_is_locked(spark, rows, tmp_path):
+    candidate = train.Candidate("forest", "forest", features.forest(2, 2))
+    training, validation = rows.where("id <= 300"), rows.where("id > 300")
+    winner, reports = learning.compare_candidates([candidate], training, validation, SMALL)
+    threshold = winner.report.first().threshold
+    for stated in ({"name": "other"}, {"threshold": threshold + 0.01}, {"trees": 3}):
+        with pytest.raises(ValueError, match="not the selected model"):
+            learning.lock_winner(winner, reports, str(tmp_path / "no"), **{"name": "forest", "threshold": threshold, "trees": 2, **stated})
+    lock = learning.lock_winner(winner, reports, str(tmp_path / "yes"), name="forest", threshold=threshold, trees=2)
+    assert score.load_locked(spark, str(tmp_path / "yes"))[1] == lock
+
+
 def test_scored_rows_decide_at_the_locked_threshold(spark):
     from pyspark.ml.linalg import Vectors, VectorUDT
     from pyspark.sql import types as T

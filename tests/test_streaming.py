@@ -120,6 +120,24 @@ def test_window_state_equals_the_batch_result(spark, tmp_path):
     assert [r.window_start.second for r in newest] == [10]
 
 
+def test_window_model_scores_the_stream(spark, tmp_path):
+    label = (F.col("id") % 2).cast("int")
+    shaped = spark.range(40).select(
+        label.alias("label"), label.cast("double").alias("port_scan_ratio"), F.lit(0.2).alias("flow_rate"), F.lit(1.0).alias("http_ratio")
+    )
+    model = features.window_model(trees=2).fit(shaped)
+    (tmp_path / "in").mkdir()
+    lines = [event("1", 1), event("2", 2), event("3", 3, "s2", destination_port=22), event("4", 4, "s2", destination_port=23)]
+    (tmp_path / "in" / "0.jsonl").write_text("\n".join(lines) + "\n")
+    paths = dict(input_path=str(tmp_path / "in"), output=str(tmp_path / "out"), checkpoint=str(tmp_path / "cp"))
+    query = live.window_stream_job(spark, model=model, threshold=0.5, name="modelled", **paths)
+    query.awaitTermination()
+    current = sinks.current_windows(sinks.read_batches(spark, paths["output"]))
+    assert {r.source_ip: r.prediction for r in current.collect()} == {"s1": 0, "s2": 1}
+    with pytest.raises(ValueError, match="overlap"):
+        live.window_stream_job(spark, model=model, threshold=0.5, name="x", **{**paths, "output": paths["input_path"] + "/o"})
+
+
 def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
     batches = [[event("1", 5), event("2", 100)], [event("late", 6), event("soon", 95)]]
     found, _ = run_files(spark, tmp_path, batches)
