@@ -1,0 +1,148 @@
+import hashlib
+import random
+import re
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from flowsight.llm import exact_dedup, near_dup
+from flowsight.llm.components import component_roots
+from tests.conftest import SMALL
+
+DOCS = "doc_id bigint, text string"
+
+
+def slow_fingerprint(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(prints):
+    """Least id reachable over all pairs of fingerprints, by repeated merging."""
+    distinct = sorted(set(prints.values()))
+    root = {fp: fp for fp in distinct}
+
+    def top(fp):
+        while root[fp] != fp:
+            fp = root[fp]
+        return fp
+
+    for i, a in enumerate(distinct):
+        for b in distinct[:i]:
+            if (a ^ b).bit_count() <= 3:
+                root[top(a)] = top(b)
+    least = {}
+    for key, fp in prints.items():
+        least[top(fp)] = min(key, least.get(top(fp), key))
+    return {key: least[top(fp)] for key, fp in prints.items()}
+
+
+def answers(df):
+    return {row["doc_id"]: (row["fingerprint"], row["component_id"]) for row in df.collect()}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    prints = {row["doc_id"]: slow_fingerprint(row["text"]) for row in docs.collect()}
+    parts = slow_components(prints)
+    assert answers(near_dup.near_duplicates(docs)) == {k: (f"{fp:016x}", parts[k]) for k, fp in prints.items()}
+
+
+@pytest.mark.parametrize("crowd", [1_000, 3, 1])
+def test_dense_ball_loses_no_link(spark, crowd):
+    rng = random.Random(5)
+    center = rng.getrandbits(64)
+    dense = {center ^ sum(1 << b for b in rng.sample(range(0, 64, 9), rng.randint(0, 3))) for _ in range(40)}
+    wide = {center ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for _ in range(40)}
+    chain = [rng.getrandbits(64)]
+    for _ in range(12):
+        chain.append(chain[-1] ^ sum(1 << b for b in rng.sample(range(64), 3)))
+    signed = [fp - (1 << 64) if fp >> 63 else fp for fp in dense | wide | {*chain, 0, 7, 15, 31}]
+    links = near_dup.fingerprint_links(spark.createDataFrame([(fp,) for fp in signed], "fp bigint"), crowd=crowd)
+    got = {frozenset(row) for row in links.collect()}
+    want = {
+        frozenset((a, b)) for a in signed for b in signed
+        if a != b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3
+    }
+    assert got == want
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (4, "a b"), (None, "a  B"), (None, "solo x"), (5, "word " * 100_000)]
+    docs = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], f"{DOCS}, component_id string, fp int")
+    got = [tuple(row) for row in near_dup.near_duplicates(docs).collect()]
+    zero = "0" * 16
+    assert sorted(x for x in got if x[1] == zero) == [(1, zero, 1), (2, zero, 1), (3, zero, 1)]
+    pair = f"{slow_fingerprint('a b'):016x}"
+    assert [x[2] for x in got if x[1] == pair] == [4, 4, 4]
+    assert (None, f"{slow_fingerprint('solo x'):016x}", None) in got
+    assert len(got) == len(rows)
+    assert near_dup.near_duplicates(docs.limit(0)).count() == 0
+    assert {row["doc_id"] for row in near_dup.first_of_each(docs).collect()} == {1, 4, 5, None}
+
+
+def test_components_of_a_path_and_a_hub(spark):
+    path = [(i, i + 1) for i in range(100, 160)]
+    hub = [(1, i) for i in range(2, 50)]
+    got = {tuple(row) for row in component_roots(spark.createDataFrame([*path, *hub, (7, 7)], "u bigint, v bigint")).collect()}
+    assert got == {(i, 100) for i in range(101, 161)} | {(i, 1) for i in range(2, 50)}
+
+
+def slow_exact(rows):
+    groups = {}
+    for key, text in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text or ""), []).append((-len(text or ""), key))
+    return sorted(
+        (key, min(groups[n])[1], len(groups[n]), key == min(groups[n])[1], hashlib.sha256(n.encode()).hexdigest())
+        for key, text in rows for n in [re.sub(r"[\x20\x09-\x0D]", "", text or "")]
+    )
+
+
+def test_exact_duplicates_equal_brute_force(spark):
+    rows = [(i, f"text {i % 7}" + " " * (i % 3)) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "\t"), (103, " "), (104, "é" * 50_000), (104, "é" * 50_000)]
+    docs = spark.createDataFrame([(i, t, "?", 1) for i, t in rows], f"{DOCS}, keep_id string, kept int")
+    got = exact_dedup.exact_duplicates(docs, shard_keys=3, lookup_rows=5)
+    assert sorted(tuple(row) for row in got.collect()) == slow_exact(rows)
+    assert exact_dedup.exact_duplicates(docs.limit(0)).count() == 0
+    stay = exact_dedup.one_of_each(docs)
+    assert stay.columns == docs.columns
+    assert sorted(row["doc_id"] for row in stay.collect()) == sorted({k for k, _, _, kept, _ in slow_exact(rows) if kept})
+
+
+def test_exact_duplicates_without_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (2, "ab"), (3, "a b"), (None, "solo")], DOCS)
+    got = exact_dedup.exact_duplicates(docs).select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(
+        map(str, [(None, 3, 3, False), (2, 3, 3, False), (3, 3, 3, True), (None, None, 1, True)])
+    )
+
+
+def test_history_keeps_its_winners(spark):
+    old = spark.createDataFrame([(1, "a b"), (2, "c")], DOCS)
+    new = spark.createDataFrame([(3, "a  b"), (4, "d"), (5, "d "), (6, "c")], DOCS)
+    history = exact_dedup.winners(exact_dedup.text_digests(old))
+    got = exact_dedup.exact_duplicates(new, history=history).select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert sorted(map(tuple, got)) == [(3, 1, 2, False), (4, 5, 2, False), (5, 5, 2, True), (6, 2, 2, False)]
+
+
+def test_minimal_perfect_hash_is_a_bijection_and_rejects_strangers():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    digests = rng.integers(0, 256, (5_000, 32), dtype=np.uint8)
+    levels, order = exact_dedup.build_hash(digests)
+    assert sorted(order) == list(range(5_000))
+    assert (exact_dedup.find(digests[order], levels, digests[order]) == np.arange(5_000)).all()
+    assert (exact_dedup.find(rng.integers(0, 256, (1_000, 32), dtype=np.uint8), levels, digests[order]) == -1).all()
+
+
+def test_exact_digest_is_over_the_given_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [tuple(row) for row in docs.select("doc_id", "text").collect()]
+    assert sorted(tuple(row) for row in exact_dedup.exact_duplicates(docs).collect()) == slow_exact(rows)
+    assert docs.where(F.col("text").isNull()).count() >= 0
