@@ -25,13 +25,20 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, ARROW_TYPES[kind]) for name, kind in (field.split() for field in ddl.split(","))])
 
 
+def slices(batch: pa.RecordBatch, rows: int = 2_500) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that fewer texts are Python objects at a time."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def map_batches(df: DataFrame, ddl: str, convert: Callable[[list[list]], dict[str, list]]) -> DataFrame:
-    """One output batch for every input batch; ``convert`` gets the columns as lists."""
+    """``convert`` gets the columns of some rows as lists and gives the columns of the result."""
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pydict(convert([column.to_pylist() for column in batch.columns]), schema=schema)
+            for part in slices(batch):
+                yield pa.RecordBatch.from_pydict(convert([column.to_pylist() for column in part.columns]), schema=schema)
 
     return df.mapInArrow(run, ddl)
 
@@ -42,7 +49,8 @@ def filter_batches(df: DataFrame, text: str, keep: Callable[[list[str | None]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = batch.schema.get_field_index(text)
-            yield batch.filter(pa.array(keep(batch.column(place).to_pylist()), pa.bool_()))
+            for part in slices(batch):
+                yield part.filter(pa.array(keep(part.column(place).to_pylist()), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

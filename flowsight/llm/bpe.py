@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsight.llm.batches import required
+from flowsight.llm.batches import required, slices
 from flowsight.llm.merges import MergeTable, merge_words
 from flowsight.llm.words import Memo, Splitter, blocks
 
@@ -63,41 +63,56 @@ def byte_tokens(path: str, pattern: str) -> ByteTokens:
     return ByteTokens(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, ids`` of every row, whole texts without special tokens.
+def id_lists(packed: list[bytes]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in packed])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
-    The corpus is taken in blocks: the distinct matches of the pattern in a block that the worker does
-    not remember are merged together through one index of pairs. A null text counts as empty and has no ids; a null
-    doc_id stays null; repeated rows each have their row; an empty table gives an empty result; other
-    columns are ignored.
-    """
 
+def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str, text: str, with_body: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = byte_tokens(path, pattern)
         for batch in batches:
-            packed = list(tokens.encode([value or "" for value in batch.column(1).to_pylist()]))
-            offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in packed])]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(packed), np.int32))
-            ids = pa.ListArray.from_arrays(pa.array(offsets), values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
+            for part in slices(batch):
+                packed = list(tokens.encode([value or "" for value in part.column(1).to_pylist()]))
+                columns = {"doc_id": part.column(0), "ids": id_lists(packed)}
+                if with_body:
+                    columns["body"] = pa.array([tokens.decode(np.frombuffer(ids, np.int32)) for ids in packed], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
 
     chosen = required(docs, doc_id, text)
-    return chosen.select(chosen[doc_id].cast("bigint"), chosen[text]).mapInArrow(run, "doc_id bigint, ids array<int>")
+    ddl = "doc_id bigint, ids array<int>" + ", body binary" * with_body
+    return chosen.select(chosen[doc_id].cast("bigint"), chosen[text]).mapInArrow(run, ddl)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, ids`` of every row, whole texts without special tokens.
+
+    The corpus is taken in blocks: the distinct matches of the pattern in a block that the worker does
+    not remember are merged together through one index of pairs. A null text counts as empty and has
+    no ids; a null doc_id stays null; repeated rows each have their row; an empty table gives an empty
+    result; other columns are ignored.
+    """
+    return encoded(docs, path, pattern, doc_id, text, False)
+
+
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, ids, body``: ``encode`` and ``decode`` in one pass, with one worker a task."""
+    return encoded(docs, path, pattern, doc_id, text, True)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(ids: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, ids, body``: the bytes that the ids stand for; null ids count as none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = byte_tokens(path, pattern)
         for batch in batches:
             lists = batch.column(1)
-            bodies = [tokens.decode(ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else b"" for ids in lists]
+            bodies = [tokens.decode(row.values.to_numpy(zero_copy_only=False)) if row.is_valid else b"" for row in lists]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), lists, pa.array(bodies, pa.binary())], names=["doc_id", "ids", "body"]
             )
 
-    return required(encoded, "doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, body binary")
+    return required(ids, "doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, body binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from flowsight.llm.batches import arrow_schema, required
+from flowsight.llm.batches import arrow_schema, required, slices
 from flowsight.llm.merges import MergeTable, merge_words
 from flowsight.llm.words import Memo, Splitter, blocks, is_latin
 
@@ -262,12 +262,13 @@ def pack(
         end = END_ID.to_bytes(4, "little")
         rows: list[tuple] = []
         for batch in batches:
-            texts = [value or "" for value in batch.column(1).to_pylist()]
-            for doc, packed in zip(batch.column(0).to_pylist(), tokens.encode(texts)):
-                rows.extend(packer.add(doc, np.frombuffer(packed + end, "<u4")))
-                if len(rows) >= 4_096:
-                    yield batch_of(rows)
-                    rows = []
+            for part in slices(batch):
+                texts = [value or "" for value in part.column(1).to_pylist()]
+                for doc, packed in zip(part.column(0).to_pylist(), tokens.encode(texts)):
+                    rows.extend(packer.add(doc, np.frombuffer(packed + end, "<u4")))
+                    if len(rows) >= 4_096:
+                        yield batch_of(rows)
+                        rows = []
         rows.extend(packer.finish())
         if rows:
             yield batch_of(rows)

@@ -60,9 +60,8 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    pattern = public_tokenizers.PATTERN
-    encoded = bpe.encode(table(spark, folder, "documents"), BYTE_RANKS, pattern)
-    return bpe.digests(bpe.decode(encoded, BYTE_RANKS, pattern))
+    docs = table(spark, folder, "documents")
+    return bpe.digests(bpe.encode_and_decode(docs, BYTE_RANKS, public_tokenizers.PATTERN))
 
 
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
