@@ -25,7 +25,7 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, ARROW_TYPES[kind]) for name, kind in (field.split() for field in ddl.split(","))])
 
 
-def slices(batch: pa.RecordBatch, rows: int = 2_500) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, rows: int = 2_000) -> Iterator[pa.RecordBatch]:
     """A batch in parts, so that fewer texts are Python objects at a time."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowsight.llm.batches import required, slices
 from flowsight.llm.merges import MergeTable, merge_words
-from flowsight.llm.words import Memo, Splitter, blocks
+from flowsight.llm.words import Memo, Splitter, blocks, only_loaded
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -58,9 +57,8 @@ class ByteTokens:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
-@cache
 def byte_tokens(path: str, pattern: str) -> ByteTokens:
-    return ByteTokens(path, pattern)
+    return only_loaded(ByteTokens, path, pattern)
 
 
 def id_lists(packed: list[bytes]) -> pa.ListArray:

@@ -7,7 +7,6 @@ import json
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -18,7 +17,7 @@ from tokenizers import Tokenizer
 
 from flowsight.llm.batches import arrow_schema, required, slices
 from flowsight.llm.merges import MergeTable, merge_words
-from flowsight.llm.words import Memo, Splitter, blocks, is_latin
+from flowsight.llm.words import Memo, Splitter, blocks, is_latin, only_loaded
 
 WINDOW = 2048
 END_ID = 1
@@ -87,9 +86,8 @@ class WordTokens:
             yield from (done[place] for place in block)
 
 
-@cache
 def word_tokens(path: str) -> WordTokens:
-    return WordTokens(path)
+    return only_loaded(WordTokens, path)
 
 
 def difference(sizes: np.ndarray, windows: int) -> np.ndarray:

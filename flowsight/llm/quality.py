@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from flowsight.llm.batches import filter_batches, map_batches, required
-from flowsight.llm.words import Memo, blocks
+from flowsight.llm.words import Memo, blocks, only_loaded
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -52,7 +52,6 @@ SCRIPTS = {
 }
 
 
-@cache
 def word_memo(model: str) -> tuple[Memo, np.ndarray]:
     """Ids of single words by the vocabulary, kept by the worker; and which ids are fallback bytes."""
     pieces = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -133,7 +132,7 @@ MEASURES = (
 def measure(texts: list[str | None], model: str) -> list[tuple]:
     """The values of ``MEASURES`` for whole texts; a null text is an empty one."""
     texts = [text or "" for text in texts]
-    memo, byte_ids = word_memo(model)
+    memo, byte_ids = only_loaded(word_memo, model)
     rows = []
     for block in blocks(texts):
         bodies = [texts[place].encode() for place in block]

@@ -44,6 +44,21 @@ class Splitter:
 
 
 
+LOADED: dict = {}
+
+
+def only_loaded(make: Callable, *arguments):
+    """What ``make`` gives, kept by the worker until it needs another vocabulary.
+
+    Workers serve one task after another; without this, each stage of a job would leave its words behind.
+    """
+    key = (make, arguments)
+    if key not in LOADED:
+        LOADED.clear()
+        LOADED[key] = make(*arguments)
+    return LOADED[key]
+
+
 class Memo:
     """Values of words, computed for many unknown words at a time.
 
@@ -73,7 +88,7 @@ class Memo:
         return self.young
 
 
-def blocks(texts: list[str], chars: int = 8_000_000) -> Iterator[range]:
+def blocks(texts: list[str], chars: int = 6_000_000) -> Iterator[range]:
     """Runs of texts with about ``chars`` characters together; a longer text is a run of its own."""
     start = total = 0
     for place, text in enumerate(texts):
