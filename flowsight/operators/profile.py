@@ -67,10 +67,14 @@ def positive_rate(df: DataFrame, group: str, top: int, label: str = "label") ->
 
 def numeric_profile(
     df: DataFrame, *, averages: Mapping[str, str], medians: Mapping[str, str], label: str = "label",
-    digits: int = 2, median_digits: int = 6, accuracy: int = 10_000,
+    digits: int = 2, median_digits: int = 6, accuracy: int = 10_000, digits_of: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Averages and approximate medians per class; the mappings give output names to columns."""
-    mean = [F.round(F.avg(column), digits).alias(name) for name, column in averages.items()]
+    """Averages and approximate medians per class; the mappings give output names to columns.
+
+    ``digits_of`` has the digits of single averages.
+    """
+    places = digits_of or {}
+    mean = [F.round(F.avg(column), places.get(name, digits)).alias(name) for name, column in averages.items()]
     middle = [
         F.round(F.percentile_approx(column, 0.5, accuracy), median_digits).alias(name) for name, column in medians.items()
     ]

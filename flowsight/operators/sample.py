@@ -11,18 +11,15 @@ from flowsight.functions.hashing import row_hash
 from flowsight.operators.ranks import BEFORE, SLOT, group_rank, long_slot, slot_sizes
 from flowsight.session import written
 
-PARTIAL_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-
 
 def first_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows of each group; Spark cuts each task to ``n`` rows before the shuffle.
 
-    That early cut is made up to the session's window group limit, so larger ``n`` is refused;
-    ``hash_sample`` has no such bound.
+    That early cut is made up to the session's window group limit. Larger ``n`` gives the same rows
+    without it, and sorts whole groups; ``hash_sample`` never does.
     """
-    bound = int(df.sparkSession.conf.get(PARTIAL_LIMIT))
-    if not 0 < n <= bound:
-        raise ValueError(f"n must be between 1 and {PARTIAL_LIMIT} = {bound}")
+    if n < 1:
+        raise ValueError("n must be at least 1")
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
@@ -30,15 +27,12 @@ def first_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int)
 def hash_sample(df: DataFrame, label: str, key: Column, ties: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows per label by the 64-bit hash ``key``, then by ``ties``.
 
-    Small ``n`` uses ``first_per_group``. Otherwise the hashes are counted in 65,536 ranges, all
-    rows in ranges below the n-th row are kept as they are, and only the range that holds the
+    One way and one order for every ``n``: the hashes are counted in 65,536 ranges, all rows in ranges below the n-th row are kept as they are, and only the range that holds the
     n-th row is ordered; its copies are counted first, so many equal rows cost one row, and many
     different rows of one key are cut into parts again.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    if n <= int(df.sparkSession.conf.get(PARTIAL_LIMIT)):
-        return first_per_group(df, label, [key, *ties], n)
     columns = df.columns
     slotted = df.withColumn("_key", key).withColumn(SLOT, long_slot(F.col("_key")))
     last = F.max(F.struct(F.col(SLOT).alias("cut"), (F.lit(n) - F.col(BEFORE)).alias("need"))).alias("last")

@@ -28,9 +28,10 @@ def bronze_job(
 ) -> Stored:
     """Strict CSV to checked Parquet with a validation report, and a small balanced sample."""
     raw = readers.read_csv_strict(spark, source, contract.schema)
+    # a bad source must not replace the last good table
+    quality.require_valid(quality.validation_report(raw, contract, expected_rows=expected_rows))
     rows = sinks.write_checked(raw, target, once=False)
     report = quality.validation_report(rows, contract, expected_rows=expected_rows)
-    quality.require_valid(report)
     if sample_path:
         picked = sample.balanced_sample(rows, identifier=contract.identifier, label=contract.label, per_label=sample_rows)
         sinks.write_csv_report(picked.orderBy(contract.label, contract.identifier), sample_path)
@@ -57,15 +58,16 @@ def profile_job(rows: DataFrame, *, contract: Contract = FLOW, top: int = 15, co
         "avg_rate": "rate",
         "avg_source_packets": "spkts",
         "avg_destination_packets": "dpkts",
+        "avg_duration": "dur",
     }
     rates = {f"rate_by_{name}": profile.positive_rate(rows, name, top, contract.label) for name in contract.categorical}
-    numbers = profile.numeric_profile(rows, averages=averages, medians={"median_duration": "dur"}, label=contract.label)
-    mean_duration = rows.groupBy(contract.label).agg(F.round(F.avg("dur"), 6).alias("avg_duration"))
+    medians = {"median_duration": "dur"}
+    numbers = profile.numeric_profile(rows, averages=averages, medians=medians, label=contract.label, digits_of={"avg_duration": 6})
     return {
         "class_share": profile.class_share(rows, contract.label),
         "category_share": profile.category_share(rows, contract.category, top),
         **rates,
-        "numeric_profile": numbers.join(mean_duration, contract.label),
+        "numeric_profile": numbers,
         "correlations": profile.label_correlations(rows, contract.numeric, correlations, contract.label),
         "imbalance": profile.imbalance(rows, contract.label),
     }

@@ -186,10 +186,12 @@ def window_job(
     return fit_and_test(features.window_model(trees=trees, depth=depth), stored, baseline="rule_score")
 
 
-def flow_job(rows: DataFrame, *, fraction: float = 0.2, seed: int = 42, trees: int = 20, depth: int = 6) -> Trained:
-    """The classifier of single flows; the validation rows serve for the test as well."""
+def flow_job(
+    rows: DataFrame, test: DataFrame, *, fraction: float = 0.2, seed: int = 42, trees: int = 20, depth: int = 6
+) -> Trained:
+    """The classifier of single flows; the threshold is chosen on held-out rows and tested on the designated ones."""
     training, validation = split.holdout_split(rows, "id", fraction=fraction, seed=seed)
-    parts = {"train": training, "validation": validation, "test": validation}
+    parts = {"train": training, "validation": validation, "test": test}
     return fit_and_test(features.flow_model(trees=trees, depth=depth), parts, thresholds=evaluate.THRESHOLDS)
 
 

@@ -54,7 +54,18 @@ def window_stream_job(
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return sources.parquet_stream(spark, folder, tables.SCHEMAS[name], max_files=50, pattern=f"{name}*.parquet")
+    """A given table as a stream, whether it is one file or a folder of part files.
+
+    The path is a pattern that only the exact name fits, since a stream takes no plain file path.
+    """
+    return sources.parquet_stream(spark, f"{folder}/[{name[0]}]{name[1:]}.parquet", tables.SCHEMAS[name], max_files=50)
+
+
+def disorder_seconds(spark: SparkSession, folder: str, name: str, column: str) -> int:
+    """Seconds between a stored table's first and last time: no row can be later than that in a replay."""
+    times = F.col(column).cast("timestamp").cast("bigint")
+    first, last = tables.table(spark, folder, name).agg(F.min(times), F.max(times)).first()
+    return last - first + 1 if first is not None else 1
 
 
 def score_events(spark: SparkSession, folder: str) -> str:
@@ -99,7 +110,10 @@ def stream_restart_check(spark, folder):
 
 @query
 def stream_windows(spark, folder):
-    """Window features kept by a stream, scored by the rule: the newest state of every window."""
+    """Window features kept by a stream, scored by the rule: the newest state of every window.
+
+    A stored table is replayed whole, so the watermark covers its whole span.
+    """
     path = scratch_path(spark, "event-windows")
 
     def scorer(windows: DataFrame) -> DataFrame:
@@ -107,9 +121,11 @@ def stream_windows(spark, folder):
 
     flows = tables.as_flow_events(table_stream(spark, folder, "events")).where(F.col("record_type") == "flow")
     run = queries.start_windows(
-        flows, scorer, output=f"{path}/output", checkpoint=f"{path}/checkpoint", name=f"windows-{path[-32:]}", window_seconds=DAY
+        flows, scorer, output=f"{path}/output", checkpoint=f"{path}/checkpoint", name=f"windows-{path[-32:]}", window_seconds=DAY,
+        watermark_seconds=disorder_seconds(spark, folder, "events", "ts"),
     )
     run.awaitTermination()
+    progress.require_none_late(progress.progress_rows(spark, run.recentProgress))
     current = sinks.current_windows(sinks.read_batches(spark, f"{path}/output"))
     columns = ["experiment_id", "source_ip", "actor_id", "window_start", "window_end", *WINDOW_FEATURES, "prediction"]
     return zoneless(rounded(current.select(*columns)))

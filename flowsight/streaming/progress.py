@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 PROGRESS_SCHEMA = (
     "batchId bigint, timestamp string, numInputRows bigint, durationMs map<string, bigint>, "
-    "eventTime map<string, string>, stateOperators array<struct<numRowsTotal: bigint, numRowsUpdated: bigint>>"
+    "eventTime map<string, string>, stateOperators array<struct<numRowsTotal: bigint, numRowsUpdated: bigint, numRowsDroppedByWatermark: bigint>>"
 )
 
 
@@ -31,9 +31,22 @@ def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
         F.when((rows > 0) & (seconds > 0), F.try_divide(rows, seconds)).alias("rows_per_second"),
         F.col("p.eventTime")["watermark"].alias("watermark"),
         F.aggregate("p.stateOperators", F.lit(0).cast("bigint"), lambda n, s: n + s["numRowsTotal"]).alias("state_rows"),
+        F.coalesce(
+            F.aggregate(
+                "p.stateOperators", F.lit(0).cast("bigint"), lambda n, s: n + F.coalesce(s["numRowsDroppedByWatermark"], F.lit(0))
+            ),
+            F.lit(0),
+        ).alias("late_rows"),
     )
 
 
+def require_none_late(progress: DataFrame) -> None:
+    """Fail if a batch has dropped rows behind the watermark, for a replay that must be complete."""
+    late = progress.agg(F.sum("late_rows")).first()[0]
+    if late:
+        raise ValueError(f"{late} rows came behind the watermark and were dropped")
+
+
 def throughput(progress: DataFrame, keep: int = 30) -> DataFrame:
     """The last batches with data, one row each."""
     busy = progress.where(F.col("rows_per_second").isNotNull()).dropDuplicates(["batch_id"])

@@ -164,3 +164,20 @@ def test_throughput_rows(spark):
 def test_utc_text(spark):
     row = spark.range(1).select(F.timestamp_seconds(F.lit(0)).alias("t")).select(queries.utc_text("t").alias("x")).first()
     assert row.x == "1970-01-01T00:00:00.000000+00:00"
+
+
+@pytest.mark.parametrize("parts", [4, 60])
+def test_stream_queries_of_a_table_of_many_files(spark, tmp_path, parts):
+    import shutil
+
+    import verify
+    from flowsight.plans import live  # noqa: F401
+    from tests.conftest import SMALL
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    events.repartition(parts).write.parquet(str(tmp_path / "events.parquet"))
+    for name in "lineitem orders documents".split():
+        shutil.copy(f"{SMALL}/{name}.parquet", tmp_path)
+    whole = verify.connect(SMALL)
+    for name in ("stream_scores", "stream_summary", "stream_windows", "stream_restart_check"):
+        assert verify.compare(spark, whole, name, str(tmp_path)) == "", name
