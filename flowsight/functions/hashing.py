@@ -24,6 +24,11 @@ def portable_bucket(key: str, *, seed: int, buckets: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(int(buckets)))
 
 
+def portable_key(key: str) -> Column:
+    """60 bits of the MD5 of a key, spread over the range of a long, as the order of a sample."""
+    return F.shiftleft(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 15), 16, 10).cast("bigint") - (1 << 59), 4)
+
+
 def row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(name) for name in columns])
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsight.contract import require_columns
 from flowsight.functions.predicates import rows_where
 from flowsight.functions.ratios import with_ratios
+from flowsight.session import written
 
 # The thresholds tried by default, and the shorter list for sessions and windows.
 THRESHOLDS = (0.10, 0.15, 0.20, 0.25, 0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90)
@@ -116,15 +117,48 @@ def measure_at(df: DataFrame, threshold: float, **options) -> DataFrame:
     return threshold_curve(df, [threshold], **options)
 
 
-def ranking_measures(df: DataFrame, *, label: str = "label", raw: str = "rawPrediction") -> DataFrame:
-    """One row: ``roc_auc, pr_auc``, from the curve of Spark ML."""
+def score_steps(df: DataFrame, label: str, raw: str) -> DataFrame:
+    """``score, ones, zeros``: the rows of each distinct score; rows without a label or score count nowhere."""
+    value = positive_score(raw) if isinstance(df.schema[raw].dataType, VectorUDT) else F.col(raw).cast("double")
+    scored = df.select(F.col(label).cast("int").alias("_label"), value.alias("score"))
+    known = scored.where(F.col("_label").isin(0, 1) & F.col("score").isNotNull())
+    return known.groupBy("score").agg(F.sum("_label").alias("ones"), F.sum(1 - F.col("_label")).alias("zeros"))
 
-    def area(kind: str) -> float:
-        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName=kind).evaluate(df)
 
-    return df.sparkSession.range(1).select(
-        F.lit(area("areaUnderROC")).alias("roc_auc"), F.lit(area("areaUnderPR")).alias("pr_auc")
+def ranking_measures(df: DataFrame, *, label: str = "label", raw: str = "rawPrediction", slots: int = 128) -> DataFrame:
+    """One row: ``roc_auc, pr_auc``, the exact areas under both curves by trapezoids over all distinct scores.
+
+    The precision curve begins at the precision of the highest score. Both are NULL without rows of
+    both labels. Distinct scores are counted first and written; they are then summed up from the top
+    inside about ``slots`` ranges between approximate percentiles, so no task orders all of them.
+    """
+    steps = written(score_steps(df, label, raw), "score-steps")
+    shares = [F.lit((i + 1) / slots) for i in range(slots - 1)]
+    borders = steps.agg(F.percentile_approx("score", F.array(*shares))).first()[0] or []
+    slotted = steps.withColumn("slot", steps_reached(F.col("score"), sorted(set(borders))))
+    all_slots = Window.partitionBy(F.lit(0))
+    above = all_slots.orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per slot
+    sums = slotted.groupBy(F.col("slot").alias("_slot")).agg(F.sum("ones").alias("ones_in"), F.sum("zeros").alias("zeros_in"))
+    sums = sums.select(
+        "_slot",
+        F.coalesce(F.sum("ones_in").over(above), F.lit(0)).alias("ones_above"),
+        F.coalesce(F.sum("zeros_in").over(above), F.lit(0)).alias("zeros_above"),
+        F.sum("ones_in").over(all_slots).alias("all_ones"),
+        F.sum("zeros_in").over(all_slots).alias("all_zeros"),
+    )
+    inside = Window.partitionBy("slot").orderBy(F.desc("score"))
+    points = slotted.join(sums, F.col("slot") == F.col("_slot")).select(
+        "ones", "zeros", "all_ones", "all_zeros",
+        (F.col("ones_above") + F.sum("ones").over(inside)).alias("tp"),
+        (F.col("zeros_above") + F.sum("zeros").over(inside)).alias("fp"),
     )
+    ones, zeros, tp, fp = (F.col(name) for name in ("ones", "zeros", "tp", "fp"))
+    precision = tp / (tp + fp)
+    before = F.coalesce(F.try_divide(tp - ones, tp + fp - ones - zeros), precision)
+    roc = F.try_divide(F.sum(zeros * (2 * tp - ones) / 2), F.max("all_ones") * F.max("all_zeros").cast("double"))
+    pr = F.try_divide(F.sum(ones * (precision + before) / 2), F.max("all_ones"))
+    return points.agg(roc.alias("roc_auc"), F.when(F.max("all_zeros") > 0, pr).alias("pr_auc"))
 
 
 def challenge_measures(

@@ -24,12 +24,8 @@ def feature_stages(contract: Contract = FLOW) -> list:
     """
     texts = contract.categorical
     indexed, encoded = [f"{c}_index" for c in texts], [f"{c}_onehot" for c in texts]
-    indexers = [
-        StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep", stringOrderType="frequencyDesc")
-        for c, i in zip(texts, indexed)
-    ]
     return [
-        *indexers,
+        StringIndexer(inputCols=list(texts), outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc"),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=False),
         VectorAssembler(inputCols=contract.numeric, outputCol="numbers", handleInvalid="error"),
         StandardScaler(inputCol="numbers", outputCol="scaled_numbers", withMean=False, withStd=True),
@@ -98,7 +94,7 @@ def flow_model(*, trees: int = 20, depth: int = 6) -> Pipeline:
     indexed, encoded = [f"{c}_index" for c in texts], [f"{c}_onehot" for c in texts]
     return Pipeline(
         stages=[
-            *[StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep") for c, i in zip(texts, indexed)],
+            StringIndexer(inputCols=texts, outputCols=indexed, handleInvalid="keep"),
             OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
             VectorAssembler(inputCols=["dur", "sbytes", "dbytes", *encoded], outputCol="features", handleInvalid="error"),
             forest(trees, depth, least_rows=1, subset="auto", subsample=1.0),

@@ -56,18 +56,21 @@ def hash_sample(df: DataFrame, label: str, key: Column, ties: Sequence[Column],
 
 
 def balanced_sample(
-    df: DataFrame, *, identifier: str, label: str, per_label: int, columns: Sequence[str] | None = None
+    df: DataFrame, *, identifier: str, label: str, per_label: int, columns: Sequence[str] | None = None, key: Column | None = None
 ) -> DataFrame:
-    """The same rows every time: first ``per_label`` rows of each label by the hash of all columns."""
-    return hash_sample(df, label, row_hash(columns or df.columns), [F.col(identifier)], per_label)
+    """The same rows every time: first ``per_label`` rows of each label by ``key``, else by the hash of all columns."""
+    key = row_hash(columns or df.columns) if key is None else key
+    return hash_sample(df, label, key, [F.col(identifier)], per_label)
 
 
-def seeded_sample(df: DataFrame, *, identifier: str, label: str, limit: int, seed: int) -> DataFrame:
-    """About ``limit`` rows, shared evenly between the labels, by the hash of the identifier."""
+def seeded_sample(
+    df: DataFrame, *, identifier: str, label: str, limit: int, seed: int, key: Column | None = None
+) -> DataFrame:
+    """About ``limit`` rows, shared evenly between the labels, by ``key``, else by the hash of identifier and seed."""
     if limit < 2:
         raise ValueError("limit must be at least 2")
     labels = df.agg(F.count_distinct(label) + F.max(F.col(label).isNull().cast("int"))).first()[0]
     if not labels:
         raise ValueError("nothing to sample from")
-    key = F.xxhash64(F.col(identifier), F.lit(int(seed)))
+    key = F.xxhash64(F.col(identifier), F.lit(int(seed))) if key is None else key
     return hash_sample(df, label, key, [F.col(identifier)], max(1, limit // labels))

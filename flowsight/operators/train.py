@@ -18,7 +18,7 @@ from flowsight.operators.evaluate import (
     ranking_measures,
     threshold_curve,
 )
-from flowsight.session import written
+from flowsight.session import spread, written
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -90,19 +90,20 @@ def fit_candidate(
 ) -> Fitted:
     """Fit on train, choose the threshold on validation; the report is one row.
 
-    ``prepared`` are the fitted feature stages, which candidates share; the resulting model is
-    those stages followed by the classifier.
+    ``prepared`` are the fitted feature stages, which candidates share; ``train`` and ``validation``
+    have been through them. The resulting model is those stages followed by the classifier. The
+    ranking measures are NULL if the validation rows have one label only.
     """
     rows = train
     if candidate.weighted:
         weights = {row.label: row.weight for row in class_weights(train, label).collect()}
         rows = with_class_weights(train, weights, label=label)
     started = time.perf_counter()
-    classifier = candidate.classifier.fit(prepared.transform(rows))
+    classifier = candidate.classifier.fit(spread(rows))
     model = PipelineModel(stages=[*prepared.stages, classifier])
     fitted = time.perf_counter()
     columns = [F.col(label).alias("label"), "rawPrediction", positive_score().alias("score")]
-    scores = written(model.transform(validation).select(*columns), "validation-scores")
+    scores = written(classifier.transform(validation).select(*columns), "validation-scores")
     if scores.count() != validation.count():
         raise ValueError(f"{candidate.name}: scoring changed the number of rows")
     predicted = time.perf_counter()
@@ -112,8 +113,8 @@ def fit_candidate(
         F.lit(candidate.name).alias("name"),
         F.lit(candidate.family).alias("family"),
         "*",
-        F.lit(area.roc_auc).alias("roc_auc"),
-        F.lit(area.pr_auc).alias("pr_auc"),
+        F.lit(area.roc_auc).cast("double").alias("roc_auc"),
+        F.lit(area.pr_auc).cast("double").alias("pr_auc"),
         F.lit(fitted - started).alias("fit_seconds"),
         F.lit(predicted - fitted).alias("predict_seconds"),
     )

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsight.contract import FLOW, Contract
@@ -60,10 +60,13 @@ def compare_candidates(
 ) -> tuple[train.Fitted, DataFrame]:
     """Fit every candidate on the same rows; the winner, and one row per candidate.
 
-    The feature stages do not depend on the classifier and are fitted once.
+    The feature stages do not depend on the classifier: they are fitted once, and their vectors written once.
     """
-    training, validation = spread(training), spread(validation)
+    training = written(training, "training")
     prepared = features.fit_features(training, contract)
+    columns = [contract.label, "features"]
+    training = written(spread(prepared.transform(training).select(*columns)), "training-features")
+    validation = written(spread(prepared.transform(validation).select(*columns)), "validation-features")
     options = dict(thresholds=thresholds, metric=metric, label=contract.label)
     fitted = {c.name: train.fit_candidate(c, prepared, training, validation, **options) for c in candidates}
     reports = written(union_all([f.report for f in fitted.values()]), "candidates")
@@ -196,15 +199,13 @@ def flow_job(
 
 
 def sampled_job(
-    rows: DataFrame, contract: Contract = FLOW, *, train_rows: int = 12_000, validation_rows: int = 3_000, seed: int = 42
+    rows: DataFrame, contract: Contract = FLOW, *, train_rows: int = 12_000, seed: int = 42
 ) -> train.Fitted:
-    """A small forest on label-balanced samples of both parts."""
-    pick = dict(identifier=contract.identifier, label=contract.label, seed=seed)
+    """A small forest fitted on a label-balanced sample of ``train_rows``, measured on all validation rows."""
     training, validation = split.holdout_split(rows, contract.identifier, fraction=0.2, seed=seed)
-    small = written(seeded_sample(training, limit=train_rows, **pick), "train-sample")
-    held = written(seeded_sample(validation, limit=validation_rows, **pick), "validation-sample")
+    small = seeded_sample(training, identifier=contract.identifier, label=contract.label, limit=train_rows, seed=seed)
     candidate = train.Candidate("sample_forest", "forest", features.sample_forest(label=contract.label))
-    return compare_candidates([candidate], small, held, contract)[0]
+    return compare_candidates([candidate], small, validation, contract)[0]
 
 
 # --- named queries ---------------------------------------------------------------------------
@@ -212,30 +213,43 @@ def sampled_job(
 
 @query
 def candidate_comparison(spark, folder):
-    """A weighted logistic regression and a forest on the same split of all order lines."""
+    """The default candidates on the same split of all order lines."""
     rows = tables.line_features(spark, folder)
     training, validation = split.holdout_split(rows, "id", fraction=0.2, seed=42)
-    candidates = [
-        train.Candidate("logistic_balanced", "logistic", features.logistic(max_iter=10, weight="class_weight"), weighted=True),
-        train.Candidate("forest", "forest", features.forest(5, 5)),
-    ]
-    reports = compare_candidates(candidates, training, validation, tables.LINE_FEATURES)[1]
+    reports = compare_candidates(default_candidates(), training, validation, tables.LINE_FEATURES)[1]
     return reports.drop("fit_seconds", "predict_seconds")
 
 
-@query
-def locked_scores(spark, folder):
+def score_locked(spark: SparkSession, folder: str) -> DataFrame:
     """A logistic regression is fitted, locked, loaded again and scores all order lines."""
     rows = tables.line_features(spark, folder)
     training, _ = split.holdout_split(rows, "id", fraction=0.2, seed=42)
     path = scratch_path(spark, "locked-model")
-    model = features.contract_model(tables.LINE_FEATURES, features.logistic(max_iter=5)).fit(spread(training))
+    model = features.contract_model(tables.LINE_FEATURES, features.logistic()).fit(spread(written(training, "training")))
     score.lock_model(spark, model, path, name="logistic", threshold=0.5)
     model, lock = score.load_locked(spark, path)
     named = dict(run_id="run", scored_at="", model_name=lock.model_name, model_sha256=lock.model_sha256)
-    scored = model.transform(spread(rows, store=False))
-    flat = score.scored_rows(scored, threshold=lock.decision_threshold, **named)[1]
-    return flat.drop("run_id", "scored_at", "model_sha256")
+    return score.scored_rows(model.transform(rows), threshold=lock.decision_threshold, **named)[1]
+
+
+@query
+def locked_scores(spark, folder):
+    """All order lines with the scores of the locked model."""
+    return score_locked(spark, folder).drop("run_id", "scored_at", "model_sha256")
+
+
+@query
+def locked_scores_check(spark, folder):
+    """The scored lines by their class: all are there, decided at the locked threshold, with a chance in [0, 1]."""
+    chance = F.col("attack_probability")
+    decided = F.col("prediction") == (chance >= F.col("decision_threshold")).cast("int")
+    right = F.col("is_correct") == (F.col("predicted_class") == F.col("actual_class"))
+    return score_locked(spark, folder).groupBy("actual_class").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(decided & right).alias("decided_rows"),
+        F.count_if(chance.between(0, 1)).alias("rows_in_range"),
+        F.count_distinct("model_sha256").alias("models"),
+    )
 
 
 @query
@@ -248,12 +262,10 @@ def sampled_forest(spark, folder):
 @query
 def session_measures(spark, folder):
     """The session classifier on the runs of the events."""
-    return session_job(tables.flow_events(spark, folder), tables.run_truth(spark, folder), trees=5).measures
+    return session_job(tables.flow_events(spark, folder), tables.run_truth(spark, folder)).measures
 
 
-@query
-def window_measures(spark, folder):
-    """The window classifier on three periods of the events, beside the rule."""
+def measure_windows(spark: SparkSession, folder: str) -> DataFrame:
     truth = tables.event_truth(spark, folder).select("event_id", "label")
     labelled = written(windows.labelled_windows(tables.flow_events(spark, folder), truth, seconds=DAY), "labelled")
     day = F.dayofmonth("window_start")
@@ -262,4 +274,21 @@ def window_measures(spark, folder):
         "validation": labelled.where((day > 18) & (day <= 24)),
         "test": labelled.where(day > 24),
     }
-    return window_job(parts, {"train": "first", "validation": "second", "test": "third"}, trees=5).measures
+    return window_job(parts, {"train": "first", "validation": "second", "test": "third"}).measures
+
+
+@query
+def window_measures(spark, folder):
+    """The window classifier on three periods of the events, beside the rule."""
+    return measure_windows(spark, folder)
+
+
+@query
+def window_measures_check(spark, folder):
+    """Windows of each label that were measured: all of their period, the rule and the model alike."""
+    positives, negatives = F.col("tp") + F.col("fn"), F.col("tn") + F.col("fp")
+    grid = [F.lit(threshold) for threshold in evaluate.WINDOW_THRESHOLDS]
+    return measure_windows(spark, folder).select(
+        "part", positives.alias("positives"), negatives.alias("negatives"),
+        (F.col("threshold").isin(grid) | (F.col("part") == "baseline")).alias("threshold_of_grid"),
+    )

@@ -102,10 +102,35 @@ def stream_summary(spark, folder):
     return rounded(totals)
 
 
+LANDINGS = 3
+
+
 @query
 def stream_restart_check(spark, folder):
-    stored = sinks.read_batches(spark, f"{score_events(spark, folder)}/predictions")
-    return progress.restart_check(stored).drop("batches")
+    """All events land in three parts by a hash, and one query is stopped and started again between them.
+
+    Started again it must be the same query in a new run, read only what has arrived since, and
+    leave every event in the output once.
+    """
+    path = scratch_path(spark, "event-restarts")
+    rows = tables.table(spark, folder, "events").withColumn("_part", F.pmod(F.xxhash64("event_id"), F.lit(LANDINGS)))
+    runs, only_new = [], True
+    for part in range(LANDINGS):
+        landed = rows.where(F.col("_part") == part).drop("_part")
+        landed.write.mode("errorifexists").parquet(f"{path}/landed/part-{part}")
+        source = sources.parquet_stream(spark, f"{path}/landed", tables.SCHEMAS["events"], max_files=50)
+        run = queries.start_scoring(
+            source, lambda batch: tables.as_scored_events(batch, "source_file"), output=f"{path}/output",
+            checkpoint=f"{path}/checkpoint", name=f"restart-{path[-32:]}", run_id=f"run-{part}",
+        )
+        run.awaitTermination()
+        runs.append(run)
+        summaries = sinks.read_batches(spark, f"{path}/output/summaries").where(F.col("query_run_id") == f"run-{part}")
+        read = summaries.agg(F.coalesce(F.sum("input_rows"), F.lit(0))).first()[0]
+        only_new = only_new and read == spark.read.parquet(f"{path}/landed/part-{part}").count()
+    same, new = len({run.id for run in runs}) == 1, len({run.runId for run in runs}) == LANDINGS
+    checked = progress.restart_check(sinks.read_batches(spark, f"{path}/output/predictions")).drop("batches")
+    return checked.withColumns({"same_query": F.lit(same), "new_runs": F.lit(new), "only_new_rows": F.lit(only_new)})
 
 
 @query

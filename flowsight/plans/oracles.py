@@ -366,6 +366,31 @@ add(
 SELECT * FROM orders QUALIFY row_number() OVER (
   PARTITION BY o_orderstatus ORDER BY ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 15))::BIGINT, o_orderkey) <= 3000""",
 )
+LINE_FEATURES = """
+line_features AS (
+  SELECT l_orderkey * 8 + l_linenumber AS id, l_linestatus AS status, substr(l_suppkey::VARCHAR, 1, 1) AS supplier_band,
+         l_quantity, l_extendedprice, l_discount, l_tax, month(l_shipdate)::INTEGER AS ship_month,
+         CASE WHEN l_extendedprice * (1 - l_discount) > 50000 THEN 'Dear' ELSE 'Normal' END AS attack_cat,
+         CASE WHEN l_extendedprice * (1 - l_discount) > 50000 THEN 1 ELSE 0 END AS label
+  FROM lineitem),
+line_order AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY ('0x' || substr(md5(id::VARCHAR), 1, 15))::BIGINT, id) AS place
+  FROM line_features)"""
+add("balanced_sample", "SELECT * EXCLUDE (place) FROM line_order WHERE place <= 100", LINE_FEATURES)
+add(
+    "seeded_sample",
+    """
+SELECT * EXCLUDE (place) FROM line_order
+WHERE place <= greatest(1, 12000 // (SELECT count(DISTINCT label) FROM line_features))""",
+    LINE_FEATURES,
+)
+add(
+    "locked_scores_check",
+    """
+SELECT CASE WHEN label = 1 THEN 'Attack' ELSE 'Normal' END AS actual_class, count(*) AS "rows", count(*) AS decided_rows,
+       count(*) AS rows_in_range, 1::BIGINT AS models FROM line_features GROUP BY 1""",
+    LINE_FEATURES,
+)
 add(
     "first_per_group",
     """
@@ -451,6 +476,21 @@ sums AS (
   FROM steps WINDOW w AS (ORDER BY score DESC)),
 points AS (SELECT score, fp / negatives AS x, tp / positives AS y, tp / (tp + fp) AS p FROM sums)""",
 )
+add(
+    "exact_ranking_measures",
+    """
+SELECT round(sum((x - x0) * (y + y0) / 2), 6) AS roc_auc, round(sum((y - y0) * (p + p0) / 2), 6) AS pr_auc
+FROM (SELECT x, y, p, lag(x, 1, 0.0) OVER w AS x0, lag(y, 1, 0.0) OVER w AS y0, coalesce(lag(p) OVER w, p) AS p0
+      FROM points WINDOW w AS (ORDER BY score DESC))""",
+    """
+scored AS (SELECT CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label, value / (value + 50.0::DOUBLE) AS attack_probability FROM events)""",
+    """
+steps AS (SELECT attack_probability AS score, sum(label)::DOUBLE AS ones, count(*) - sum(label)::DOUBLE AS zeros FROM scored GROUP BY 1),
+sums AS (
+  SELECT score, sum(ones) OVER w AS tp, sum(zeros) OVER w AS fp, sum(ones) OVER () AS positives, sum(zeros) OVER () AS negatives
+  FROM steps WINDOW w AS (ORDER BY score DESC)),
+points AS (SELECT score, fp / negatives AS x, tp / positives AS y, tp / (tp + fp) AS p FROM sums)""",
+)
 add(
     "class_weights",
     """
@@ -529,6 +569,17 @@ GROUP BY p.split, p.label""",
     TRUTH,
     LABELLED,
 )
+add(
+    "window_measures_check",
+    """
+SELECT part, count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives, true AS threshold_of_grid
+FROM labelled JOIN (SELECT unnest(['validation', 'test', 'baseline']) AS part)
+  ON CASE WHEN part = 'validation' THEN day(window_start) BETWEEN 19 AND 24 ELSE day(window_start) > 24 END
+GROUP BY part""",
+    FLOWS,
+    TRUTH,
+    LABELLED,
+)
 RECONCILED = """
 known AS (SELECT source_ip, time_bucket(INTERVAL '1 day', ts) AS window_start, count(*) AS n, max(label) AS actual FROM truth GROUP BY ALL),
 states AS (
@@ -592,5 +643,5 @@ add(
     "stream_restart_check",
     """
 SELECT count(*) AS "rows", count(DISTINCT event_id) AS distinct_ids, count(*) - count(DISTINCT event_id) AS duplicate_ids,
-       true AS consecutive FROM events""",
+       true AS consecutive, true AS same_query, true AS new_runs, true AS only_new_rows FROM events""",
 )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsight.functions.hashing import portable_bucket
+from flowsight.functions.hashing import portable_bucket, portable_key
 from flowsight.functions.predicates import outcome
 from flowsight.operators import (
     alerts,
@@ -251,14 +251,14 @@ def first_per_group(spark, folder):
 
 @query
 def balanced_sample(spark, folder):
-    lines = tables.line_rows(spark, folder)
-    return sample.balanced_sample(lines, identifier="id", label="label", per_label=100)
+    lines = tables.line_features(spark, folder)
+    return sample.balanced_sample(lines, identifier="id", label="label", per_label=100, key=portable_key("id"))
 
 
 @query
 def seeded_sample(spark, folder):
     lines = tables.line_features(spark, folder)
-    return sample.seeded_sample(lines, identifier="id", label="label", limit=12_000, seed=42)
+    return sample.seeded_sample(lines, identifier="id", label="label", limit=12_000, seed=42, key=portable_key("id"))
 
 
 @query
@@ -339,6 +339,15 @@ def ranking_measures(spark, folder):
     return rounded(evaluate.ranking_measures(tables.scored_events(spark, folder), raw="attack_probability"))
 
 
+@query
+def exact_ranking_measures(spark, folder):
+    """The same over scores that are hardly ever equal."""
+    events = table(spark, folder, "events").select(
+        (F.col("event_type") == "error").cast("int").alias("label"), (F.col("value") / (F.col("value") + 50.0)).alias("score")
+    )
+    return rounded(evaluate.ranking_measures(events, raw="score"))
+
+
 @query
 def class_weights(spark, folder):
     return rounded(train.class_weights(tables.line_rows(spark, folder)), 9)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -80,6 +82,29 @@ def test_ranking_measures(scores):
     assert 0 < row.pr_auc <= 1
 
 
+def test_ranking_measures_are_exact_for_any_scores(spark):
+    rng = random.Random(7)
+    data = [(rng.randint(0, 1), rng.choice([rng.random(), 0.25, -3.0])) for _ in range(300)] + [(None, 0.5), (1, None)]
+    row = evaluate.ranking_measures(spark.createDataFrame(data, "label int, s double"), raw="s", slots=8).first()
+    known = [(label, s) for label, s in data if label is not None and s is not None]
+    ones, zeros = [s for label, s in known if label], [s for label, s in known if not label]
+    wins = sum((a > b) + (a == b) / 2 for a in ones for b in zeros)
+    assert row.roc_auc == pytest.approx(wins / len(ones) / len(zeros))
+    area, recall, precision = 0.0, 0.0, None
+    for cut in sorted({s for _, s in known}, reverse=True):
+        tp, fp = sum(s >= cut for s in ones), sum(s >= cut for s in zeros)
+        now = tp / (tp + fp)
+        area += (tp / len(ones) - recall) * (now + (now if precision is None else precision)) / 2
+        recall, precision = tp / len(ones), now
+    assert row.pr_auc == pytest.approx(area)
+
+
+@pytest.mark.parametrize("data", [[], [(1, 0.5), (1, 0.7)], [(0, 0.5)]])
+def test_ranking_measures_need_both_labels(spark, data):
+    row = evaluate.ranking_measures(spark.createDataFrame(data, "label int, s double"), raw="s").first()
+    assert row.roc_auc is None and row.pr_auc is None
+
+
 def test_challenge_is_empty_without_runs(spark):
     df = spark.createDataFrame([(1, 0.9, "training"), (0, 0.2, "calibration")], "label int, score double, lab_mode string")
     assert evaluate.challenge_measures(df, 0.5, score="score").first().tp == 1

@@ -5,7 +5,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from flowsight.contract import EVENT_TRUTH_SCHEMA, FLOW, ddl
-from flowsight.operators import evaluate, features, score, train
+from flowsight.operators import evaluate, features, score, split, train
 from flowsight.operators.windows import SESSION_FEATURES, WINDOW_FEATURES
 from flowsight.plans import batch, learning
 from flowsight.contract import Contract
@@ -109,9 +109,10 @@ def test_full_training_scores_the_test_part_once(spark, rows, tmp_path):
 
 
 def test_sampled_and_baseline_jobs(rows):
-    fitted = learning.sampled_job(rows, SMALL, train_rows=100, validation_rows=40)
+    fitted = learning.sampled_job(rows, SMALL, train_rows=100)
     report = fitted.report.first()
-    assert report.total == 40 and 0 <= report.roc_auc <= 1
+    held = split.holdout_split(rows, "id", fraction=0.2, seed=42)[1].count()
+    assert report.total == held and 0 <= report.roc_auc <= 1
     assert train.model_details(fitted.model.stages[-1])["trees"] == 12
 
 

@@ -116,13 +116,14 @@ def test_local_session_without_a_shared_folder(spark, monkeypatch):
     assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
 
 
-def test_spread_only_small_tables(spark):
-    wide = spark.range(0, 100_000, 1, 8)
-    assert spread(wide) is wide
-    narrow = spread(spark.range(0, 50_000, 1, 1))
-    assert narrow.count() == 50_000 and narrow.rdd.getNumPartitions() > 1
-    tiny = spark.range(0, 100, 1, 1)
-    assert spread(tiny) is tiny
+def test_spread_follows_from_the_rows_alone(spark):
+    def placed(df):
+        parts = spread(df, divisor=30).withColumn("part", F.spark_partition_id())
+        return parts.withColumn("place", F.monotonically_increasing_id()).orderBy("id").collect()
+
+    few = placed(spark.range(0, 10_000, 1, 1))
+    assert few == placed(spark.range(0, 10_000, 1, 7).orderBy(F.desc("id")))
+    assert {row.part for row in few} == {0, 1, 2, 3}
 
 
 def test_session_defaults(spark):
