@@ -64,15 +64,16 @@ class Fitted:
 
 
 def model_details(model: Model) -> dict[str, float]:
-    """Figures of a fitted logistic regression or forest."""
+    """Figures of a fitted logistic regression or forest; a loaded regression no longer knows its iterations."""
     if hasattr(model, "trees"):
         return {
             "trees": float(model.getNumTrees),
             "nodes": float(model.totalNumNodes),
             "used_features": float(model.featureImportances.numNonzeros()),
         }
+    iterations = {"iterations": float(model.summary.totalIterations)} if model.hasSummary else {}
     return {
-        "iterations": float(model.summary.totalIterations),
+        **iterations,
         "coefficient_norm": float(model.coefficients.norm(2)),
         "nonzero_coefficients": float(model.coefficients.numNonzeros()),
         "intercept": float(model.intercept),

@@ -55,7 +55,7 @@ def test_comparison_locks_the_winner(spark, rows, tmp_path):
     model, loaded = score.load_locked(spark, path)
     assert loaded == lock and 0 < lock.decision_threshold < 1
     details = train.details_table(rows, lock.model_name, model.stages[-1])
-    assert {r.detail for r in details.collect()} in ({"trees", "nodes", "used_features"}, {"iterations", "coefficient_norm", "nonzero_coefficients", "intercept"})
+    assert {r.detail for r in details.collect()} in ({"trees", "nodes", "used_features"}, {"coefficient_norm", "nonzero_coefficients", "intercept"})
     scored = score.score_batch(rows, model, lock, str(tmp_path / "scores"), run_id="r", scored_at="t", csv=True)
     assert scored.count() == 400 and spark.read.csv(str(tmp_path / "scores/csv"), header=True).count() == 400
     with pytest.raises(Exception, match="(?i)already exists"):
