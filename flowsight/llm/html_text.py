@@ -32,6 +32,9 @@ IMPLIED = {
 SCOPE = frozenset({"table", "td", "th", "html", "body", "caption"})
 HIDDEN_STYLE = re.compile(r"(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))", re.I)
 WHITE = re.compile(r"[ \t\n\x0b\x0c\r]+")
+# Widest column that cells are padded to, and the columns that spans may fill: one cell must not blow up all rows.
+MAX_PAD = 100
+MAX_COLUMNS = 1_000
 
 
 class Node:
@@ -61,6 +64,8 @@ class TreeBuilder(HTMLParser):
         closes, ends = IMPLIED.get(tag, ((), ()))
         if tag in BLOCKS and not closes:
             closes, ends = {"p"}, SCOPE
+        if not closes:
+            return
         found = None
         for place in range(len(self.open) - 1, 0, -1):
             if self.open[place].tag in ends:
@@ -159,29 +164,60 @@ def list_lines(node: Node) -> list[str]:
     return lines
 
 
+def reach(cell: Node, name: str, most: int) -> int:
+    """How many columns or rows a cell takes; ``most`` is the limit of the HTML standard."""
+    value = (cell.attrs.get(name) or "").strip()
+    return max(1, min(most, int(value))) if value.isascii() and value.isdigit() else 1
+
+
 def table_rows(node: Node) -> list[list[str]]:
-    rows = []
+    """Texts of the cells by row and column; places that a cell takes besides its first are empty."""
+    rows, below = [], {}
+
+    def skip_taken(row: list[str]) -> None:
+        while below.get(len(row), 0):
+            below[len(row)] -= 1
+            row.append("")
+
     for child in node.children:
         if not isinstance(child, Node) or child.hidden():
             continue
         if child.tag == "tr":
-            cells = [cell for cell in child.children if isinstance(cell, Node) and cell.tag in CELLS and not cell.hidden()]
+            row: list[str] = []
+            for cell in child.children:
+                if not (isinstance(cell, Node) and cell.tag in CELLS) or cell.hidden():
+                    continue
+                skip_taken(row)
+                wide = min(reach(cell, "colspan", MAX_COLUMNS), max(1, MAX_COLUMNS - len(row)))
+                deep = reach(cell, "rowspan", 65_534)
+                for place in range(len(row), len(row) + wide if deep > 1 else 0):
+                    below[place] = deep - 1
+                row.append(" ".join(line for line in inline_lines(cell.children) if line))
+                row.extend([""] * (wide - 1))
+            skip_taken(row)
             loose = [cell for cell in child.children if not (isinstance(cell, Node) and cell.tag in CELLS)]
-            row = [" ".join(line for line in inline_lines(cell.children) if line) for cell in cells]
-            extra = " ".join(inline_lines(loose))
-            rows.append(row + ([extra] if extra else []))
+            row.append(" ".join(inline_lines(loose)))
+            while row and not row[-1]:
+                row.pop()
+            rows.append(row)
         elif child.tag in {"thead", "tbody", "tfoot"}:
             rows.extend(table_rows(child))
-    return [row for row in rows if any(row)]
+    return [row for row in rows if row]
 
 
 def table_lines(node: Node) -> list[str]:
-    """Cells of a column begin at the same place; text outside of rows comes before them."""
+    """Cells of a column begin at the same place; text outside of rows comes before them.
+
+    Cells longer than ``MAX_PAD`` are whole, but the other cells of the column are not padded to them.
+    """
     rows = table_rows(node)
     outside = [c for c in node.children if isinstance(c, str) or c.tag not in {"tr", "thead", "tbody", "tfoot"}]
-    lines = inline_lines(outside)
-    widths = [max(len(row[place]) for row in rows if place < len(row)) for place in range(max(map(len, rows), default=0))]
-    return lines + [" | ".join(cell.ljust(width) for cell, width in zip(row, widths)).rstrip() for row in rows]
+    widths: list[int] = []
+    for row in rows:
+        widths.extend([0] * (len(row) - len(widths)))
+        for place, cell in enumerate(row):
+            widths[place] = max(widths[place], min(len(cell), MAX_PAD))
+    return inline_lines(outside) + [" | ".join(cell.ljust(width) for cell, width in zip(row, widths)).rstrip() for row in rows]
 
 
 def lay_out(nodes: list, layout: Layout) -> None:

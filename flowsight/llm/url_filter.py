@@ -84,9 +84,10 @@ class Trie:
     def deepest(place: list, parts: list[str]) -> Rule | None:
         found = place[1]
         for part in [*parts, ""]:
-            tails = [tail for tail in place[2] if part.startswith(tail)]
-            if tails:
-                found = place[2][max(tails, key=len)]
+            ends = {len(tail) for tail in place[2]} if len(place[2]) <= len(part) else range(1, len(part) + 1)
+            tail = next((part[:end] for end in sorted(ends, reverse=True) if part[:end] in place[2]), None)
+            if tail is not None:
+                found = place[2][tail]
             place = place[0].get(part)
             if place is None:
                 return found

@@ -323,6 +323,10 @@ PAGES = {
     "a<p>b<p>c": "a\n\nb\n\nc",
     "<ul><li>a<li>b<ol><li>x<li>y</ol><li>c</ul>": "- a\n- b\n\n  1. x\n  2. y\n- c",
     "<table><tr><th>n<th>value<tr><td>long name<td>1</table>": "n         | value\nlong name | 1",
+    "<table><tr><td colspan=2>wide<td>c<tr><td>a<td>b<td>c</table>": "wide |   | c\na    | b | c",
+    "<table><tr><td rowspan=2>tall<td>x<tr><td>y<tr><td>z</table>": "tall | x\n     | y\nz",
+    "<table><tr><td colspan=x>a<td colspan=0>b<td colspan=99999></table>": "a | b",
+    "<table><tr><td>" + "w" * 150 + "<td>b<tr><td>a<td>b</table>": "w" * 150 + " | b\na" + " " * 99 + " | b",
     "<div hidden>x</div><span style='display: none'>y</span><script>z</script>seen<!-- c -->": "seen",
     "<head><title>t</title><p>body &amp; soul&nbsp;x": "body & soul\xa0x",
     "<pre> a\n  b</pre>c": " a\n  b\n\nc",
