@@ -5,6 +5,9 @@ import verify
 from flowsight.plans import tables
 from tests.conftest import SMALL
 
+# the window job refuses parts with fewer than five windows of a label, which the smallest tables have
+LARGER = {"window_measures_check": "/root/testdata/sf0.01"}
+
 
 @pytest.fixture(scope="module")
 def db():
@@ -21,7 +24,8 @@ def test_every_counterpart_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_its_sql(spark, db, name):
-    assert verify.compare(spark, db, name, SMALL) == ""
+    folder = LARGER.get(name, SMALL)
+    assert verify.compare(spark, verify.connect(folder) if name in LARGER else db, name, folder) == ""
 
 
 @pytest.mark.parametrize("name", sorted(tables.SCHEMAS))
