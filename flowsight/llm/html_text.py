@@ -18,6 +18,10 @@ BLOCKS = frozenset(
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
 CELLS = frozenset({"td", "th"})
+SECTIONS = frozenset({"thead", "tbody", "tfoot"})
+# What rows, cells and sections may stand in, and what a search for that must not leave.
+ROW_PLACES = SECTIONS | {"table", "tr"}
+ROW_LIMITS = CELLS | RAW_HIDDEN
 # A tag that opens closes these open elements, looking outwards up to the given ends.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -75,6 +79,20 @@ class TreeBuilder(HTMLParser):
         if found is not None:
             self.close_to(found)
 
+    def enter_rows(self, tag: str) -> None:
+        """Ends what stands between a row, cell or section and its place in the table; a cell outside of a row gets one."""
+        for place in range(len(self.open) - 1, 0, -1):
+            found = self.open[place].tag
+            if found in ROW_LIMITS:
+                return
+            if found in ROW_PLACES:
+                self.close_to(place + 1)
+                if tag in CELLS and found != "tr":
+                    row = Node("tr", {})
+                    self.open[-1].children.append(row)
+                    self.open.append(row)
+                return
+
     def handle_starttag(self, tag, attrs):
         if tag == "html":
             self.root.attrs |= dict(attrs)
@@ -82,9 +100,13 @@ class TreeBuilder(HTMLParser):
         if tag in {"body", "p", "div", "article", "main", "section", "nav"} and self.open[-1].tag == "head":
             self.close_to(len(self.open) - 1)
         self.imply_ends(tag)
+        if tag in CELLS or tag in SECTIONS or tag == "tr":
+            self.enter_rows(tag)
         node = Node(tag, dict(attrs))
+        # a form among rows holds nothing, so that the rows in it are rows of the table
+        empty = tag in VOID or tag == "form" and self.open[-1].tag in ROW_PLACES
         self.open[-1].children.append(node)
-        if tag not in VOID:
+        if not empty:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
@@ -98,7 +120,7 @@ class TreeBuilder(HTMLParser):
             if self.open[place].tag == tag:
                 self.close_to(place)
                 return
-            if self.open[place].tag in SCOPE and tag not in BLOCKS:
+            if self.open[place].tag in SCOPE and (tag not in BLOCKS or tag == "form"):
                 return
         if tag == "p":
             self.open[-1].children.append(Node("p", {}))
@@ -200,24 +222,34 @@ def table_rows(node: Node) -> list[list[str]]:
             while row and not row[-1]:
                 row.pop()
             rows.append(row)
-        elif child.tag in {"thead", "tbody", "tfoot"}:
+        elif child.tag in SECTIONS:
             rows.extend(table_rows(child))
     return [row for row in rows if row]
 
 
+def outside_rows(node: Node) -> list:
+    """What stands in a table or its sections but in no row."""
+    outside = []
+    for child in node.children:
+        if isinstance(child, str) or child.tag not in SECTIONS | {"tr"}:
+            outside.append(child)
+        elif child.tag in SECTIONS and not child.hidden():
+            outside.extend([" ", *outside_rows(child), " "])
+    return outside
+
+
 def table_lines(node: Node) -> list[str]:
     """Cells of a column begin at the same place; text outside of rows comes before them.
 
     Cells longer than ``MAX_PAD`` are whole, but the other cells of the column are not padded to them.
     """
     rows = table_rows(node)
-    outside = [c for c in node.children if isinstance(c, str) or c.tag not in {"tr", "thead", "tbody", "tfoot"}]
     widths: list[int] = []
     for row in rows:
         widths.extend([0] * (len(row) - len(widths)))
         for place, cell in enumerate(row):
             widths[place] = max(widths[place], min(len(cell), MAX_PAD))
-    return inline_lines(outside) + [" | ".join(cell.ljust(width) for cell, width in zip(row, widths)).rstrip() for row in rows]
+    return inline_lines(outside_rows(node)) + [" | ".join(cell.ljust(width) for cell, width in zip(row, widths)).rstrip() for row in rows]
 
 
 def lay_out(nodes: list, layout: Layout) -> None:

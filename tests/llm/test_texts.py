@@ -359,3 +359,20 @@ def test_every_word_of_a_page_is_in_its_text(spark):
 
         words = Counter(re.findall(r"\w+", entities.unescape(re.sub(r"<[^>]*>", " ", body))))
         assert Counter(re.findall(r"\w+", re.sub(r"(?m)^\s*\d+\. ", "", html_text.visible_text(row["html"])))) == words
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<table><tbody><td>x</td></tbody></table>", "x"),
+        ("<table><td>x<td>y</table>", "x | y"),
+        ("<table><tbody><form><tr><td>a</td></tr><tr><td>b</td></tr></form></tbody></table>z", "a\nb\n\nz"),
+        ("<table><tbody>loose <a href=x>link</a><tr><td>a</td></tr></tbody><tbody>more</tbody></table>", "loose link more\na"),
+        ("<table><tfoot><div>note</div><tr><th>t</th></tr></tfoot></table>", "note\nt"),
+        ("<table><tbody><div>note<tr><td>a<td>b</table>", "note\na | b"),
+        ("<table><tbody hidden>gone<td>gone</tbody><tbody><template><tr><td>gone</td></tr></template><tr><td>a</table>", "a"),
+        ("<table><tr><td><table><tbody><td>in</table><td>out</table>", "in | out"),
+    ],
+)
+def test_tables_hold_what_is_in_no_row(html, want):
+    assert html_text.visible_text(html) == want
