@@ -33,6 +33,8 @@ IMPLIED = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
+# What may stand in a head; any other tag and any text ends it.
+IN_HEAD = frozenset("base link meta title style script noscript template".split())
 SCOPE = frozenset({"table", "td", "th", "html", "body", "caption"})
 HIDDEN_STYLE = re.compile(r"(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))", re.I)
 WHITE = re.compile(r"[ \t\n\x0b\x0c\r]+")
@@ -64,6 +66,10 @@ class TreeBuilder(HTMLParser):
     def close_to(self, place: int) -> None:
         del self.open[place:]
 
+    def end_head(self) -> None:
+        if self.open[-1].tag == "head":
+            self.close_to(len(self.open) - 1)
+
     def imply_ends(self, tag: str) -> None:
         closes, ends = IMPLIED.get(tag, ((), ()))
         if tag in BLOCKS and not closes:
@@ -97,8 +103,8 @@ class TreeBuilder(HTMLParser):
         if tag == "html":
             self.root.attrs |= dict(attrs)
             return
-        if tag in {"body", "p", "div", "article", "main", "section", "nav"} and self.open[-1].tag == "head":
-            self.close_to(len(self.open) - 1)
+        if tag not in IN_HEAD:
+            self.end_head()
         self.imply_ends(tag)
         if tag in CELLS or tag in SECTIONS or tag == "tr":
             self.enter_rows(tag)
@@ -126,6 +132,8 @@ class TreeBuilder(HTMLParser):
             self.open[-1].children.append(Node("p", {}))
 
     def handle_data(self, data):
+        if WHITE.sub("", data):
+            self.end_head()
         self.open[-1].children.append(data)
 
 

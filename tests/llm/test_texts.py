@@ -376,3 +376,17 @@ def test_every_word_of_a_page_is_in_its_text(spark):
 )
 def test_tables_hold_what_is_in_no_row(html, want):
     assert html_text.visible_text(html) == want
+
+
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        ("<h1>Hello</h1><ul><li>a</ul><p>x", "Hello\n\n- a\n\nx"), ("<header>top</header><p>x", "top\n\nx"),
+        ("<center>c<p>x<div>y</div>", "c\n\nx\n\ny"), ("plain<p>x", "plain\n\nx"), ("<a href=u>link</a> <b>b</b>", "link b"),
+        ("<table><tr><td>a</table>x", "a\n\nx"), ("<span>s</span><form>f</form>", "s\nf"), ("<img alt=pic>", "pic"),
+    ],
+)
+def test_head_without_end_hides_no_body(body, want):
+    head = "<head><meta charset=u> <link rel=x><title>t</title><style>s</style>\n<script>j</script><noscript>n</noscript>"
+    assert html_text.visible_text(head + body) == want
+    assert html_text.visible_text(f"<html>{head}</head><body>{body}") == want
