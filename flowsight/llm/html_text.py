@@ -62,6 +62,7 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.deepest = 1
 
     def close_to(self, place: int) -> None:
         del self.open[place:]
@@ -114,6 +115,7 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(node)
         if not empty:
             self.open.append(node)
+            self.deepest = max(self.deepest, len(self.open))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -310,7 +312,7 @@ def visible_text(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(html or "")
     builder.close()
-    if len(builder.open) > 200:
+    if builder.deepest > 200:
         flatten(builder.root)
     return "\n".join(inline_lines(builder.root.children))
 

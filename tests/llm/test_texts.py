@@ -390,3 +390,11 @@ def test_head_without_end_hides_no_body(body, want):
     head = "<head><meta charset=u> <link rel=x><title>t</title><style>s</style>\n<script>j</script><noscript>n</noscript>"
     assert html_text.visible_text(head + body) == want
     assert html_text.visible_text(f"<html>{head}</head><body>{body}") == want
+
+
+@pytest.mark.parametrize("levels", [90, 330, 2_000])
+def test_closed_nested_lists_and_tables(levels):
+    numbers = [f"n{place}" for place in range(levels)]
+    for before, after in (("<ul><li>", "</li></ul>"), ("<table><tbody><tr><td>", "</td></tr></tbody></table>"), ("<ul>", "</ul>")):
+        page = "".join(f"{before}{number}" for number in numbers) + after * levels + "<p>end"
+        assert re.findall(r"\w+", html_text.visible_text(page)) == [*numbers, "end"]
