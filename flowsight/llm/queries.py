@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsight.llm import bpe, chat, exact_dedup, html_text, langid, line_dedup, near_dup, packing, quality, url_filter
+from flowsight.llm import (
+    bpe, chat, divergence, exact_dedup, html_text, langid, line_dedup, near_dup, neighbours, packing, periodic, quality, url_filter,
+)
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -39,7 +41,7 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def is_held_out(doc_id) -> F.Column:
-    """The rows that language ID never learns from; false for a null doc_id, which it does not learn from either."""
+    """The rows that fits never learn from; false for a null doc_id, which they do not learn from either."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
@@ -80,11 +82,28 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    planted = periodic.with_planted_runs(F.col("doc_id"), F.col("text")).alias("text")
+    return periodic.run_digests(periodic.find_runs(docs.select("doc_id", planted)))
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op13_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    marks = table(spark, folder, "labels").where(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
+    found = neighbours.score(docs, neighbours.fit(docs, marks, label="quality"))
+    return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_html_text, op2_near_duplicates, op3_chat, op4_language, op5_line_dedup, op6_byte_bpe, op7_url_filter,
-        op8_packing, op9_quality, op10_exact_dedup,
+        op8_packing, op9_quality, op10_exact_dedup, op11_periodic_runs, op12_divergence, op13_quality_votes,
     )
 }
 
@@ -141,4 +160,39 @@ ORACLES = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM marked
     """,
+    "op12_divergence": r"""
+        WITH docs AS (
+          SELECT coalesce(lang,'') AS lang, coalesce(source,'') AS source, row_number() OVER () AS id, coalesce(text,'') AS text FROM documents
+        ), terms AS (
+          SELECT lang, source, id, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs
+        ), kept AS (
+          SELECT lang, term, count(*) AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+        ), langs AS (
+          SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+        ), groups AS (
+          SELECT DISTINCT lang, source FROM docs
+        ), counts AS (
+          SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), totals AS (
+          SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL
+        ), shares AS (
+          SELECT lang, source, term, coalesce(c.n, 0) AS n,
+                 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * v) AS p,
+                 1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * v) AS q
+          FROM groups JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term) LEFT JOIN totals t USING (lang, source)
+        ), pairs AS (
+          SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), all_pairs AS (
+          SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+        ), found AS (
+          SELECT * FROM all_pairs UNION ALL
+          SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q
+        ), ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+        )
+        SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
 }
