@@ -167,6 +167,13 @@ def look_up(digests: DataFrame, index: DataFrame, shards: int, lookup_rows: int
     return salted.groupBy(keys).cogroup(copies.drop("salts").groupBy(keys)).applyInPandas(answer, FOUND)
 
 
+def looked_up(digests: DataFrame, history: DataFrame, shard_keys: int = SHARD_KEYS, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """Every row of ``digests`` with what an index of ``history`` holds for it."""
+    known = written(history, "history")
+    shards = max(1, -(-known.count() // shard_keys))
+    return look_up(digests, build_index(known, shards), shards, lookup_rows)
+
+
 def exact_duplicates(
     docs: DataFrame,
     *,
@@ -185,9 +192,7 @@ def exact_duplicates(
     returned, with the same answer; an empty table gives an empty result; other columns are ignored.
     """
     digests = written(text_digests(docs, doc_id=doc_id, text=text), "digests")
-    known = written(winners(digests) if history is None else history, "history")
-    shards = max(1, -(-known.count() // shard_keys))
-    found = look_up(digests, build_index(known, shards), shards, lookup_rows)
+    found = looked_up(digests, winners(digests) if history is None else history, shard_keys, lookup_rows)
     if history is not None:
         found = written(found, "found")
         fresh = winners(
@@ -214,17 +219,35 @@ def winners_more(found: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; a repeated winning row stays once.
+    """One row of each group of equal texts, with all its columns: the one that ``exact_duplicates`` keeps.
 
-    Rows without a doc_id stay unless a copy with a doc_id wins over them.
+    A row is known by its doc_id together with its text, so one id of several texts, and rows without
+    an id, lose no text and keep no copy. Of rows that are equal in both, the one with the least hash of its
+    text stays. Null and empty texts are equal to each other; an empty table gives an empty result;
+    columns of any name are kept.
     """
-    groups = exact_duplicates(docs, doc_id=doc_id, text=text)
-    losers = written(groups.where(~F.col("kept")).select("doc_id").where("doc_id is not null").distinct(), "losers")
-    kept = docs.join(losers, docs[doc_id] == losers["doc_id"], "left_anti")
-    repeated = written(
-        groups.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
-    )
+    digests = written(text_digests(docs, doc_id=doc_id, text=text), "digests")
+    found = written(looked_up(digests, winners(digests)).where("group_size > 1"), "copies")
+    wins = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row_chars") == F.col("chars"))
+
+    def key(own_id: Column, digest: Column, chars: Column) -> list[Column]:
+        # small, so that more of them can be broadcast: 32 bits tell the texts of one id apart, rows without an id need more
+        values = digest, chars.cast("bigint")
+        return [own_id, F.hash(*values), F.when(own_id.isNull(), F.xxhash64(*values)).otherwise(F.lit(0))]
+
+    names = ("own_id", "of_id", "of_text")
+    losing = key(F.col("doc_id"), F.col("digest"), F.col("row_chars"))
+    losers = found.where(~wins).select(*[column.alias(name) for name, column in zip(names, losing)]).distinct()
+    losers = written(losers, "losers")
+    repeated = written(found.where(wins).groupBy("digest").count().where("count > 1").select(F.col("digest").alias("again")), "repeated")
+    body = text_or_empty(docs, text)
+    digest = F.unhex(F.sha2(normalised(body).cast("binary"), 256))
+    same = [column.eqNullSafe(losers[name]) for name, column in zip(names, key(docs[doc_id], digest, F.char_length(body)))]
+    kept = docs.join(losers, same, "left_anti")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, kept[doc_id] == repeated["doc_id"], "left_semi").dropDuplicates([doc_id])
-    return kept.join(repeated, kept[doc_id] == repeated["doc_id"], "left_anti").unionByName(once)
+    same_text = digest == repeated["again"]
+    # rows of a group are combined before the shuffle
+    first = F.min_by(F.struct(*[docs[name] for name in docs.columns]), F.xxhash64(docs[text])).alias("first")
+    once = kept.join(repeated, same_text, "inner").groupBy(repeated["again"]).agg(first).select("first.*")
+    return kept.join(repeated, same_text, "left_anti").unionByName(once)

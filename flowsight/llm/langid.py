@@ -8,7 +8,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsight.llm.batches import arrow_schema, filter_batches, map_batches, required
@@ -22,17 +22,24 @@ BLOCK_CHARS = 1_000_000
 
 @dataclass(frozen=True)
 class Settings:
-    """``n``: letters of an n-gram. ``min_rate``: share of a language's n-grams that one must have to
-    belong to it, so that a language has at most ``1 / min_rate`` of them however much text is
-    learned from. ``min_ratio``: the least share of the rate that the n-gram has where it is most common,
-    so that stray words of other languages do not count. ``hashes``, ``slots_per_key``: the filter."""
+    """``n``: letters of an n-gram. ``model_bytes``: what the filter may take at most, however many languages
+    there are and however much text is learned from; each language has its most common n-grams in it, ``most_keys``
+    of them or fewer if the bytes ask for it. ``most_langs``: languages that are learned, those with
+    the most n-grams if there are more. ``min_ratio``: the least share of the rate that the n-gram has where it is most
+    common, so that stray words of other languages do not count. ``hashes``, ``slots_per_key``: the filter."""
 
     n: int = 4
-    min_rate: float = 1e-5
+    model_bytes: int = 64 << 20
+    most_keys: int = 20_000
+    most_langs: int = 1_000
     min_ratio: float = 0.2
     hashes: int = 3
     slots_per_key: int = 16
 
+    def keys_per_lang(self, langs: int) -> int:
+        """So many that all languages' slots, of a bit a language each, fit the bytes of the model."""
+        return max(1, min(self.most_keys, self.model_bytes // (self.slots_per_key * langs * -(-langs // 8))))
+
 
 @cache
 def letters() -> np.ndarray:
@@ -40,10 +47,32 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(code).isalpha() for code in range(0x110000)), bool, 0x110000)
 
 
+# First and last code points of scripts that put no spaces between words.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF),
+)
+
+
+@cache
+def unspaced() -> np.ndarray:
+    """Which code points are letters of scripts without spaces."""
+    table = np.zeros(0x110000, bool)
+    for low, high in UNSPACED:
+        table[low : high + 1] = letters()[low : high + 1]
+    return table
+
+
+def mixed_keys(keys: np.ndarray) -> np.ndarray:
+    keys = (keys ^ (keys >> np.uint64(29))) * MIX
+    return keys ^ (keys >> np.uint64(32))
+
+
 def ngrams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit keys of the n-grams of the lower-cased texts, and the number of the text of each.
 
-    What is not a letter is a space; an n-gram may begin and end with a space but has none within.
+    What is not a letter is a space; an n-gram may begin and end with a space but has none within. In
+    scripts without spaces, where most n-grams of a text are rare, pairs of letters are taken instead.
     """
     lowered = [f" {text.lower()} " for text in texts]
     codes = np.frombuffer("".join(lowered).encode("utf-32-le"), np.uint32)
@@ -53,14 +82,20 @@ def ngrams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     spans = len(codes) - n + 1
     if spans < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    dense = unspaced()[codes]
     whole = np.ones(spans, bool)
     keys = np.zeros(spans, np.uint64)
     for step in range(n):
         if 0 < step < n - 1:
             whole &= is_letter[step : step + spans]
         keys = keys * np.uint64(0x1000003) + codes[step : step + spans]
-    keys = (keys ^ (keys >> np.uint64(29))) * MIX
-    return (keys ^ (keys >> np.uint64(32)))[whole], owner[:spans][whole]
+    if not dense.any():
+        return mixed_keys(keys[whole]), owner[:spans][whole]
+    for step in range(n):
+        whole &= ~dense[step : step + spans]
+    pairs = np.flatnonzero(dense[:-1] & dense[1:])
+    both = np.concatenate([keys[whole], (codes[pairs] << np.uint64(32)) + codes[pairs + 1]])
+    return mixed_keys(both), np.concatenate([owner[:spans][whole], owner[pairs]])
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,12 +159,16 @@ def count_ngrams(labelled: DataFrame, settings: Settings) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """A row of ``slices`` for each slot; bit l of a row says that language l may have an n-gram there."""
+    """A row of ``slices`` for each slot; bit l of a row says that language l may have an n-gram there.
+
+    ``coverage`` is the share of a language's own n-grams that the filter has.
+    """
 
     langs: list[str]
     common: str
     slices: np.ndarray
     false_rates: np.ndarray
+    coverage: np.ndarray
     settings: Settings
 
 
@@ -138,38 +177,55 @@ def slots(keys: np.ndarray, number: int, size: int) -> np.ndarray:
     return (mixed >> np.uint64(33)) % np.uint64(size)
 
 
-def build_filters(members: list[tuple[str, int]], totals: dict[str, int], settings: Settings) -> Model:
-    """Filters from ``(lang, key)`` and the number of n-grams seen in each language."""
+def build_filters(members: list[tuple[str, int, int]], totals: dict[str, int], settings: Settings) -> Model:
+    """Filters from ``(lang, key, n)`` and the number of n-grams seen in each language."""
     langs = sorted(totals)
     number = {lang: place for place, lang in enumerate(langs)}
-    size = max(64, settings.slots_per_key * len({key for _, key in members}))
+    keys = np.array([key for _, key, _ in members], np.int64).view(np.uint64)
+    owners = np.array([number[lang] for lang, _, _ in members], np.int64)
+    size = max(64, settings.slots_per_key * len(np.unique(keys)))
     slices = np.zeros((size, -(-len(langs) // 8)), np.uint8)
-    keys = np.array([key for _, key in members], np.int64).view(np.uint64)
-    owners = np.array([number[lang] for lang, _ in members], np.int64)
     for probe in range(settings.hashes):
         np.bitwise_or.at(slices, (slots(keys, probe, size), owners // 8), (1 << owners % 8).astype(np.uint8))
-    bits = np.unpackbits(slices, axis=1, bitorder="little")[:, : len(langs)]
+    # a byte column at a time, so that the bits are never unpacked all at once
+    filled = [np.unpackbits(slices[:, column, None], axis=1, bitorder="little").mean(axis=0) for column in range(slices.shape[1])]
+    rates = (np.concatenate(filled) if filled else np.zeros(0))[: len(langs)] ** settings.hashes
+    held = np.bincount(owners, weights=[n for _, _, n in members], minlength=len(langs))
+    coverage = held / np.array([max(1, totals[lang]) for lang in langs]) if langs else np.zeros(0)
     common = min(langs, key=lambda lang: (-totals[lang], lang)) if langs else UNKNOWN
-    return Model(langs, common, slices, bits.mean(axis=0) ** settings.hashes, settings)
+    return Model(langs, common, slices, rates, np.maximum(coverage, 1e-9), settings)
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
-    """Learn from all rows of ``text, lang``; rows without a language are left out.
+    """Learn from all rows of ``text, lang``; null texts count as empty, rows without a language are left out.
 
-    What comes to the driver and is broadcast later is bounded by ``1 / min_rate`` keys a language.
+    Every n-gram of every row is counted. Which of them belong to a language does not depend on how
+    much text there is: its most common ones do, as many as fit the model, so that what comes to the driver
+    and is broadcast later has a fixed bound (``Settings.model_bytes``). Of n-grams that are equally
+    common, all belong or none. Repeated rows count as often as they occur; from an empty table
+    nothing is learned; other columns are ignored.
     """
     counts = count_ngrams(required(labelled, "text", "lang").where("lang is not null"), settings)
     counts = written(counts, "ngrams")
-    totals = {row["lang"]: row["total"] for row in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    found = sums.orderBy(F.desc("total"), "lang").limit(settings.most_langs).collect()
+    totals = {row["lang"]: row["total"] for row in found}
     if not totals:
         return build_filters([], {}, settings)
-    total = F.create_map(*(F.lit(part) for pair in totals.items() for part in pair))
-    rated = counts.withColumn("rate", F.col("n") / total[F.col("lang")])
-    common = rated.where(F.col("rate") >= settings.min_rate)
-    best = common.groupBy("key").agg(F.max("rate").alias("best"))
-    chosen = common.join(best, "key").where(F.col("rate") >= settings.min_ratio * F.col("best")).select("lang", "key")
+    most = settings.keys_per_lang(len(totals))
+    langs = labelled.sparkSession.createDataFrame(list(totals.items()), "lang string, total bigint")
+    # how many n-grams of a language are at least so common, by steps of a sixteenth of a power of two
+    step = F.floor(16 * F.log2("n")).cast("int")
+    steps = counts.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("keys"))
+    above = Window.partitionBy("lang").orderBy(F.desc("step"))
+    steps = steps.withColumn("keys", F.sum("keys").over(above)).where(F.col("keys") <= most)
+    least = langs.join(steps.groupBy("lang").agg(F.min("step").alias("least")), "lang")
+    common = counts.join(F.broadcast(least), "lang").where(step >= F.col("least"))
+    rated = written(common.select("lang", "key", "n", (F.col("n") / F.col("total")).alias("rate")), "common-ngrams")
+    best = rated.groupBy("key").agg(F.max("rate").alias("best"))
+    chosen = rated.join(best, "key").where(F.col("rate") >= settings.min_ratio * F.col("best")).select("lang", "key", "n")
     table = chosen.toArrow()
-    return build_filters(list(zip(table["lang"].to_pylist(), table["key"].to_pylist())), totals, settings)
+    return build_filters(list(zip(*(table[name].to_pylist() for name in ("lang", "key", "n")))), totals, settings)
 
 
 def hit_counts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -191,8 +247,10 @@ def hit_counts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def classify(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and score of each text.
 
-    The share of a text's n-grams that a language has is corrected for the filter's false positives;
-    the score is the largest such share. A null text or one without a letter is
+    The share of a text's n-grams that a language has is corrected for the filter's false positives, and
+    divided by the share that the language has of its own texts: a text that is as good as those has 1,
+    also in a script without spaces, where the most common n-grams make up little of a text. The
+    score is the largest such quotient, 1 at most. A null text or one without a letter is
     ``und`` with score 0, and so is every text if nothing was learned. Where no language has any of
     the n-grams, the answer is the language with the most n-grams, with score 0; equal shares go to
     the language that is first by name.
@@ -203,7 +261,8 @@ def classify(model: Model, texts: list[str | None]) -> tuple[list[str], list[flo
         own = [texts[place] for place in block]
         totals, hits = hit_counts(model, own) if model.langs else (np.zeros(len(own)), np.zeros((len(own), 1)))
         false = model.false_rates if model.langs else np.zeros(1)
-        shares = np.maximum(0, (hits / np.maximum(1, totals)[:, None] - false) / (1 - false))
+        coverage = model.coverage if model.langs else np.ones(1)
+        shares = np.maximum(0, (hits / np.maximum(1, totals)[:, None] - false) / (1 - false)) / coverage
         for text, row in zip(own, shares):
             if not model.langs or not any(map(str.isalpha, text)):
                 langs.append(UNKNOWN)
@@ -235,7 +294,11 @@ def identify(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str
 
 
 def known_language(docs: DataFrame, model: Model, min_score: float, *, text: str = "text") -> DataFrame:
-    """The rows whose language can be told with at least ``min_score``, with all their columns."""
+    """The rows whose language can be told with at least ``min_score``, with all their columns.
+
+    Null and empty texts, and those without a letter, go; repeated rows are judged alike; an empty
+    table gives an empty result; columns of any name are kept.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(texts):

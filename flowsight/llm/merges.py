@@ -20,6 +20,7 @@ class MergeTable:
         self.keys = np.full(1 << bits, -1, np.int64)
         self.ranks = np.full(1 << bits, NO_RANK, np.int32)
         self.mask = (1 << bits) - 1
+        self.known: dict[int, int] = {}
         self.results = np.zeros(int(ranks.max()) + 1 if len(ranks) else 1, np.int32)
         self.results[ranks] = results
         waiting, place = np.arange(len(keys)), self.slot(keys)
@@ -54,6 +55,38 @@ class MergeTable:
         return found
 
 
+    def merge_in_turn(self, symbols: list[int]) -> list[int]:
+        """The symbols of one word merged pair by pair: the lowest rank first, and of equal ones the first."""
+        if not self.known:
+            held = np.flatnonzero(self.keys >= 0)
+            self.known = dict(zip(self.keys[held].tolist(), self.ranks[held].tolist()))
+        known, results = self.known, self.results
+        token, count = list(symbols), len(symbols)
+        following, before = list(range(1, count + 1)), list(range(-1, count - 1))
+        waiting = []
+        for place in range(count - 1):
+            rank = known.get(token[place] << SHIFT | token[place + 1])
+            if rank is not None:
+                waiting.append((rank, place))
+        heapq.heapify(waiting)
+        while waiting:
+            rank, left = heapq.heappop(waiting)
+            right = following[left]
+            # a pair that was there when it was put in may be gone
+            if token[left] < 0 or right == count or known.get(token[left] << SHIFT | token[right]) != rank:
+                continue
+            token[left], token[right] = int(results[rank]), -1
+            after = following[left] = following[right]
+            if after < count:
+                before[after] = left
+            for first, second in ((before[left], left), (left, after)):
+                if first >= 0 and second < count:
+                    rank = known.get(token[first] << SHIFT | token[second])
+                    if rank is not None:
+                        heapq.heappush(waiting, (rank, first))
+        return [symbol for symbol in token if symbol >= 0]
+
+
 class PairIndex:
     """Inverted index from the rank of a pair to the positions where the pair begins."""
 
@@ -84,22 +117,36 @@ class PairIndex:
         return rank, np.sort(parts[0]) if len(parts) == 1 else np.unique(np.concatenate(parts))
 
 
+def apart(left: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Of positions in order, those that are merged where pairs overlap: every other one from the first of a row on."""
+    overlaps = np.zeros(len(left), bool)
+    overlaps[1:] = following[left[:-1]] == left[1:]
+    if not overlaps.any():
+        return left
+    number = np.arange(len(left))
+    return left[(number - np.maximum.accumulate(np.where(overlaps, 0, number))) % 2 == 0]
+
+
 def replay(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable) -> tuple[np.ndarray, np.ndarray]:
     """Merge the symbols of words (one after another, with their lengths) until no pair can be merged.
 
     Every merge is applied in rank order at all positions that hold its pair; only the neighbours of
-    a merged pair are looked up again. Of several such positions in one word the first is merged
-    first, and the others wait: a lower rank that the merge brings about goes before them, as when
-    each word is merged by itself. Returns the symbols left, and their number in each word.
+    a merged pair are looked up again. All positions of a pair in a word go at once, unless one of
+    them brings about a lower rank, which would go before the others: such a word, which vocabularies
+    hardly ever have, is merged pair by pair instead. So the time is about in proportion to the symbols however
+    long a word is. Returns the symbols left, and their number in each word.
     """
     count = len(symbols)
     token = symbols.astype(np.int32)
     word = np.repeat(np.arange(len(lengths)), lengths)
     following, before = np.arange(1, count + 1), np.arange(-1, count - 1)
-    ends = np.cumsum(lengths)[lengths > 0]
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    ends = edges[1:][lengths > 0]
     following[ends - 1] = -1
     before[np.concatenate([[0], ends[:-1]])[: len(ends)]] = -1
     ranks, alive = np.full(count, NO_RANK, np.int32), np.ones(count, bool)
+    chosen = np.zeros(count, bool)
+    in_turn: list[int] = []
     inner = np.flatnonzero(following >= 0)
     ranks[inner] = table.rank(token[inner], token[inner + 1])
     index = PairIndex()
@@ -109,29 +156,68 @@ def replay(symbols: np.ndarray, lengths: np.ndarray, table: MergeTable) -> tuple
         left = left[ranks[left] == rank]
         if not len(left):
             continue
-        owners = word[left]
-        first = np.ones(len(left), bool)
-        first[1:] = owners[1:] != owners[:-1]
-        if not first.all():
-            index.add(left[~first], ranks[left[~first]])
-            left = left[first]
+        result = table.results[rank]
+        if len(left) > 1:
+            left = apart(left, following)
+            owners = word[left]
+            same = owners[1:] == owners[:-1]
+            if same.any():
+                together = left[np.append(same, False) | np.insert(same, 0, False)]
+                chosen[left] = True
+                early = lower_ranks(together, chosen, token, following, before, int(result), rank, table)
+                chosen[left] = False
+                if early.any():
+                    for number in np.unique(word[together[early]]).tolist():
+                        in_turn.append(number)
+                        ranks[edges[number] : edges[number + 1]] = NO_RANK
+                    left = left[ranks[left] == rank]
+                    if not len(left):
+                        continue
         right = following[left]
-        after, ahead = following[right], before[left]
-        token[left] = table.results[rank]
-        following[left] = after
+        after = following[right]
+        token[left] = result
         alive[right] = False
         ranks[right] = NO_RANK
         ranks[left] = NO_RANK
-        has_after, has_ahead = after >= 0, ahead >= 0
-        linked, earlier = left[has_after], ahead[has_ahead]
-        before[after[has_after]] = linked
+        following[left] = after
+        has_after = after >= 0
+        linked, after = left[has_after], after[has_after]
+        before[after] = linked
+        # of pairs side by side, the second has the first before it now
+        ahead = before[left]
+        has_ahead = ahead >= 0
+        chosen[left] = True
+        has_ahead[has_ahead] = ~chosen[ahead[has_ahead]]
+        chosen[left] = False
+        earlier = ahead[has_ahead]
         touched = np.concatenate([linked, earlier])
-        fresh = table.rank(token[touched], token[np.concatenate([after[has_after], left[has_ahead]])])
+        fresh = table.rank(token[touched], token[np.concatenate([after, left[has_ahead]])])
         ranks[touched] = fresh
         index.add(touched, fresh)
+    for number in in_turn:
+        low, high = edges[number], edges[number + 1]
+        merged = table.merge_in_turn(symbols[low:high].tolist())
+        token[low : low + len(merged)] = merged
+        alive[low:high] = np.arange(high - low) < len(merged)
     return token[alive], np.bincount(word[alive], minlength=len(lengths))
 
 
+def lower_ranks(
+    left: np.ndarray, chosen: np.ndarray, token: np.ndarray, following: np.ndarray, before: np.ndarray, result: int, rank: int,
+    table: MergeTable,
+) -> np.ndarray:
+    """Which of the merges at ``left`` may make a pair of a lower rank, if those before them in the word are done first."""
+    early = np.zeros(len(left), bool)
+    after, ahead = following[following[left]], before[left]
+    has_after, has_ahead = np.flatnonzero(after >= 0), np.flatnonzero(ahead >= 0)
+    made = np.full(len(left), result, np.int32)
+    early[has_after] = table.rank(made[has_after], token[after[has_after]]) < rank
+    own = ahead[has_ahead]
+    merged = (before[own] >= 0) & chosen[np.maximum(before[own], 0)]
+    early[has_ahead] |= table.rank(np.where(merged, result, token[own]).astype(np.int32), made[has_ahead]) < rank
+    return early
+
+
 def merge_words(words: list[bytes], single: np.ndarray, table: MergeTable, last: np.ndarray | None = None) -> list[bytes]:
     """Packed 32-bit ids of words; ``single`` has the symbols of bytes, ``last`` those of the last byte of a word."""
     lengths = np.array([len(word) for word in words], np.int64)

@@ -41,14 +41,15 @@ class WordTokens:
     The vocabulary lower-cases, drops white space and cuts texts into pieces that it merges one by
     one. Where all code points are below 256, lower-casing and cutting are plain, and the merges of
     the pieces are replayed together. Other texts are cut at blanks, which tokens never cross, and
-    parts with other code points go through the tokeniser itself.
+    parts with other code points go through the tokeniser itself. So do whole texts that hold one of the
+    vocabulary's added tokens literally, which the tokeniser gives their own ids.
     """
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             state = json.load(file)
+        self.added = [token["content"] for token in state["added_tokens"]]
         vocabulary, suffix = state["model"]["vocab"], state["model"]["end_of_word_suffix"]
         first = state["pre_tokenizer"]["pretokenizers"][0]
         self.split = Splitter(first["pattern"]["Regex"])
@@ -77,9 +78,12 @@ class WordTokens:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of whole texts as little-endian 32-bit numbers."""
         for block in blocks(texts):
-            split = {place: self.split(texts[place].lower()) for place in block if is_latin(texts[place])}
+            special = [place for place in block if any(token in texts[place] for token in self.added)]
+            encoded = self.whole.encode_batch([texts[place] for place in special], add_special_tokens=False)
+            done = {place: array("I", found.ids).tobytes() for place, found in zip(special, encoded)}
+            split = {place: self.split(texts[place].lower()) for place in block if place not in done and is_latin(texts[place])}
             table = self.pieces.table(chain.from_iterable(split.values()))
-            done = {place: b"".join(map(table.__getitem__, pieces)) for place, pieces in split.items()}
+            done |= {place: b"".join(map(table.__getitem__, pieces)) for place, pieces in split.items()}
             split = {place: texts[place].replace("\n", " ").split(" ") for place in block if place not in done}
             table = self.units.table(chain.from_iterable(split.values()))
             done |= {place: b"".join(map(table.__getitem__, units)) for place, units in split.items()}

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from array import array
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
+import tiktoken
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flowsight.llm.batches import filter_batches, map_batches, required
+from flowsight.llm.batches import arrow_schema, required, slices
+from flowsight.llm.bpe import read_ranks
 from flowsight.llm.words import Memo, blocks, only_loaded
+from flowsight.session import written
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -21,28 +28,25 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
 
-@dataclass(frozen=True)
-class Band:
-    """What a script's texts may have: characters per token, share of byte-fallback tokens, token entropy.
+# Of a measure, what lies further than this many times the distance of its quartiles outside them is rejected.
+FENCE = 4.0
+# Texts that a band must be measured on.
+BAND_TEXTS = 100
+# The measures of each vocabulary, and what the distance to the fence is at least.
+SHAPES = {"chars_per_token": 0.2, "fallback_share": 0.05, "token_entropy": 0.4}
+VOCABULARIES = ("piece", "byte")
+SHAPE_NAMES = tuple(f"{vocabulary}_{shape}" for vocabulary in VOCABULARIES for shape in SHAPES)
 
-    Entropy is in bits, and asked of texts with at least ``entropy_tokens`` tokens only.
-    """
 
-    min_chars: float
-    max_chars: float
-    max_fallback: float
-    min_entropy: float
-    entropy_tokens: int = 50
+@dataclass(frozen=True)
+class Vocabularies:
+    """Places of a SentencePiece vocabulary with byte fallback, and of the ranks and pattern of a byte-level one."""
+
+    pieces: str
+    ranks: str
+    pattern: str
 
 
-# Bands by script, wide enough for prose in any language of the script.
-BANDS = {
-    "latin": Band(1.1, 8.0, 0.10, 3.5),
-    "cyrillic": Band(0.8, 8.0, 0.10, 3.5),
-    "greek": Band(0.5, 8.0, 0.60, 3.0),
-    "han": Band(0.3, 4.0, 0.70, 3.0),
-    "other": Band(0.2, 8.0, 1.00, 2.5),
-}
 # First and last code points of the letters that stand for a script.
 SCRIPTS = {
     "latin": ((0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x24F), (0x1E00, 0x1EFF)),
@@ -52,11 +56,31 @@ SCRIPTS = {
 }
 
 
-def word_memo(model: str) -> tuple[Memo, np.ndarray]:
-    """Ids of single words by the vocabulary, kept by the worker; and which ids are fallback bytes."""
-    pieces = sentencepiece.SentencePieceProcessor(model_file=model)
-    memo = Memo(lambda words: [array("i", ids).tobytes() for ids in pieces.encode([w.decode() for w in words], num_threads=1)])
-    return memo, np.array([pieces.is_byte(number) for number in range(pieces.get_piece_size())])
+class WordShapes:
+    """Ids of single words by both vocabularies, kept by the worker; and which ids stand for bytes of a character."""
+
+    def __init__(self, files: Vocabularies):
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=files.pieces)
+        ranks = read_ranks(files.ranks)
+        self.bytes = tiktoken.Encoding("bytes", pat_str=files.pattern, mergeable_ranks=ranks, special_tokens={})
+        piece_bytes = np.array([self.pieces.is_byte(number) for number in range(self.pieces.get_piece_size())])
+        part_of_character = np.zeros(max(ranks.values()) + 1, bool)
+        part_of_character[[rank for token, rank in ranks.items() if len(token) == 1 and token[0] >= 0x80]] = True
+        self.fallback = (piece_bytes, part_of_character)
+        self.memo = Memo(self.encode, limit=120_000)
+
+    def encode(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """A word is encoded by itself, by the byte-level vocabulary as after a blank."""
+        texts = [word.decode() for word in words]
+        pieces = self.pieces.encode(texts, num_threads=1)
+        return [
+            (array("i", ids).tobytes(), array("i", self.bytes.encode_ordinary(f" {text}")).tobytes())
+            for ids, text in zip(pieces, texts)
+        ]
+
+
+def word_shapes(files: Vocabularies) -> WordShapes:
+    return only_loaded(WordShapes, files)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -115,60 +139,123 @@ def fertility(ids: np.ndarray, chars: int, byte_ids: np.ndarray) -> tuple[float,
     return chars / len(ids), float(byte_ids[ids].mean()), abs(float((shares * np.log2(shares)).sum()))
 
 
-def within(band: Band, tokens: int, chars_per_token: float, fallback: float, entropy: float) -> bool:
-    return (
-        band.min_chars <= chars_per_token <= band.max_chars
-        and fallback <= band.max_fallback
-        and (tokens < band.entropy_tokens or entropy >= band.min_entropy)
-    )
-
-
 MEASURES = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, "
-    "kept boolean, script string, n_tokens bigint, chars_per_token double, fallback_share double, token_entropy double"
+    "script string, n_tokens bigint, " + ", ".join(f"{name} double" for name in SHAPE_NAMES)
 )
+MEASURE_NAMES = tuple(field.split()[0] for field in MEASURES.split(","))
 
 
-def measure(texts: list[str | None], model: str) -> list[tuple]:
+def measure(texts: list[str | None], files: Vocabularies) -> list[tuple]:
     """The values of ``MEASURES`` for whole texts; a null text is an empty one."""
     texts = [text or "" for text in texts]
-    memo, byte_ids = only_loaded(word_memo, model)
+    words_of = word_shapes(files)
     rows = []
-    for block in blocks(texts):
+    for block in blocks(texts, 2_000_000):
         bodies = [texts[place].encode() for place in block]
         split = [body.split() for body in bodies]
-        table = memo.table(chain.from_iterable(split))
+        table = words_of.memo.table(chain.from_iterable(split))
         for place, body, words in zip(block, bodies, split):
             chars = len(texts[place]) - len(body) + sum(map(len, words))
             repeat = repeated_words(words)
             failed = len(words) < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * len(words)
-            ids = np.frombuffer(b"".join(map(table.__getitem__, words)), np.int32)
-            shape, script = fertility(ids, chars, byte_ids), script_of(texts[place])
-            kept = not failed and within(BANDS[script], len(ids), *shape)
+            packed = [table[word] for word in words]
+            ids = [np.frombuffer(b"".join([pair[number] for pair in packed]), np.int32) for number in range(2)]
+            shapes = [value for own, bytes_of in zip(ids, words_of.fallback) for value in fertility(own, chars, bytes_of)]
             symbols = len(body) - len(body.translate(None, SYMBOLS))
-            rows.append((len(words), chars, symbols, duplicate_lines(body), repeat, failed, kept, script, len(ids), *shape))
+            rows.append((
+                len(words), chars, symbols, duplicate_lines(body), repeat, failed, script_of(texts[place]), len(ids[0]), *shapes,
+            ))
     return rows
 
 
-def quality(docs: DataFrame, model: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``MEASURES`` of every row, in one pass without a shuffle.
+def measured(docs: DataFrame, files: Vocabularies, text: str) -> DataFrame:
+    """All columns of every row with those of ``MEASURES``, in one pass without a shuffle."""
+    added = arrow_schema(MEASURES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1_000):
+                rows = measure(part.column(part.schema.get_field_index(text)).to_pylist(), files)
+                columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), added)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *added.names])
+
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(MEASURES).fields])
+    return docs.mapInArrow(run, schema)
 
-    ``model`` is the place of a SentencePiece vocabulary with byte fallback. Texts are split into
-    words at ASCII white space, and each word is encoded by itself. A null, empty or wordless text
-    has zeros and fails; a null doc_id stays null; repeated rows each have their row; other columns
-    are ignored.
-    """
-    names = [field.split()[0] for field in MEASURES.split(",")]
 
-    def convert(columns):
-        ids, texts = columns
-        return {"doc_id": ids, **dict(zip(names, zip(*measure(texts, model)) if texts else [[]] * len(names)))}
+def bands(rows: DataFrame, group: Column, least: int = BAND_TEXTS) -> DataFrame:
+    """``kind, size`` and the ``low_`` and ``high_`` ends of each measure, from all texts that pass the base rules.
 
+    Texts of one group are compared with those of about their number of tokens (a power of two), as all
+    measures vary more in short ones. An end lies ``FENCE`` times the distance of the quartiles
+    outside them. Sizes of a group with fewer than ``least`` texts have no band.
+    """
+    sound = rows.where(~F.col("base_failed")).select(group.alias("kind"), size_class().alias("size"), *SHAPE_NAMES)
+    quartiles = [F.percentile_approx(name, [0.25, 0.75], 10_000).alias(name) for name in SHAPE_NAMES]
+    found = sound.groupBy("kind", "size").agg(F.count(F.lit(1)).alias("texts"), *quartiles).where(F.col("texts") >= least)
+    ends = []
+    for name in SHAPE_NAMES:
+        low, high = F.col(name)[0], F.col(name)[1]
+        reach = F.greatest(FENCE * (high - low), F.lit(SHAPES[name.split("_", 1)[1]]))
+        ends += [(low - reach).alias(f"low_{name}"), (high + reach).alias(f"high_{name}")]
+    return found.select("kind", "size", "texts", *ends)
+
+
+def size_class() -> Column:
+    return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int")
+
+
+def kind_of(rows: DataFrame, lang: str | None) -> Column:
+    """The stated language, or the script where none is stated."""
+    script = F.concat(F.lit("script "), F.col("script"))
+    return script if lang is None or lang not in rows.columns else F.coalesce(rows[lang], script)
+
+
+def judged(rows: DataFrame, lang: str | None) -> DataFrame:
+    """``rows``, a written table of measures, with ``outside``, the measures out of their band, and ``kept``."""
+    kind = kind_of(rows, lang)
+    found = written(bands(rows, kind), "bands")
+    joined = rows.join(found.drop("texts"), (kind == found["kind"]) & (size_class() == found["size"]), "left")
+    out = [
+        F.when((F.col(name) < F.col(f"low_{name}")) | (F.col(name) > F.col(f"high_{name}")), F.lit(name))
+        for name in SHAPE_NAMES
+    ]
+    named = joined.withColumn("outside", F.concat_ws(",", *out))
+    return named.withColumn("kept", ~F.col("base_failed") & (F.col("outside") == "")).select(*rows.columns, "outside", "kept")
+
+
+def quality(
+    docs: DataFrame, files: Vocabularies, *, doc_id: str = "doc_id", text: str = "text", lang: str | None = "lang"
+) -> DataFrame:
+    """``doc_id``, ``MEASURES``, ``outside`` and ``kept`` of every row.
+
+    Texts are split into words at ASCII white space, and each word is encoded by itself by the two
+    vocabularies. Characters per token, the share of tokens that are bytes of a character, and the
+    entropy of the tokens are measured for both. Texts that pass the base rules set the bands of their
+    stated language, or of their script where ``lang`` is null or not a column, and what is far outside
+    a band is not kept (``bands``). The measures are written to the shared folder, so texts are encoded once.
+
+    A null, empty or wordless text has zeros and fails; a null doc_id stays null; repeated rows each
+    have their row and count in the bands; an empty table gives an empty result; other columns are ignored.
+    """
     chosen = required(docs, doc_id, text)
-    return map_batches(chosen.select(chosen[doc_id].cast("bigint"), chosen[text]), f"doc_id bigint, {MEASURES}", convert)
+    if lang is not None and lang in docs.columns:
+        chosen = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].alias("text"), docs[lang].alias("lang"))
+    else:
+        chosen, lang = chosen.select(chosen[doc_id].cast("bigint").alias("doc_id"), chosen[text].alias("text")), None
+    rows = written(measured(chosen, files, "text").drop("text"), "measures")
+    return judged(rows, lang and "lang").select("doc_id", *MEASURE_NAMES, "outside", "kept")
 
 
-def good_rows(docs: DataFrame, model: str, *, text: str = "text") -> DataFrame:
-    """The rows whose text is kept, with all their columns."""
-    place = [field.split()[0] for field in MEASURES.split(",")].index("kept")
-    return filter_batches(docs, text, lambda texts: [row[place] for row in measure(texts, model)])
+def good_rows(
+    docs: DataFrame, files: Vocabularies, *, text: str = "text", lang: str | None = "lang"
+) -> DataFrame:
+    """The rows whose text is kept, as ``quality`` has it, with all their columns.
+
+    Nulls, repeated rows and empty tables are as there; columns of any name are kept.
+    """
+    names = [f"c{place}" for place in range(len(docs.columns))]
+    place = {name: new for name, new in zip(docs.columns, names)}
+    rows = written(measured(docs.toDF(*names), files, place[text]), "measures")
+    return judged(rows, place.get(lang)).where("kept").select(*[rows[new].alias(name) for name, new in place.items()])

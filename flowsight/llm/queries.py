@@ -13,6 +13,7 @@ from flowsight.llm import (
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+VOCABULARIES = quality.Vocabularies(PIECE_VOCABULARY, BYTE_RANKS, public_tokenizers.PATTERN)
 URL_RULES = [
     url_filter.Rule("net/", url_filter.BLOCK),
     url_filter.Rule("example.net/en/", url_filter.ALLOW),
@@ -75,7 +76,7 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.quality(table(spark, folder, "documents"), PIECE_VOCABULARY)
+    return quality.quality(table(spark, folder, "documents"), VOCABULARIES)
 
 
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -114,6 +114,16 @@ def test_exact_duplicates_equal_brute_force(spark):
     assert sorted(row["doc_id"] for row in stay.collect()) == sorted({k for k, _, _, kept, _ in slow_exact(rows) if kept})
 
 
+def test_one_of_each_knows_rows_by_id_and_text(spark):
+    rows = [(None, "a b", "n1"), (None, "ab", "n2"), (None, "solo", "n3"), (1, "x y", "one"), (1, "other", "two"), (2, "x  y", "long"),
+            (1, "other", "two"), (3, None, "e1"), (4, "", "e2"), (None, " ", "e3"), (None, "twin", "t"), (None, "twin", "t")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, digest string").withColumn("keep_id", F.lit(7))
+    kept = exact_dedup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(row["digest"] for row in kept.collect()) == ["e3", "long", "n1", "n3", "t", "two"]
+    assert exact_dedup.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_exact_duplicates_without_ids(spark):
     docs = spark.createDataFrame([(None, "a b"), (2, "ab"), (3, "a b"), (None, "solo")], DOCS)
     got = exact_dedup.exact_duplicates(docs).select("doc_id", "keep_id", "group_size", "kept").collect()

@@ -1,17 +1,22 @@
 import hashlib
+import math
+import random
 import re
+import time
 import zlib
-from collections import Counter
+from array import array
+from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flowsight.llm import bpe, chat, html_text, langid, line_dedup, packing, quality, queries, url_filter
+from flowsight.llm import bpe, chat, html_text, langid, line_dedup, merges, packing, quality, queries, url_filter
 from flowsight.llm.words import Memo, blocks
 from tests.conftest import SMALL
 
@@ -44,32 +49,96 @@ def slow_quality(text):
     )
 
 
-def test_quality_equals_brute_force(spark, docs):
+def slow_shapes(text, vocabularies):
+    """Characters per token, share of byte tokens and entropy by both vocabularies, word by word."""
+    pieces, encoding, single = vocabularies
+    words = re.findall(WORD, text or "")
+    found = []
+    for number in (0, 1):
+        ids = [i for word in words for i in (pieces.encode(word) if number == 0 else encoding.encode_ordinary(f" {word}"))]
+        if not ids:
+            found += [0.0, 0.0, 0.0]
+            continue
+        share = [n / len(ids) for n in Counter(ids).values()]
+        parts = sum(pieces.is_byte(i) if number == 0 else i in single for i in ids)
+        found += [sum(map(len, words)) / len(ids), parts / len(ids), -sum(p * math.log2(p) for p in share)]
+    return found
+
+
+@pytest.fixture(scope="module")
+def vocabularies(reference_encoding):
+    ranks = bpe.read_ranks(queries.BYTE_RANKS)
+    single = {rank for token, rank in ranks.items() if len(token) == 1 and token[0] >= 0x80}
+    return sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_VOCABULARY), reference_encoding, single
+
+
+def test_quality_equals_brute_force(spark, docs, vocabularies):
     extra = spark.createDataFrame(
         list(enumerate([*ODD_TEXTS, "a b c d e f g h i j " * 3, "x\nx\n x\n\n\n" * 20, "w " * 200_000], 10_000)), DOCS
     )
     both = docs.select("doc_id", "text").unionByName(extra)
-    got = rows_of(quality.quality(both, queries.PIECE_VOCABULARY))
+    got = rows_of(quality.quality(both, queries.VOCABULARIES))
     for key, text in both.collect():
         assert got[key][1:7] == slow_quality(text), key
-        assert not (got[key][6] and got[key][7])
-    kept = {row["doc_id"] for row in quality.good_rows(both, queries.PIECE_VOCABULARY).collect()}
-    assert kept == {key for key, row in got.items() if row[7]}
-    clean = [key for key, row in got.items() if not row[6] and key < 10_000]
-    assert sum(got[key][7] for key in clean) > 0.97 * len(clean)
-    assert quality.quality(both.limit(0), queries.PIECE_VOCABULARY).count() == 0
-
-
-def test_fertility_bands_reject_strange_tokens(spark):
-    rng = "abcdefghijklmnopqrstuvwxyz0123456789"
-    noise = " ".join(hashlib.sha512(str(i).encode()).hexdigest()[:40] for i in range(40))
-    one = " ".join(f"{'x' * (i % 40 + 1)}" for i in range(200))
-    prose = "The quick brown fox jumps over the lazy dog while seven wizards watch from a quiet hill near the old town."
-    got = rows_of(quality.quality(spark.createDataFrame([(1, noise), (2, one), (3, prose), (4, rng)], DOCS), queries.PIECE_VOCABULARY))
-    assert not got[2][7] and got[3][7] and got[1][9] > 0
-    band = quality.BANDS["latin"]
-    assert not quality.within(band, 100, 1.0, 0.0, 6.0) and not quality.within(band, 100, 3.0, 0.5, 6.0)
-    assert not quality.within(band, 100, 3.0, 0.0, 1.0) and quality.within(band, 10, 3.0, 0.0, 1.0)
+        assert got[key][9:15] == pytest.approx(slow_shapes(text, vocabularies), abs=1e-9), key
+        # no group of this small table has texts enough for a band
+        assert got[key][16] == (not got[key][6]) and got[key][15] == ""
+    kept = {row["doc_id"] for row in quality.good_rows(both, queries.VOCABULARIES).collect()}
+    assert kept == {key for key, row in got.items() if row[16]}
+    assert quality.quality(both.limit(0), queries.VOCABULARIES).count() == 0
+    assert quality.good_rows(both.limit(0), queries.VOCABULARIES).columns == both.columns
+
+
+def slow_bands(rows, least):
+    """``low, high`` by group, size and measure from sorted values."""
+    groups = defaultdict(list)
+    for kind, tokens, failed, shapes in rows:
+        if not failed:
+            groups[kind, max(1, tokens).bit_length() - 1].append(shapes)
+    bands = {}
+    for key, found in groups.items():
+        if len(found) < least:
+            continue
+        for place, name in enumerate(quality.SHAPE_NAMES):
+            values = sorted(shapes[place] for shapes in found)
+            low, high = (values[math.ceil(share * len(values)) - 1] for share in (0.25, 0.75))
+            reach = max(4.0 * (high - low), {"ken": 0.2, "are": 0.05, "opy": 0.4}[name[-3:]])
+            bands[key, name] = low - reach, high + reach
+    return bands
+
+
+def test_bands_reject_what_lies_far_out(spark, vocabularies):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {row["doc_id"]: row for row in docs.collect()}
+    noise = [" ".join(hashlib.sha512(str(i * 9 + n).encode()).hexdigest()[:12] for i in range(50)) for n in range(3)]
+    extra = [(-1 - place, text, "en", "s", 0) for place, text in enumerate(noise)]
+    got = rows_of(quality.quality(docs.unionByName(spark.createDataFrame(extra, docs.schema)), queries.VOCABULARIES))
+    langs = {key: row["lang"] for key, row in texts.items()} | {key: "en" for key in (-1, -2, -3)}
+    rows = [(langs[key], row[8], row[6], row[9:15]) for key, row in got.items()]
+    bands = slow_bands(rows, quality.BAND_TEXTS)
+    assert len(bands) >= 12
+    for key, row in got.items():
+        kind, size = langs[key], max(1, row[8]).bit_length() - 1
+        ends = [bands.get(((kind, size), name), (-math.inf, math.inf)) for name in quality.SHAPE_NAMES]
+        outside = [name for name, value, (low, high) in zip(quality.SHAPE_NAMES, row[9:15], ends) if not low <= value <= high]
+        assert row[15] == ",".join(outside) and row[16] == (not row[6] and not outside), key
+    assert not any(got[key][16] for key in (-1, -2, -3))
+    marks = {row["doc_id"]: row["quality"] for row in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    sound = [key for key in marks if key in got and not got[key][6]]
+    assert sum(got[key][16] for key in sound if marks[key]) >= 0.99 * sum(marks[key] for key in sound)
+    assert sum(not got[key][16] for key in sound if not marks[key]) >= 0.2 * sum(not marks[key] for key in sound)
+
+
+def test_bands_go_by_script_where_no_language_is_stated(spark):
+    rows = [(number, f"wort zahl {number} und noch acht andere kleine worte {number * 7}", None if number % 2 else "de", 1) for number in range(260)]
+    rows.append((900, "zz" * 30 + " " + " ".join("Ω≈ç√∫˜µ≤≥÷" for _ in range(5)) + " a b c d e f", None, 1))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, kept int")
+    got = rows_of(quality.quality(docs, queries.VOCABULARIES))
+    assert {row[7] for row in got.values()} <= {"latin", "greek", "other"}
+    assert all(got[number][16] for number in range(260))
+    stays = quality.good_rows(docs.withColumnRenamed("kept", "n_tokens"), queries.VOCABULARIES)
+    assert stays.columns == ["doc_id", "text", "lang", "n_tokens"]
     assert [quality.script_of(t) for t in ("abc", "где", "αβγ", "日本", "123")] == ["latin", "cyrillic", "greek", "han", "other"]
 
 
@@ -103,17 +172,94 @@ def test_language_of_odd_rows(spark):
     assert langid.known_language(asked, model, 0.5).columns == ["doc_id", "text"]
 
 
+def slow_ngrams(text):
+    spaced = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+    dense = [c.isalpha() and any(low <= ord(c) <= high for low, high in langid.UNSPACED) for c in spaced]
+    grams = [spaced[i : i + 4] for i in range(len(spaced) - 3) if " " not in spaced[i + 1 : i + 3] and not any(dense[i : i + 4])]
+    return grams + [spaced[i : i + 2] for i in range(len(spaced) - 1) if dense[i] and dense[i + 1]]
+
+
+def slow_languages(learned, texts):
+    """``lang, score`` of each text from plain sets of n-grams; none of these texts has so many that one must be left out."""
+    counts = defaultdict(Counter)
+    for lang, text in learned:
+        if lang is not None:
+            counts[lang].update(slow_ngrams(text))
+    best = Counter()
+    for found in counts.values():
+        for gram, n in found.items():
+            best[gram] = max(best[gram], n / found.total())
+    sets = {lang: {g for g, n in found.items() if n / found.total() >= 0.2 * best[g]} for lang, found in counts.items()}
+    coverage = {lang: sum(n for g, n in counts[lang].items() if g in own) / counts[lang].total() for lang, own in sets.items()}
+    for text in texts:
+        grams = slow_ngrams(text)
+        shares = {lang: sum(g in own for g in grams) / max(1, len(grams)) / coverage[lang] for lang, own in sets.items()}
+        if not any(map(str.isalpha, text or "")):
+            yield "und", 0.0
+        elif not max(shares.values()):
+            yield min(counts, key=lambda lang: (-counts[lang].total(), lang)), 0.0
+        else:
+            lang = min(shares, key=lambda lang: (-shares[lang], lang))
+            yield lang, min(1.0, shares[lang])
+
+
+def test_language_equals_brute_force(spark, docs):
+    rows = docs.select("lang", "text").collect()
+    texts = [text for _, text in rows] + ODD_TEXTS + ["qqqq", "the", "x" * 5_000]
+    # so many slots that no n-gram is taken for another
+    model = langid.fit(docs, langid.Settings(slots_per_key=4_000, model_bytes=1 << 40))
+    got = list(zip(*langid.classify(model, texts)))
+    for text, found, want in zip(texts, got, slow_languages(rows, texts)):
+        assert found[0] == want[0] and found[1] == pytest.approx(want[1], abs=1e-6), text[:80]
+
+
 def test_filters_return_all_languages_of_an_ngram():
     import numpy as np
 
     settings_ = langid.Settings(n=3)
     keys = {lang: langid.ngrams([text], 3)[0] for lang, text in (("a", "abcdef"), ("b", "defghi"), ("c", "xyz"))}
-    members = [(lang, int(np.int64(key.view(np.int64)))) for lang, found in keys.items() for key in found]
+    members = [(lang, int(np.int64(key.view(np.int64))), 1) for lang, found in keys.items() for key in found]
     model = langid.build_filters(members, {lang: 10 for lang in keys}, settings_)
     totals, hits = langid.hit_counts(model, ["abcdef", "def", ""])
     assert hits[0][0] == totals[0] and hits[1][0] >= 1 and hits[1][1] >= 1 and totals[2] == 0
 
 
+def test_two_hundred_languages_fit_the_model(spark):
+    rng = random.Random(1)
+    rows = []
+    for number in range(200):
+        letters = "".join(rng.sample("abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîï", 9))
+        for _ in range(3):
+            rows.append((f"l{number:03d}", " ".join("".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(80))))
+    learned = spark.createDataFrame(rows, "lang string, text string")
+    small = langid.Settings(model_bytes=32 << 20)
+    model = langid.fit(learned, small)
+    assert model.slices.nbytes <= 32 << 20 and len(model.langs) == 200
+    found = langid.classify(model, [text for _, text in rows])[0]
+    assert sum(lang == want for lang, (want, _) in zip(found, rows)) > 0.97 * len(rows)
+    for langs in (1, 4, 100, 1_000):
+        settings_ = langid.Settings()
+        assert settings_.keys_per_lang(langs) * langs * 16 * -(-langs // 8) <= settings_.model_bytes
+    few = langid.fit(learned.unionByName(learned.where("lang = 'l007'")), langid.Settings(most_langs=5))
+    assert len(few.langs) == 5 and "l007" in few.langs
+
+
+def test_texts_of_a_script_without_spaces_are_kept(spark):
+    rng = random.Random(3)
+    signs = [chr(0x4E00 + number) for number in range(3_000)]
+    weights = [1 / (rank + 3) for rank in range(len(signs))]
+    draw = lambda n: "".join(rng.choices(signs, weights, k=n))
+    rows = [("zh", draw(6_000)) for _ in range(200)] + [("en", " ".join(rng.choices(["the", "cat", "sat", "upon", "mats"], k=300))) for _ in range(20)]
+    learned = spark.createDataFrame(rows, "lang string, text string")
+    # rows enough for over a million different n-grams, also of two letters at most
+    assert len({text[i : i + 4] for lang, text in rows if lang == "zh" for i in range(len(text) - 3)}) > 1_000_000
+    model = langid.fit(learned)
+    fresh = spark.createDataFrame([(draw(400),) for _ in range(30)], "text string")
+    langs, scores = langid.classify(model, [row["text"] for row in fresh.collect()])
+    assert set(langs) == {"zh"} and sorted(scores)[2] > 0.3
+    assert langid.known_language(fresh, model, 0.3).count() >= 28
+
+
 # byte pairs
 
 
@@ -150,6 +296,61 @@ def test_byte_bpe_on_drawn_texts(reference_encoding, texts):
     assert got == [reference_encoding.encode_ordinary(text) for text in texts]
 
 
+@pytest.mark.parametrize("unit", ["a", "=", "ab", "é", "the "[:3]])
+def test_one_long_match_takes_seconds(reference_encoding, unit):
+    text = unit * (1_000_000 // len(unit))
+    started = time.perf_counter()
+    (ids,) = bpe.byte_tokens(queries.BYTE_RANKS, public_tokenizers.PATTERN).encode([text])
+    (words,) = packing.word_tokens(queries.WORD_VOCABULARY).encode([text])
+    assert time.perf_counter() - started < 30
+    assert memoryview(ids).cast("i").tolist() == reference_encoding.encode_ordinary(text)
+    short = text[:20_000]
+    (own,) = packing.word_tokens(queries.WORD_VOCABULARY).encode([short])
+    tokenizer = Tokenizer.from_file(queries.WORD_VOCABULARY)
+    assert memoryview(own).cast("I").tolist() == tokenizer.encode(short, add_special_tokens=False).ids and len(words) > len(own)
+
+
+def slow_merges(symbols, ranks, results):
+    """The lowest rank first, and of equal ones the first in the word."""
+    symbols = list(symbols)
+    while True:
+        found = [(ranks[pair], place) for place, pair in enumerate(zip(symbols, symbols[1:])) if pair in ranks]
+        if not found:
+            return symbols
+        rank, place = min(found)
+        symbols[place : place + 2] = [results[rank]]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_merges_of_any_vocabulary(seed):
+    """Also of vocabularies in which a merge makes a pair of a lower rank, which trained ones hardly have."""
+    import numpy as np
+
+    rng = random.Random(seed)
+    letters = rng.randint(1, 4)
+    pairs, results, known = [], [], list(range(letters))
+    for number in range(rng.randint(1, 14)):
+        pair = (rng.choice(known), rng.choice(known))
+        if pair not in pairs:
+            pairs.append(pair)
+            results.append(letters + number)
+            known.append(letters + number)
+    order = list(range(len(pairs)))
+    rng.shuffle(order)
+    ranks = {pair: rank for pair, rank in zip(pairs, order)}
+    result_of = np.zeros(len(pairs), np.int32)
+    result_of[order] = results
+    table = merges.MergeTable(np.array(pairs, np.int64), np.array(order, np.int32), np.array(results, np.int32))
+    words = [[rng.randrange(letters) for _ in range(rng.randint(0, 40))] for _ in range(30)]
+    symbols = np.array([symbol for word in words for symbol in word], np.int32)
+    tokens, counts = merges.replay(symbols, np.array([len(word) for word in words]), table)
+    edges = np.concatenate([[0], np.cumsum(counts)])
+    for number, word in enumerate(words):
+        want = slow_merges(word, ranks, result_of.tolist())
+        assert tokens[edges[number] : edges[number + 1]].tolist() == want
+        assert table.merge_in_turn(word) == want
+
+
 def test_memo_forgets_and_blocks_cover_everything():
     memo = Memo(lambda words: [word * 2 for word in words], limit=3)
     for start in range(20):
@@ -166,7 +367,6 @@ def test_memo_forgets_and_blocks_cover_everything():
 
 def check_packing(spark, docs, **options):
     tokenizer = Tokenizer.from_file(queries.WORD_VOCABULARY)
-    tokenizer.encode_special_tokens = True
     rows = docs.select("doc_id", "text").collect()
     ids = {key: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1] for key, text in rows}
     pieces = packing.pack(docs, queries.WORD_VOCABULARY, **options).collect()
@@ -206,11 +406,10 @@ def test_packing_holds_every_id_once_with_little_padding(spark, docs):
 
 
 def test_word_tokens_of_drawn_texts():
-    import random
-
-    rng, signs = random.Random(4), " \n\t aAbÉé'sS1²ªß日🙂\xad\x85İΣσ-,.*"
+    rng, signs = random.Random(4), [*" \n\t aAbÉé'sS1²ªß日🙂\xad\x85İΣσ-,.*", "<|endoftext|>", "<|startoftext|>"]
     texts = ["".join(rng.choice(signs[: rng.randint(8, len(signs))]) for _ in range(rng.randint(0, 30))) for _ in range(3_000)]
     tokens = packing.word_tokens(queries.WORD_VOCABULARY)
+    assert [*packing.word_tokens(queries.WORD_VOCABULARY).encode(["a <|endoftext|> b"])] == [array("I", [320, 49407, 321]).tobytes()]
     want = tokens.whole.encode_batch(texts, add_special_tokens=False)
     assert [list(memoryview(ids).cast("I")) for ids in tokens.encode(texts)] == [found.ids for found in want]
 
