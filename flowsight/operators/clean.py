@@ -54,6 +54,20 @@ def clean_rows(
     return sound.select(*[tidy(name) for name in contract.columns], *carry)
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row of each key: of several, the least by the other columns in their order, NULL first.
+
+    The keys alone are counted, in a hash table. Rows whose key occurs once go through as they are;
+    only rows of repeated keys are brought together and compared. NULL is a key like any other.
+    """
+    repeated = written(df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_key"), "repeated-keys")
+    same = df[key].eqNullSafe(repeated["_key"])
+    rest = [name for name in df.columns if name != key]
+    least = F.min(F.struct(*rest)).alias("_least")
+    several = df.join(repeated, same, "left_semi").groupBy(key).agg(least).select(key, "_least.*").select(*df.columns)
+    return df.join(repeated, same, "left_anti").unionByName(several)
+
+
 def conflicting_keys(df: DataFrame, key: str, label: str = "label") -> DataFrame:
     """Keys with more than one label; missing labels are not compared."""
     return key_groups(df, key, label).where(F.col("low_label") != F.col("high_label")).select(key)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from flowsight.contract import require_columns
 from flowsight.functions.predicates import rows_where
 from flowsight.functions.ratios import with_ratios
+from flowsight.operators.ranges import KEY, RANGE, ROWS, adaptive_ranges
 from flowsight.session import written
 
 # The thresholds tried by default, and the shorter list for sessions and windows.
@@ -125,20 +126,19 @@ def score_steps(df: DataFrame, label: str, raw: str) -> DataFrame:
     return known.groupBy("score").agg(F.sum("_label").alias("ones"), F.sum(1 - F.col("_label")).alias("zeros"))
 
 
-def ranking_measures(df: DataFrame, *, label: str = "label", raw: str = "rawPrediction", slots: int = 128) -> DataFrame:
+def ranking_measures(df: DataFrame, *, label: str = "label", raw: str = "rawPrediction", rows: int = ROWS) -> DataFrame:
     """One row: ``roc_auc, pr_auc``, the exact areas under both curves by trapezoids over all distinct scores.
 
     The precision curve begins at the precision of the highest score. Both are NULL without rows of
     both labels. Distinct scores are counted first and written; they are then summed up from the top
-    inside about ``slots`` ranges between approximate percentiles, so no task orders all of them.
+    inside ranges of at most ``rows`` scores, so no task orders more of them.
     """
     steps = written(score_steps(df, label, raw), "score-steps")
-    shares = [F.lit((i + 1) / slots) for i in range(slots - 1)]
-    borders = steps.agg(F.percentile_approx("score", F.array(*shares))).first()[0] or []
-    slotted = steps.withColumn("slot", steps_reached(F.col("score"), sorted(set(borders))))
+    ranged, _ = adaptive_ranges(steps.withColumn(KEY, F.struct("score")), rows=rows)
+    slotted = ranged.select("score", "ones", "zeros", F.col(RANGE).alias("slot"))
     all_slots = Window.partitionBy(F.lit(0))
     above = all_slots.orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per slot
+    # one row per range
     sums = slotted.groupBy(F.col("slot").alias("_slot")).agg(F.sum("ones").alias("ones_in"), F.sum("zeros").alias("zeros_in"))
     sums = sums.select(
         "_slot",

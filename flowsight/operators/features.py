@@ -7,34 +7,71 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from flowsight.contract import FLOW, Contract
 from flowsight.operators.windows import SESSION_FEATURES
 
 WINDOW_MODEL_FEATURES = ("flow_rate", "port_scan_ratio", "http_ratio")
+# Distinct values of a text column that a fitted stage may hold, and places of a column that is hashed instead.
+MOST_VALUES = 10_000
+HASHED_VALUES = 1 << 14
 
 
-def feature_stages(contract: Contract = FLOW) -> list:
+def wide_columns(rows: DataFrame, columns: Sequence[str], most: int = MOST_VALUES) -> tuple[str, ...]:
+    """The columns with more than about ``most`` distinct values, by one pass of sketches of bounded size."""
+    if not columns:
+        return ()
+    found = rows.agg(*[F.approx_count_distinct(name, 0.02).alias(name) for name in columns]).first()
+    return tuple(name for name in columns if found[name] > most)
+
+
+def require_narrow(rows: DataFrame, columns: Sequence[str], most: int = MOST_VALUES) -> None:
+    """Fail with the names of the columns that have too many values to be indexed."""
+    wide = wide_columns(rows, columns, most)
+    if wide:
+        raise ValueError(f"more than {most} distinct values: {', '.join(wide)}")
+
+
+def text_stages(texts: Sequence[str], hashed: Sequence[str] = (), *, drop_last: bool = False) -> tuple[list, list[str]]:
+    """Stages that encode text columns, and the vectors they make.
+
+    The distinct values of an indexed column come to the driver and are held by the fitted stage. A
+    column in ``hashed`` has a fixed number of places instead, whatever its values, and is not fitted:
+    values share a place by chance.
+    """
+    few = [name for name in texts if name not in hashed]
+    indexed, encoded = [f"{c}_index" for c in few], [f"{c}_onehot" for c in few]
+    stages: list = []
+    if few:
+        stages.append(StringIndexer(inputCols=few, outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc"))
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=list(encoded), handleInvalid="keep", dropLast=drop_last))
+    for name in texts:
+        if name in hashed:
+            encoded.append(f"{name}_hashed")
+            stages.append(FeatureHasher(inputCols=[name], outputCol=encoded[-1], numFeatures=HASHED_VALUES, categoricalCols=[name]))
+    return stages, encoded
+
+
+def feature_stages(contract: Contract = FLOW, hashed: Sequence[str] = ()) -> list:
     """Indexed and one-hot text columns beside number columns scaled to unit deviation.
 
-    Values unseen in training get a place of their own. The distinct values of each text column
-    are held by the fitted stage, so those columns must have few of them.
+    Values unseen in training get a place of their own. Text columns in ``hashed`` are hashed instead.
     """
-    texts = contract.categorical
-    indexed, encoded = [f"{c}_index" for c in texts], [f"{c}_onehot" for c in texts]
+    stages, encoded = text_stages(contract.categorical, hashed)
     return [
-        StringIndexer(inputCols=list(texts), outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=False),
+        *stages,
         VectorAssembler(inputCols=contract.numeric, outputCol="numbers", handleInvalid="error"),
         StandardScaler(inputCol="numbers", outputCol="scaled_numbers", withMean=False, withStd=True),
         VectorAssembler(inputCols=["scaled_numbers", *encoded], outputCol="features", handleInvalid="error"),
     ]
 
 
-def fit_features(rows: DataFrame, contract: Contract = FLOW) -> PipelineModel:
-    return Pipeline(stages=feature_stages(contract)).fit(rows)
+def fit_features(rows: DataFrame, contract: Contract = FLOW, most: int = MOST_VALUES) -> PipelineModel:
+    """The fitted feature stages; a sketch of the text columns decides first which of them are hashed."""
+    return Pipeline(stages=feature_stages(contract, wide_columns(rows, contract.categorical, most))).fit(rows)
 
 
 def logistic(
@@ -69,9 +106,16 @@ def sample_forest(*, label: str = "label", seed: int = 42) -> RandomForestClassi
     return forest(12, 6, label=label, least_rows=1, subsample=1.0, seed=seed)
 
 
-def contract_model(contract: Contract = FLOW, classifier: Estimator | None = None) -> Pipeline:
+def contract_model(contract: Contract = FLOW, classifier: Estimator | None = None, hashed: Sequence[str] = ()) -> Pipeline:
     """Feature stages and a classifier in one; by default a logistic regression of one iteration."""
-    return Pipeline(stages=[*feature_stages(contract), classifier or logistic(label=contract.label, max_iter=1)])
+    return Pipeline(stages=[*feature_stages(contract, hashed), classifier or logistic(label=contract.label, max_iter=1)])
+
+
+def fit_contract_model(
+    rows: DataFrame, contract: Contract = FLOW, classifier: Estimator | None = None, most: int = MOST_VALUES
+) -> PipelineModel:
+    """``contract_model`` fitted, with the text columns of more than ``most`` values hashed."""
+    return contract_model(contract, classifier, wide_columns(rows, contract.categorical, most)).fit(rows)
 
 
 def vector_forest(columns: Sequence[str], *, trees: int, depth: int, seed: int = 42) -> Pipeline:
@@ -88,14 +132,15 @@ def window_model(*, trees: int = 30, depth: int = 5) -> Pipeline:
     return vector_forest(WINDOW_MODEL_FEATURES, trees=trees, depth=depth)
 
 
-def flow_model(*, trees: int = 20, depth: int = 6) -> Pipeline:
+FLOW_TEXTS = ("proto", "service")
+
+
+def flow_model(*, trees: int = 20, depth: int = 6, hashed: Sequence[str] = ()) -> Pipeline:
     """A forest on single flow events: duration, bytes, protocol and service."""
-    texts = ["proto", "service"]
-    indexed, encoded = [f"{c}_index" for c in texts], [f"{c}_onehot" for c in texts]
+    stages, encoded = text_stages(FLOW_TEXTS, hashed, drop_last=True)
     return Pipeline(
         stages=[
-            StringIndexer(inputCols=texts, outputCols=indexed, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
+            *stages,
             VectorAssembler(inputCols=["dur", "sbytes", "dbytes", *encoded], outputCol="features", handleInvalid="error"),
             forest(trees, depth, least_rows=1, subset="auto", subsample=1.0),
         ]

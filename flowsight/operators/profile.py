@@ -15,18 +15,18 @@ from flowsight.session import written
 def representative(df: DataFrame, *, label: str, group: str, sums: Mapping[str, str]) -> DataFrame:
     """Rows and exact sums per label and group, in order; ``sums`` maps output names to columns.
 
-    Groups are few, such as states, so one task orders them; a range partitioning would run the
-    aggregate twice.
+    Groups are few, such as states: their partial sums, a row for each task, go to one task in a
+    single shuffle, which adds them up and orders them.
     """
     totals = [F.sum(column).alias(name) for name, column in sums.items()]
     known = df.where(F.col(label).isin(0, 1))
-    return known.groupBy(label, group).agg(F.count(F.lit(1)).alias("flow_count"), *totals).repartition(1).sortWithinPartitions(label, group)
+    return known.groupBy(label, group).agg(F.count(F.lit(1)).alias("flow_count"), *totals).coalesce(1).sortWithinPartitions(label, group)
 
 
 def class_totals(df: DataFrame, *, group: str, amount: str) -> DataFrame:
     """Rows and the total of a positive amount per class, in order; classes are few."""
     positive = df.where(F.col(amount) > 0)
-    return positive.groupBy(group).agg(F.count(F.lit(1)).alias("flow_count"), F.sum(amount).alias("total")).repartition(1).sortWithinPartitions(group)
+    return positive.groupBy(group).agg(F.count(F.lit(1)).alias("flow_count"), F.sum(amount).alias("total")).coalesce(1).sortWithinPartitions(group)
 
 
 def class_share(df: DataFrame, label: str = "label") -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsight.contract import Contract, RawLayout, require_columns, same_types
+from flowsight.functions.hashing import bit_marks, has_mark, row_digest
 from flowsight.functions.predicates import label_known, long_rows, missing_text, rows_where, target_broken, unusable_number
 
 
@@ -27,9 +28,21 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(long_rows([(c, F.col(c)) for c in columns], ("column_name", "distinct_values")))
 
 
-def copies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per distinct combination of values, with the number of its copies."""
-    return df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("copies"))
+def copies(df: DataFrame, columns: Sequence[str] | None = None, checks: Sequence[Column] = ()) -> DataFrame:
+    """``copies`` of each distinct row, and the ``checks`` it meets as bits in ``marks_0, marks_1 ...``.
+
+    Only two hashes of a row and the bits are shuffled, whatever the number and width of its columns.
+    """
+    keys = {f"digest_{i}": digest for i, digest in enumerate(row_digest(columns or df.columns))}
+    keys |= {f"marks_{i}": marks for i, marks in enumerate(bit_marks(checks))}
+    digests = df.select(*[column.alias(name) for name, column in keys.items()])
+    return digests.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def marked_rows(counted: DataFrame, place: int) -> Column:
+    """How many rows meet the check at a place, of the table that ``copies`` made."""
+    marks = [name for name in counted.columns if name.startswith("marks_")]
+    return F.coalesce(F.sum(F.when(has_mark(marks, place), F.col("copies")).otherwise(0)), F.lit(0))
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -51,17 +64,20 @@ def label_audit(df: DataFrame, label: str = "label") -> DataFrame:
 def cleaning_audit(df: DataFrame, contract: Contract) -> DataFrame:
     """``check_name, column_name, rows``: what cleaning would drop, replace and keep.
 
-    Copies are counted once per distinct row and weighted, so the table is read once.
+    The checks of a row are bits beside its digest; copies are counted once per distinct row and
+    weighted. So the table is read once, and a few longs a row are shuffled.
     """
     checks = [("unusable_number", c, unusable_number(c, floating=contract.is_floating(c))) for c in contract.numeric]
     checks += [("missing_text", c, missing_text(c)) for c in contract.categorical]
     checks.append(("broken_target", contract.label, target_broken(contract)))
+    counted = copies(df, contract.columns, [bad for _, _, bad in checks])
+    marks = [name for name in counted.columns if name.startswith("marks_")]
     n = F.col("copies")
-    row = copies(df, contract.columns).agg(
+    row = counted.agg(
         F.sum(n).alias("rows"),
         F.sum(n - 1).alias("duplicates"),
-        F.count_if(~target_broken(contract)).alias("kept"),
-        *[F.sum(F.when(bad, n).otherwise(0)).alias(f"check_{i}") for i, (_, _, bad) in enumerate(checks)],
+        F.count_if(~has_mark(marks, len(checks) - 1)).alias("kept"),
+        *[marked_rows(counted, i).alias(f"check_{i}") for i in range(len(checks))],
     )
     figures = [("all_rows", "", F.col("rows")), ("kept_rows", "", F.col("kept")), ("duplicate_row", "", F.col("duplicates"))]
     figures += [(kind, column, F.col(f"check_{i}")) for i, (kind, column, _) in enumerate(checks)]
@@ -72,7 +88,7 @@ def cleaning_audit(df: DataFrame, contract: Contract) -> DataFrame:
 def require_clean(audit: DataFrame) -> None:
     """Fail if any check of a cleaning audit counted a row."""
     problems = ~F.col("check_name").isin("all_rows", "kept_rows") & (F.col("rows") > 0)
-    bad = audit.where(problems).limit(20).collect()
+    bad = audit.where(problems).collect()
     if bad:
         raise ValueError("not clean: " + ", ".join(f"{r.check_name} {r.column_name} {r.rows}" for r in bad))
 
@@ -145,13 +161,13 @@ def require_count(df: DataFrame, *, verified_rows: int, published_rows: int) ->
 
 def validation_report(df: DataFrame, contract: Contract, *, expected_rows: int) -> DataFrame:
     """``check_name, value, passed`` for a table that was just read against its contract."""
-    counted = copies(df)
+    counted = copies(df, checks=[~label_known(contract.label), *[F.col(c).isNull() for c in df.columns]])
     n = F.col("copies")
     row = counted.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(n - 1), F.lit(0)).alias("duplicates"),
-        F.coalesce(F.sum(F.when(~label_known(contract.label), n)), F.lit(0)).alias("bad_labels"),
-        *[F.coalesce(F.sum(F.when(F.col(c).isNull(), n)), F.lit(0)).alias(f"null_{c}") for c in df.columns],
+        marked_rows(counted, 0).alias("bad_labels"),
+        *[marked_rows(counted, place).alias(f"null_{c}") for place, c in enumerate(df.columns, 1)],
     )
     shape = same_types(df.schema, contract.schema) and df.columns == contract.columns
     figures = [
@@ -165,6 +181,6 @@ def validation_report(df: DataFrame, contract: Contract, *, expected_rows: int)
 
 
 def require_valid(report: DataFrame) -> None:
-    bad = report.where(~F.col("passed")).limit(20).collect()
+    bad = report.where(~F.col("passed")).collect()
     if bad:
         raise ValueError("validation failed: " + ", ".join(f"{r.check_name} = {r.value}" for r in bad))

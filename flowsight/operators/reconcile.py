@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsight.functions.predicates import outcome
+from flowsight.operators.ranges import KEY, RANGE, ROWS, adaptive_ranges, total_order
 from flowsight.operators.ranks import group_rank
 from flowsight.operators.windows import WINDOW_SECONDS, event_time
 
@@ -63,15 +64,27 @@ def latest_windows(windows: DataFrame, source: str = "actor_id") -> DataFrame:
     return windows.where(F.col(source).isNotNull()).groupBy(source).agg(newest).select(source, "newest.*")
 
 
-def numbered_windows(windows: DataFrame, source: str = "actor_id") -> DataFrame:
-    """Add ``window_number``: place of a window in its source's series, counted day by day."""
-    day = F.date_trunc("day", F.col("window_start"))
-    order = [F.col("window_start"), F.xxhash64(*windows.columns)]
-    return group_rank(windows, [source], order, day, rank="window_number")
+def numbered_windows(windows: DataFrame, source: str = "actor_id", *, rows: int = ROWS) -> DataFrame:
+    """Add ``window_number``: place of a window in its source's series.
+
+    A series is cut into ranges of its order, so that no task orders more rows of it than
+    ``rows``, however many of them fall on one day. ``windows`` should be a written table.
+    """
+    keyed = windows.withColumn(KEY, total_order(windows, ["window_start"]))
+    ranged, _ = adaptive_ranges(keyed, [source], rows=rows)
+    numbered = group_rank(ranged, [source], [F.col(KEY)], F.col(RANGE), rank="window_number")
+    return numbered.select(*windows.columns, "window_number")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """The row with the highest version of each key."""
-    rest = [name for name in df.columns if name not in (*keys, version)]
-    newest = F.max(F.struct(version, *rest)).alias("newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    """The row with the highest version of each key; a key has at most one row of each version.
+
+    The versions alone are aggregated, in a hash table, and the rows joined back to them: a greatest
+    struct with texts in it would sort all rows twice.
+    """
+    newest = df.groupBy(*keys).agg(F.max(version).alias("_newest"))
+    same = [df[key].eqNullSafe(newest[key]) for key in keys]
+    on = (df[version] == newest["_newest"])
+    for condition in same:
+        on = on & condition
+    return df.join(newest, on, "left_semi")

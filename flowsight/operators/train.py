@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from flowsight.operators.evaluate import (
     ranking_measures,
     threshold_curve,
 )
-from flowsight.session import spread, written
+from flowsight.session import kept, spread, written
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -92,15 +94,12 @@ def fit_candidate(
     """Fit on train, choose the threshold on validation; the report is one row.
 
     ``prepared`` are the fitted feature stages, which candidates share; ``train`` and ``validation``
-    have been through them. The resulting model is those stages followed by the classifier. The
-    ranking measures are NULL if the validation rows have one label only.
+    have been through them, and ``train`` has been spread, with class weights where a candidate takes
+    them. The resulting model is those stages followed by the classifier. The ranking measures are
+    NULL if the validation rows have one label only.
     """
-    rows = train
-    if candidate.weighted:
-        weights = {row.label: row.weight for row in class_weights(train, label).collect()}
-        rows = with_class_weights(train, weights, label=label)
     started = time.perf_counter()
-    classifier = candidate.classifier.fit(spread(rows))
+    classifier = candidate.classifier.fit(train)
     model = PipelineModel(stages=[*prepared.stages, classifier])
     fitted = time.perf_counter()
     columns = [F.col(label).alias("label"), "rawPrediction", positive_score().alias("score")]
@@ -122,6 +121,35 @@ def fit_candidate(
     return Fitted(candidate, model, report, curve)
 
 
+def fit_all(
+    candidates: Sequence[Candidate], prepared: PipelineModel, train: DataFrame, validation: DataFrame, *, label: str = "label",
+    at_once: int = 4, **options,
+) -> dict[str, Fitted]:
+    """Every candidate by name, up to ``at_once`` of them fitted side by side.
+
+    The training rows are spread and kept once for all of them, and let go afterwards. Small stages of
+    one fit leave cores idle that another can use; with ``spark.scheduler.mode`` FAIR, each has a pool of
+    its own and an equal share. The results do not depend on what runs beside them, but the times do.
+    """
+    spark = train.sparkSession
+    if any(candidate.weighted for candidate in candidates):
+        weights = {row.label: row.weight for row in class_weights(train, label).collect()}
+        train = with_class_weights(train, weights, label=label)
+
+    def fit(candidate: Candidate) -> Fitted:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", candidate.name)
+        try:
+            return fit_candidate(candidate, prepared, ready, validation, label=label, **options)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with kept(spread(train)) as ready, ThreadPoolExecutor(max(1, min(at_once, len(candidates)))) as pool:
+        # each thread is tied to one of the JVM, and so to its pool
+        started = [pool.submit(inheritable_thread_target(spark)(fit), candidate) for candidate in candidates]
+        found = [future.result() for future in started]
+    return {fitted.candidate.name: fitted for fitted in found}
+
+
 def best_candidate(reports: DataFrame, metric: str = "f1") -> DataFrame:
     """One row: metric, recall, lower false positive rate, faster prediction, faster fit, name."""
     return reports.orderBy(

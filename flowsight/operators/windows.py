@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowsight.operators.clean import one_per_key
+
 WINDOW_SECONDS = 10
 WATERMARK_SECONDS = 30
 WEB_PORT = 8080
@@ -30,11 +32,6 @@ def event_time(df: DataFrame, column: str = "timestamp") -> Column:
     return F.col(column) if isinstance(kind, T.TimestampType) else F.col(column).cast("timestamp")
 
 
-def share(condition: Column) -> Column:
-    """Share of rows with the condition; NULL counts as no."""
-    return F.avg(F.when(condition, 1.0).otherwise(0.0))
-
-
 def recorded_flows(df: DataFrame, *modes: str) -> DataFrame:
     """Flow records of the given modes."""
     return df.where((F.col("record_type") == "flow") & F.col("lab_mode").isin(*modes))
@@ -75,6 +72,24 @@ def flow_measures() -> list[Measure]:
     ]
 
 
+def measured_features(elapsed: Column, rate_over: Column | None = None) -> dict[str, Column]:
+    """The features of a window or session by name, from the sums of ``flow_measures`` and its seconds."""
+
+    def mean(column: str) -> Column:
+        return F.try_divide(F.col(f"{column}_total"), F.col(f"{column}_known"))
+
+    return {
+        "flow_count": F.col("flows").cast("double"),
+        "elapsed_seconds": elapsed,
+        "flow_rate": F.col("flows") / (elapsed if rate_over is None else rate_over),
+        "mean_sbytes": mean("sbytes"),
+        "mean_dbytes": mean("dbytes"),
+        "mean_duration": mean("dur"),
+        "http_ratio": F.col("web_flows") / F.col("flows"),
+        "port_scan_ratio": F.col("decoy_flows") / F.col("flows"),
+    }
+
+
 def window_features(
     flows: DataFrame,
     *,
@@ -100,19 +115,7 @@ def window_features(
         per_actor = events.groupBy(*keys, "actor_id").agg(*steps)
         summed = per_actor.groupBy("experiment_id", "source_ip", "span").agg(actor, *merged)
 
-    def mean(column: str) -> Column:
-        return F.try_divide(F.col(f"{column}_total"), F.col(f"{column}_known"))
-
-    features = {
-        "flow_count": F.col("flows").cast("double"),
-        "elapsed_seconds": F.lit(float(seconds)),
-        "flow_rate": F.col("flows") / F.lit(float(seconds)),
-        "mean_sbytes": mean("sbytes"),
-        "mean_dbytes": mean("dbytes"),
-        "mean_duration": mean("dur"),
-        "http_ratio": F.col("web_flows") / F.col("flows"),
-        "port_scan_ratio": F.col("decoy_flows") / F.col("flows"),
-    }
+    features = measured_features(F.lit(float(seconds)))
     return summed.select(
         "experiment_id", "source_ip", "actor_id",
         F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"),
@@ -122,24 +125,21 @@ def window_features(
 
 
 def session_features(flows: DataFrame) -> DataFrame:
-    """One row per run of recorded flows."""
-    events = flows.where(F.col("run_id").isNotNull() & (F.col("record_type") == "flow"))
-    runs = events.withColumn("event_time", event_time(flows)).groupBy("run_id").agg(
-        F.count(F.lit(1)).cast("double").alias("flow_count"),
+    """One row per run of recorded flows: the features of windows, over the time from its first to its last flow."""
+    seen = F.col("event_time").cast("double")
+    measures = [step.alias(name) for name, step, _ in flow_measures()]
+    runs = flows.withColumn("event_time", event_time(flows)).where(
+        F.col("run_id").isNotNull() & (F.col("record_type") == "flow")
+    ).groupBy("run_id").agg(
+        *measures,
+        (F.max(seen) - F.min(seen)).alias("lasted"),
         F.count_distinct("destination_port").cast("double").alias("destination_port_count"),
-        F.min("event_time").cast("double").alias("first_seen"),
-        F.max("event_time").cast("double").alias("last_seen"),
-        F.avg("sbytes").alias("mean_sbytes"),
-        F.avg("dbytes").alias("mean_dbytes"),
-        F.avg("dur").alias("mean_duration"),
-        share(F.col("service") == WEB_SERVICE).alias("http_ratio"),
-    )
-    elapsed = F.greatest(F.col("last_seen") - F.col("first_seen"), F.lit(0.001))
-    return (
-        runs.withColumn("elapsed_seconds", elapsed)
-        .withColumn("flow_rate", F.col("flow_count") / F.greatest("elapsed_seconds", F.lit(1.0)))
-        .select("run_id", *SESSION_FEATURES)
     )
+    # a run of one moment is given a short time, and no rate is taken over less than a second
+    elapsed = F.greatest("lasted", F.lit(0.001))
+    features = measured_features(elapsed, F.greatest(elapsed, F.lit(1.0)))
+    features["destination_port_count"] = F.col("destination_port_count")
+    return runs.select("run_id", *[features[name].alias(name) for name in SESSION_FEATURES])
 
 
 def complete_sessions(flows: DataFrame, truth: DataFrame) -> DataFrame:
@@ -163,9 +163,9 @@ def windows_with_labels(flows: DataFrame, truth: DataFrame, *, seconds: int = WI
     """Window features of the distinct events, with what the event truth says about each window.
 
     Adds ``labelled_count``, ``low_label`` and ``high_label``; features and labels come from the
-    same pass.
+    same pass. Of events with one id the least row by its other columns counts (``clean.one_per_key``).
     """
-    unique = flows.dropDuplicates(["event_id"])
+    unique = one_per_key(flows, "event_id")
     marked = unique.join(truth_per_event(truth), "event_id", "left")
     labels: list[Measure] = [
         ("labelled_count", F.coalesce(F.sum("truth_rows"), F.lit(0)), F.sum),

@@ -24,24 +24,33 @@ class Stored:
 
 def bronze_job(
     spark: SparkSession, source: str, target: str, *, expected_rows: int, contract: Contract = FLOW,
-    sample_path: str | None = None, sample_rows: int = 100,
+    expected_files: DataFrame | None = None, sample_path: str | None = None, sample_rows: int = 100,
 ) -> Stored:
-    """Strict CSV to checked Parquet with a validation report, and a small balanced sample."""
+    """Strict CSV to checked Parquet with a validation report, and a small balanced sample.
+
+    ``expected_files`` (``name, bytes, md5``) are the files of ``source``, a folder or a file; nothing is
+    read as rows, and nothing published, before their digests are right.
+    """
+    reports: dict[str, DataFrame] = {}
+    if expected_files is not None:
+        reports["files"] = written(manifest.audit_manifest(manifest.file_manifest(spark, source), expected_files), "file-audit")
+        manifest.require_verified(reports["files"])
     raw = readers.read_csv_strict(spark, source, contract.schema)
     # a bad source must not replace the last good table
     quality.require_valid(quality.validation_report(raw, contract, expected_rows=expected_rows))
-    rows = sinks.write_checked(raw, target, once=False)
+    rows = sinks.write_checked(raw, target, once=False, expected_rows=expected_rows, values=True)
     report = quality.validation_report(rows, contract, expected_rows=expected_rows)
     if sample_path:
         picked = sample.balanced_sample(rows, identifier=contract.identifier, label=contract.label, per_label=sample_rows)
         sinks.write_csv_report(picked.orderBy(contract.label, contract.identifier), sample_path)
     labels = quality.value_counts(rows, contract.label)
-    return Stored(rows, {"validation": report, "labels": labels, "categories": quality.value_counts(rows, contract.category)})
+    categories = quality.value_counts(rows, contract.category)
+    return Stored(rows, {**reports, "validation": report, "labels": labels, "categories": categories})
 
 
 def silver_job(spark: SparkSession, source: str, target: str, *, contract: Contract = FLOW) -> Stored:
     """Cleaned Parquet; the audit of the result must be clean."""
-    bronze = spark.read.parquet(source)
+    bronze = contract.project(spark.read.parquet(source))
     before = written(quality.cleaning_audit(bronze, contract), "audit-before")
     kept = before.where(F.col("check_name") == "kept_rows").first()["rows"]
     rows = sinks.write_checked(clean.clean_rows(bronze, contract), target, once=False, expected_rows=kept)
@@ -81,7 +90,7 @@ def split_job(rows: DataFrame, target: str, *, contract: Contract = FLOW, fracti
     row = check.first()
     if row.shared_keys or not row.complete:
         raise ValueError(f"split of {row.keys} keys: {row.shared_keys} shared, complete: {row.complete}")
-    model = features.contract_model(contract).fit(saved.where(F.col("split") == "train"))
+    model = features.fit_contract_model(saved.where(F.col("split") == "train"), contract)
     size = rows.sparkSession.range(1).select(F.lit(model.stages[-1].numFeatures).alias("features"))
     return Stored(saved, {"check": check, "counts": split.split_counts(saved, contract.label), "features": size})
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsight.contract import FLOW, Contract
+from flowsight.functions.hashing import portable_bucket
 from flowsight.operators import evaluate, features, score, split, train, windows
 from flowsight.operators.sample import seeded_sample
 from flowsight.plans import tables
@@ -65,10 +66,10 @@ def compare_candidates(
     training = written(training, "training")
     prepared = features.fit_features(training, contract)
     columns = [contract.label, "features"]
-    training = written(spread(prepared.transform(training).select(*columns)), "training-features")
-    validation = written(spread(prepared.transform(validation).select(*columns)), "validation-features")
+    training = written(prepared.transform(training).select(*columns), "training-features")
+    validation = written(prepared.transform(validation).select(*columns), "validation-features")
     options = dict(thresholds=thresholds, metric=metric, label=contract.label)
-    fitted = {c.name: train.fit_candidate(c, prepared, training, validation, **options) for c in candidates}
+    fitted = train.fit_all(candidates, prepared, training, validation, **options)
     reports = written(union_all([f.report for f in fitted.values()]), "candidates")
     return fitted[train.best_candidate(reports, metric).first().name], reports
 
@@ -189,20 +190,54 @@ def window_job(
     return fit_and_test(features.window_model(trees=trees, depth=depth), stored, baseline="rule_score")
 
 
+def experiments_job(labelled: DataFrame, experiments: Mapping[str, str], **options) -> Trained:
+    """``window_job`` on one table of labelled windows, of which each part is an experiment of its own."""
+    parts = {part: windows.of_experiment(labelled, name) for part, name in experiments.items()}
+    return window_job(parts, experiments, **options)
+
+
 def flow_job(
     rows: DataFrame, test: DataFrame, *, fraction: float = 0.2, seed: int = 42, trees: int = 20, depth: int = 6
 ) -> Trained:
     """The classifier of single flows; the threshold is chosen on held-out rows and tested on the designated ones."""
     training, validation = split.holdout_split(rows, "id", fraction=fraction, seed=seed)
     parts = {"train": training, "validation": validation, "test": test}
-    return fit_and_test(features.flow_model(trees=trees, depth=depth), parts, thresholds=evaluate.THRESHOLDS)
+    hashed = features.wide_columns(training, features.FLOW_TEXTS)
+    return fit_and_test(features.flow_model(trees=trees, depth=depth, hashed=hashed), parts, thresholds=evaluate.THRESHOLDS)
+
+
+@dataclass(frozen=True)
+class SavedModel:
+    """A classifier of live traffic with its measures, and the lock that it was saved under."""
+
+    trained: Trained
+    lock: score.ModelLock
+
+
+def lab_job(
+    rows: DataFrame, test: DataFrame, flows: DataFrame, truth: DataFrame, path: str, *, seed: int = 42
+) -> dict[str, SavedModel]:
+    """The classifier of single flows and that of sessions, trained in one job and saved below ``path``.
+
+    Each is locked with the threshold chosen on its validation rows. The folder must be new. The measures are
+    stored beside the models.
+    """
+    spark = rows.sparkSession
+    trained = {"flow": flow_job(rows, test, seed=seed), "session": session_job(flows, truth)}
+    saved = {}
+    for name, found in trained.items():
+        found.measures.coalesce(1).write.mode("errorifexists").parquet(f"{path}/{name}/measures")
+        lock = score.lock_model(spark, found.model, f"{path}/{name}", name=f"{name}_forest", threshold=found.threshold)
+        measures = spark.read.parquet(f"{path}/{name}/measures")
+        saved[name] = SavedModel(Trained(found.model, found.threshold, measures), lock)
+    return saved
 
 
 def sampled_job(
-    rows: DataFrame, contract: Contract = FLOW, *, train_rows: int = 12_000, seed: int = 42
+    rows: DataFrame, contract: Contract = FLOW, *, train_rows: int = 12_000, seed: int = 42, bucket: split.Bucket = split.hash_bucket
 ) -> train.Fitted:
     """A small forest fitted on a label-balanced sample of ``train_rows``, measured on all validation rows."""
-    training, validation = split.holdout_split(rows, contract.identifier, fraction=0.2, seed=seed)
+    training, validation = split.holdout_split(rows, contract.identifier, fraction=0.2, seed=seed, bucket=bucket)
     small = seeded_sample(training, identifier=contract.identifier, label=contract.label, limit=train_rows, seed=seed)
     candidate = train.Candidate("sample_forest", "forest", features.sample_forest(label=contract.label))
     return compare_candidates([candidate], small, validation, contract)[0]
@@ -211,13 +246,35 @@ def sampled_job(
 # --- named queries ---------------------------------------------------------------------------
 
 
+def in_bounds(measures: DataFrame, *names: str, f1: float, areas: float = 0.0) -> DataFrame:
+    """Of measured parts: the rows of each label, and whether threshold and measures lie where they must."""
+    grid = [F.lit(threshold) for threshold in (*evaluate.THRESHOLDS, *evaluate.WINDOW_THRESHOLDS)]
+    found = [F.col("f1").between(f1, 1).alias("f1_in_bounds")]
+    for area in ("roc", "pr"):
+        if f"{area}_auc" in measures.columns:
+            found.append(F.col(f"{area}_auc").between(areas, 1).alias(f"{area}_in_bounds"))
+    return measures.select(
+        *names, (F.col("tp") + F.col("fn")).alias("positives"), (F.col("tn") + F.col("fp")).alias("negatives"),
+        F.col("threshold").isin(grid).alias("threshold_of_grid"), *found,
+    )
+
+
+def compared_lines(spark: SparkSession, folder: str) -> DataFrame:
+    rows = tables.line_features(spark, folder)
+    training, validation = split.holdout_split(rows, "id", fraction=0.2, seed=42, bucket=portable_bucket)
+    return compare_candidates(default_candidates(), training, validation, tables.LINE_FEATURES)[1]
+
+
 @query
 def candidate_comparison(spark, folder):
     """The default candidates on the same split of all order lines."""
-    rows = tables.line_features(spark, folder)
-    training, validation = split.holdout_split(rows, "id", fraction=0.2, seed=42)
-    reports = compare_candidates(default_candidates(), training, validation, tables.LINE_FEATURES)[1]
-    return reports.drop("fit_seconds", "predict_seconds")
+    return compared_lines(spark, folder).drop("fit_seconds", "predict_seconds")
+
+
+@query
+def candidate_comparison_check(spark, folder):
+    """All four candidates are measured on every held-out line of each label, and tell dear lines from others."""
+    return in_bounds(compared_lines(spark, folder), "name", "family", f1=0.9, areas=0.95)
 
 
 def score_locked(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,7 +282,7 @@ def score_locked(spark: SparkSession, folder: str) -> DataFrame:
     rows = tables.line_features(spark, folder)
     training, _ = split.holdout_split(rows, "id", fraction=0.2, seed=42)
     path = scratch_path(spark, "locked-model")
-    model = features.contract_model(tables.LINE_FEATURES, features.logistic()).fit(spread(written(training, "training")))
+    model = features.fit_contract_model(spread(written(training, "training")), tables.LINE_FEATURES, features.logistic())
     score.lock_model(spark, model, path, name="logistic", threshold=0.5)
     model, lock = score.load_locked(spark, path)
     named = dict(run_id="run", scored_at="", model_name=lock.model_name, model_sha256=lock.model_sha256)
@@ -249,6 +306,7 @@ def locked_scores_check(spark, folder):
         F.count_if(decided & right).alias("decided_rows"),
         F.count_if(chance.between(0, 1)).alias("rows_in_range"),
         F.count_distinct("model_sha256").alias("models"),
+        (F.avg(F.col("is_correct").cast("double")) >= 0.9).alias("mostly_right"),
     )
 
 
@@ -259,12 +317,27 @@ def sampled_forest(spark, folder):
     return fitted.report.drop("fit_seconds", "predict_seconds")
 
 
+@query
+def sampled_forest_check(spark, folder):
+    """The small forest, fitted on a bounded sample, is measured on every held-out line and tells dear lines from others."""
+    rows = tables.line_features(spark, folder)
+    fitted = sampled_job(rows, tables.LINE_FEATURES, bucket=portable_bucket)
+    return in_bounds(fitted.report, "name", "family", f1=0.85, areas=0.9)
+
+
 @query
 def session_measures(spark, folder):
     """The session classifier on the runs of the events."""
     return session_job(tables.flow_events(spark, folder), tables.run_truth(spark, folder)).measures
 
 
+@query
+def session_measures_check(spark, folder):
+    """The session classifier is measured on every complete run of each part; a session's label cannot be told well here."""
+    measures = session_job(tables.flow_events(spark, folder), tables.run_truth(spark, folder)).measures
+    return in_bounds(measures, "part", f1=0.0)
+
+
 def measure_windows(spark: SparkSession, folder: str) -> DataFrame:
     truth = tables.event_truth(spark, folder).select("event_id", "label")
     labelled = written(windows.labelled_windows(tables.flow_events(spark, folder), truth, seconds=DAY), "labelled")

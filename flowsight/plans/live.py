@@ -2,34 +2,74 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from flowsight.contract import FLOW
 from flowsight.operators.score import load_locked
 from flowsight.operators.windows import WINDOW_FEATURES, rule_score
 from flowsight.plans import tables
 from flowsight.plans.registry import DAY, query, rounded, zoneless
-from flowsight.session import scratch_path
+from flowsight.session import scratch_path, written
 from flowsight.streaming import progress, queries, sinks, sources
 
 
 def scoring_job(
-    spark: SparkSession, *, input_path: str, output: str, checkpoint: str, lock_path: str, name: str, max_files: int = 1
+    spark: SparkSession, *, input_path: str, output: str, checkpoint: str, lock_path: str, name: str, max_files: int = 1,
+    schema: T.StructType = FLOW.schema,
 ) -> DataFrame:
-    """Score everything that has arrived with a locked model; returns the progress rows.
+    """Score everything that has arrived with a locked model; returns the progress rows of this run.
 
-    Called again with the same checkpoint it goes on with the files that arrived since.
+    Called again with the same checkpoint it goes on with the files that arrived since. The reports
+    of all runs are kept below ``output``: ``progress.recorded_progress(spark, f"{output}/progress")``.
     """
     sources.check_paths(input=input_path, output=output, checkpoint=checkpoint)
     model, lock = load_locked(spark, lock_path)
-    source = sources.parquet_stream(spark, input_path, max_files=max_files)
-    run = queries.start_scoring(
-        source, queries.model_scorer(model, lock, name), output=output, checkpoint=checkpoint, name=name, run_id=name
-    )
-    run.awaitTermination()
-    return progress.progress_rows(spark, run.recentProgress)
+    source = sources.parquet_stream(spark, input_path, schema, max_files=max_files)
+    with progress.ProgressRecorder(spark, f"{output}/progress", name) as recorder:
+        run = queries.start_scoring(
+            source, queries.model_scorer(model, lock, name), output=output, checkpoint=checkpoint, name=name, run_id=name
+        )
+        run.awaitTermination()
+        recorder.wait_for(run)
+    return progress.recorded_progress(spark, f"{output}/progress").where(F.col("run_id") == str(run.runId))
+
+
+def restart_job(
+    spark: SparkSession, rows: DataFrame, folder: str, *, lock_path: str, name: str, first: int = 2, more: int = 1, size: int = 20,
+    order: Sequence[str] = ("id", "label"),
+) -> dict[str, DataFrame]:
+    """Land batches of ``rows`` by rank, score them, land more, and go on from the checkpoint: all below ``folder``.
+
+    The second run must read the new batches only and leave every row in the output once, in batches
+    numbered without a gap; otherwise the job fails. Returns ``scores``, ``summaries``, the ``check`` of the
+    restart, and the ``progress`` of both runs.
+    """
+    paths = {"input_path": f"{folder}/landed", "output": f"{folder}/output", "checkpoint": f"{folder}/checkpoint"}
+    identifier = order[0]
+    landed = 0
+    for turn, batches in enumerate((first, more)):
+        for index in range(landed, landed + batches):
+            sources.land_batch(rows, paths["input_path"], index, size, order=order)
+        landed += batches
+        run = scoring_job(spark, lock_path=lock_path, name=f"{name}-{turn}", schema=rows.schema, **paths)
+        read = run.agg(F.sum("input_rows")).first()[0]
+        if read != batches * size:
+            raise ValueError(f"run {turn} of {name} read {read} rows, {batches * size} had been landed")
+    scores = sinks.read_batches(spark, f"{paths['output']}/predictions")
+    check = written(progress.restart_check(scores, identifier), "restart-check")
+    found = check.first()
+    if found.rows != landed * size or found.duplicate_ids or found.batches != landed or not found.consecutive:
+        raise ValueError(f"after the restart of {name}: {found.asDict()}")
+    return {
+        "scores": scores, "check": check, "summaries": sinks.read_batches(spark, f"{paths['output']}/summaries"),
+        "progress": progress.recorded_progress(spark, f"{paths['output']}/progress"),
+    }
 
 
 def window_stream_job(
@@ -92,14 +132,21 @@ def stream_scores(spark, folder):
 @query
 def stream_summary(spark, folder):
     """The batch summaries added up; how files fall into batches does not matter."""
-    stored = sinks.read_batches(spark, f"{score_events(spark, folder)}/summaries")
+    output = score_events(spark, folder)
+    stored = sinks.read_batches(spark, f"{output}/summaries")
     totals = stored.agg(
         F.sum("input_rows").alias("input_rows"),
         F.sum("alert_rows").alias("alert_rows"),
         F.sum("normal_rows").alias("normal_rows"),
         F.max("max_attack_probability").alias("max_attack_probability"),
+        (F.sum(F.col("alert_rate") * F.col("input_rows")) / F.sum("input_rows")).alias("alert_rate"),
+        (F.sum(F.col("mean_attack_probability") * F.col("input_rows")) / F.sum("input_rows")).alias("mean_attack_probability"),
+    )
+    read = sinks.read_batches(spark, f"{output}/predictions").groupBy("stream_batch_id").agg(
+        F.count_distinct("source_file").alias("files")
     )
-    return rounded(totals)
+    files = stored.join(read, "stream_batch_id", "left").select(F.col("source_file_count") == F.coalesce("files", F.lit(0)))
+    return rounded(totals.withColumn("files_counted", files.agg(F.bool_and(files.columns[0])).scalar()))
 
 
 LANDINGS = 3
@@ -145,13 +192,16 @@ def stream_windows(spark, folder):
         return rule_score(windows).withColumn("prediction", (F.col("rule_score") >= 0.5).cast("int"))
 
     flows = tables.as_flow_events(table_stream(spark, folder, "events")).where(F.col("record_type") == "flow")
-    run = queries.start_windows(
-        flows, scorer, output=f"{path}/output", checkpoint=f"{path}/checkpoint", name=f"windows-{path[-32:]}", window_seconds=DAY,
-        watermark_seconds=disorder_seconds(spark, folder, "events", "ts"),
-    )
-    run.awaitTermination()
-    progress.require_none_late(progress.progress_rows(spark, run.recentProgress))
-    current = sinks.current_windows(sinks.read_batches(spark, f"{path}/output"))
+    name = f"windows-{path[-32:]}"
+    with progress.ProgressRecorder(spark, f"{path}/progress", name) as recorder:
+        run = queries.start_windows(
+            flows, scorer, output=f"{path}/output", checkpoint=f"{path}/checkpoint", name=name, window_seconds=DAY,
+            watermark_seconds=disorder_seconds(spark, folder, "events", "ts"),
+        )
+        run.awaitTermination()
+        recorder.wait_for(run)
+    progress.require_none_late(progress.recorded_progress(spark, f"{path}/progress"))
+    current = sinks.StateTable(f"{path}/output").read(spark)
     columns = ["experiment_id", "source_ip", "actor_id", "window_start", "window_end", *WINDOW_FEATURES, "prediction"]
     return zoneless(rounded(current.select(*columns)))
 

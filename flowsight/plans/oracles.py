@@ -388,9 +388,30 @@ add(
     "locked_scores_check",
     """
 SELECT CASE WHEN label = 1 THEN 'Attack' ELSE 'Normal' END AS actual_class, count(*) AS "rows", count(*) AS decided_rows,
-       count(*) AS rows_in_range, 1::BIGINT AS models FROM line_features GROUP BY 1""",
+       count(*) AS rows_in_range, 1::BIGINT AS models, true AS mostly_right FROM line_features GROUP BY 1""",
     LINE_FEATURES,
 )
+HELD_OUT = f"""
+held AS (SELECT * FROM line_features WHERE {bucket('id', 10000)} < 2000)"""
+add(
+    "candidate_comparison_check",
+    """
+SELECT name, family, count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives,
+       true AS threshold_of_grid, true AS f1_in_bounds, true AS roc_in_bounds, true AS pr_in_bounds
+FROM held, (SELECT unnest(['logistic_unweighted', 'logistic_balanced', 'forest_depth8', 'forest_depth12']) AS name,
+                   unnest(['logistic', 'logistic', 'forest', 'forest']) AS family)
+GROUP BY name, family""",
+    LINE_FEATURES,
+    HELD_OUT,
+)
+add(
+    "sampled_forest_check",
+    """
+SELECT 'sample_forest' AS name, 'forest' AS family, count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives,
+       true AS threshold_of_grid, true AS f1_in_bounds, true AS roc_in_bounds, true AS pr_in_bounds FROM held""",
+    LINE_FEATURES,
+    HELD_OUT,
+)
 add(
     "first_per_group",
     """
@@ -557,6 +578,28 @@ add(
     "challenge AS (SELECT * FROM complete WHERE lab_mode = 'training')",
     measured("challenge", "(1 - http_ratio)", "[0.5]"),
 )
+add(
+    "session_measures_check",
+    """
+SELECT part, count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives, true AS threshold_of_grid, true AS f1_in_bounds
+FROM (SELECT label, split AS part FROM parts WHERE split <> 'train'
+      UNION ALL SELECT label, 'challenge' FROM complete WHERE lab_mode = 'training' AND (SELECT mode FROM modes) = 'calibration')
+GROUP BY part""",
+    FLOWS,
+    SESSIONS,
+    COMPLETE,
+    """
+modes AS (
+  SELECT CASE WHEN count(*) FILTER (lab_mode = 'calibration' AND label = 0) >= 5
+               AND count(*) FILTER (lab_mode = 'calibration' AND label = 1) >= 5 THEN 'calibration' ELSE 'training' END AS mode FROM complete)""",
+    """
+parts AS (
+  SELECT label, CASE WHEN place <= train_end THEN 'train'
+            WHEN place <= least(greatest(train_end + 1, floor(n * 0.80::DOUBLE)), n - 1) THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT *, greatest(1, floor(n * 0.60::DOUBLE)) AS train_end FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY sha256(run_id), run_id) AS place, count(*) OVER (PARTITION BY label) AS n
+    FROM complete WHERE lab_mode = (SELECT mode FROM modes))))""",
+)
 add(
     "experiment_check",
     """
@@ -624,9 +667,116 @@ FROM day_windows""",
 
 # --- equality of results ---------------------------------------------------------------------
 
-STATUS_TOTALS = "(SELECT count(*) FROM (SELECT DISTINCT l_returnflag = 'R', l_linestatus FROM lineitem))"
-add("partition_invariance", f'SELECT {STATUS_TOTALS} AS "rows", true AS same, 3::BIGINT AS settings')
-add("format_equivalence", f"""SELECT unnest(['parquet', 'csv']) AS variant, {STATUS_TOTALS} AS "rows", true AS same""")
+STATUS_TOTALS = """
+totals AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, l_linestatus, count(*) AS flow_count,
+         sum(l_quantity::BIGINT)::BIGINT AS quantity, sum(l_linenumber)::BIGINT AS line_numbers FROM lineitem GROUP BY ALL)"""
+for _name, _variants in (
+    ("partition_invariance", "['1 x cores', '2 x cores', '4 x cores']"),
+    ("format_equivalence", "['parquet', 'parquet, kept', 'csv', 'csv, kept']"),
+):
+    add(_name, f"SELECT variant, true AS same, totals.* FROM totals, (SELECT unnest({_variants}) AS variant)", STATUS_TOTALS)
+
+# --- ranges, keys and files ------------------------------------------------------------------
+
+add(
+    "rank_slice",
+    """
+SELECT l_quantity, l_orderkey, l_linenumber FROM lineitem
+QUALIFY row_number() OVER (ORDER BY l_quantity, l_orderkey, l_linenumber) > (SELECT count(*) // 5 FROM lineitem)
+    AND row_number() OVER (ORDER BY l_quantity, l_orderkey, l_linenumber) <= (SELECT count(*) * 9 // 20 FROM lineitem)""",
+)
+add(
+    "landed_events",
+    """
+SELECT event_type, event_id, value, ((place - 1) // size)::INTEGER AS batch
+FROM (SELECT *, row_number() OVER (ORDER BY event_type, event_id) AS place, count(*) OVER () // 7 AS size FROM events)
+WHERE (place - 1) // size IN (0, 3)""",
+)
+add(
+    "one_per_key",
+    """
+SELECT concat_ws('/', user_id, event_type) AS key, value, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY value, event_id) = 1""",
+)
+add(
+    "wide_columns",
+    """
+SELECT unnest(['o_orderstatus', 'o_key', 'o_orderpriority']) AS column_name,
+       unnest([count(DISTINCT o_orderstatus) > 100, count(DISTINCT o_orderkey) > 100, count(DISTINCT o_orderpriority) > 100]) AS hashed
+FROM orders""",
+)
+# DuckDB has no view of the files as such: what the audit must say of each table's
+add(
+    "file_audit",
+    """
+SELECT name || '.parquet' AS table_file,
+       CASE name WHEN 'orders' THEN 'size_differs' WHEN 'nation' THEN 'unexpected' WHEN 'none' THEN 'missing' ELSE 'verified' END AS status
+FROM (SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings',
+                     'pages', 'benchmark', 'labels', 'conversations', 'none']) AS name)""",
+)
+
+# --- whole jobs ------------------------------------------------------------------------------
+
+add("bronze_lines", "SELECT * FROM line_rows", LINE_ROWS)
+ORACLES["bronze_validation"] = ORACLES["validation_report"]
+add(
+    "silver_orders",
+    """
+SELECT o_orderkey AS id, lower(o_orderpriority) AS priority,
+       coalesce(lower(nullif(o_orderstatus, 'P')), '__unknown__') AS status, greatest(o_totalprice - 100000, 0) AS price,
+       CASE WHEN o_orderstatus = 'F' THEN 'Finished' ELSE 'Normal' END AS attack_cat,
+       CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label FROM orders WHERE o_orderkey > 0""",
+)
+add("json_sessions", "SELECT * FROM complete", FLOWS, SESSIONS, COMPLETE)
+add(
+    "raw_file_rows",
+    """
+SELECT CASE WHEN regexp_matches(regexp_extract(url, '^[a-z]+://([^/]+)', 1), 'casino|pills') THEN 1 ELSE 0 END AS part,
+       count(*) AS "rows", 0::BIGINT AS invalid_label_rows FROM pages GROUP BY 1""",
+)
+add("csv_report", "SELECT * FROM decided WHERE prediction = 1 ORDER BY attack_probability DESC, id LIMIT 200", SCORED)
+add(
+    "alert_tables",
+    """
+SELECT 'alerts' AS report, count(*) AS "rows", round(sum(attack_probability), 6) AS total_score
+FROM (FROM decided WHERE prediction = 1 ORDER BY attack_probability DESC, id LIMIT 200)
+UNION ALL SELECT 'false_positives', count(*), round(sum(attack_probability), 6)
+FROM (FROM decided WHERE prediction = 1 AND label = 0 ORDER BY attack_probability DESC, id LIMIT 50)
+UNION ALL SELECT 'false_negatives', count(*), round(sum(attack_probability), 6)
+FROM (FROM decided WHERE prediction = 0 AND label = 1 ORDER BY attack_probability, id LIMIT 50)
+UNION ALL SELECT 'alert_distribution', count(*), round(sum(mean_score), 6) FROM (
+  SELECT avg(attack_probability) AS mean_score FROM decided WHERE prediction = 1 GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 15)
+UNION ALL SELECT 'measures', 1, round(2 * tp / (2 * tp + fp + fn)::DOUBLE, 6) FROM (
+  SELECT count(*) FILTER (prediction = 1 AND label = 1) AS tp, count(*) FILTER (prediction = 1 AND label = 0) AS fp,
+         count(*) FILTER (prediction = 0 AND label = 1) AS fn FROM decided)""",
+    SCORED,
+)
+add(
+    "batch_scores_check",
+    """
+SELECT part, count(*) AS "rows", count(*) FILTER (label = 1) AS positives, true AS mostly_right
+FROM (SELECT 'parquet' AS part, label FROM line_features UNION ALL SELECT 'csv', label FROM line_features
+      UNION ALL SELECT 'test', label FROM held) GROUP BY part""",
+    LINE_FEATURES,
+    HELD_OUT,
+)
+add(
+    "full_training_check",
+    f"""
+SELECT label, count(*) AS "rows", count(*) AS decided_rows, true AS mostly_right, true AS threshold_of_grid,
+       (sum(count(*)) OVER ())::BIGINT AS measured_rows
+FROM line_features WHERE {bucket('id', 100)} >= 85 GROUP BY label""",
+    LINE_FEATURES,
+)
+add(
+    "restart_job_check",
+    """
+SELECT count(*) AS "rows", count(*) AS distinct_ids, 0::BIGINT AS duplicate_ids, 3::BIGINT AS batches, true AS consecutive,
+       count(*) AS input_rows, 2::BIGINT AS runs, 0::BIGINT AS late_rows, min(id) AS first_id, max(id) AS last_id
+FROM (SELECT o_orderkey AS id FROM orders WHERE o_orderkey > 0
+      QUALIFY row_number() OVER (ORDER BY o_orderkey) <= 3 * ((SELECT count(*) FROM orders WHERE o_orderkey > 0) // 20))""",
+)
 
 # --- streams, against the same work as a batch -----------------------------------------------
 
@@ -635,7 +785,9 @@ add(
     "stream_summary",
     """
 SELECT count(*) AS input_rows, count(*) FILTER (prediction = 1) AS alert_rows, count(*) FILTER (prediction = 0) AS normal_rows,
-       round(max(attack_probability), 6) AS max_attack_probability FROM decided""",
+       round(max(attack_probability), 6) AS max_attack_probability,
+       round(count(*) FILTER (prediction = 1) / count(*), 6) AS alert_rate,
+       round(avg(attack_probability), 6) AS mean_attack_probability, true AS files_counted FROM decided""",
     SCORED,
 )
 add("stream_windows", "SELECT * FROM ruled", FLOWS, DAY_WINDOWS, RULED)

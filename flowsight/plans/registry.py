@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsight.functions.hashing import portable_bucket, portable_key
-from flowsight.functions.predicates import outcome
 from flowsight.operators import (
     alerts,
     canonical,
     checks,
     clean,
     evaluate,
+    features,
     profile,
     quality,
+    ranges,
     reconcile,
     sample,
     split,
@@ -27,6 +28,7 @@ from flowsight.plans import tables
 from flowsight.plans.tables import table
 from flowsight.session import scratch_path, written
 from flowsight.sources import manifest, readers
+from flowsight.streaming import sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -355,8 +357,11 @@ def class_weights(spark, folder):
 
 @query
 def outcome_rows(spark, folder):
-    events = tables.scored_events(spark, folder).withColumn("outcome", outcome())
-    return reconcile.outcome_counts(events).withColumnRenamed("windows", "rows")
+    events = tables.scored_events(spark, folder)
+    cells = ("true_positive", "false_positive", "true_negative", "false_negative")
+    return readers.union_all([
+        alerts.outcome_rows(events, cell).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(cell).alias("outcome"), "rows") for cell in cells
+    ])
 
 
 @query
@@ -502,23 +507,68 @@ def numbered_windows(spark, folder):
 
 @query
 def partition_invariance(spark, folder):
+    """The aggregate over the lines dealt out in three ways, all rows of each."""
     parallel = spark.sparkContext.defaultParallelism
     lines = returned_lines(table(spark, folder, "lineitem"))
-    report = checks.partition_invariance(lines, status_totals, [parallel, 2 * parallel, 4 * parallel])
-    return report.groupBy("rows", "same").agg(F.count(F.lit(1)).alias("settings"))
+    return checks.with_verdict({f"{times} x cores": status_totals(lines.repartition(times * parallel)) for times in (1, 2, 4)})
 
 
 @query
 def format_equivalence(spark, folder):
-    """The same aggregate over Parquet and over a CSV copy of the needed columns."""
+    """The same aggregate over Parquet and over a CSV copy of the needed columns, read anew and held in memory."""
     lines = returned_lines(table(spark, folder, "lineitem"))
     path = scratch_path(spark, "lines-csv")
     lines.write.option("header", True).csv(path)
     copy = readers.read_csv_header(spark, path, lines.schema)
-    report = checks.compare_variants({"parquet": status_totals(lines), "csv": status_totals(copy)})
-    return report.select("variant", "rows", "same")
+    return checks.with_verdict(checks.read_and_kept({"parquet": lines, "csv": copy}, status_totals))
+
+
+@query
+def rank_slice(spark, folder):
+    """Lines 20 % to 45 % of the way through an order by a column of few values."""
+    lines = table(spark, folder, "lineitem").select("l_quantity", "l_orderkey", "l_linenumber")
+    total = lines.count()
+    return ranges.rank_slice(lines, ["l_quantity", "l_orderkey", "l_linenumber"], total // 5, total * 9 // 20, rows=total // 50 + 1)
+
+
+@query
+def landed_events(spark, folder):
+    """The fourth and the first landed batch of the events in an order by type, one after the other."""
+    events = table(spark, folder, "events").select("event_type", "event_id", "value")
+    path, size = scratch_path(spark, "landed"), events.count() // 7
+    for index in (3, 0):
+        sources.land_batch(events, path, index, size, order=["event_type", "event_id"], task_rows=size // 3 + 1)
+    parts = [spark.read.parquet(f"{path}/batch-{index:05d}").withColumn("batch", F.lit(index)) for index in (0, 3)]
+    return readers.union_all(parts)
+
+
+@query
+def one_per_key(spark, folder):
+    """One event of each user and type: the least by the other columns in their order."""
+    events = table(spark, folder, "events").select(F.concat_ws("/", "user_id", "event_type").alias("key"), "value", "event_id")
+    return clean.one_per_key(events, "key")
+
+
+@query
+def wide_columns(spark, folder):
+    """Which text columns of the orders and events have too many values to be indexed."""
+    orders = table(spark, folder, "orders").select("o_orderstatus", F.col("o_orderkey").cast("string").alias("o_key"), "o_orderpriority")
+    wide = features.wide_columns(orders, orders.columns, 100)
+    return spark.createDataFrame([(name, name in wide) for name in orders.columns], "column_name string, hashed boolean")
 
 
 @query
 def file_manifest(spark, folder):
     return manifest.file_manifest(spark, folder, pattern="*.parquet")
+
+
+@query
+def file_audit(spark, folder):
+    """Every file of the tables against a list with one size changed, one name missing and one too many."""
+    found = written(manifest.file_manifest(spark, folder, pattern="*.parquet"), "manifest")
+    named = F.element_at(F.split("name", "/"), 1)
+    wrong = F.when(named == "orders.parquet", 1).otherwise(0)
+    listed = found.where(named != "nation.parquet").select("name", (F.col("bytes") + wrong).alias("bytes"), "md5")
+    listed = listed.unionByName(spark.createDataFrame([("none.parquet", 1, "")], "name string, bytes bigint, md5 string"))
+    audit = manifest.audit_manifest(found, listed)
+    return audit.select(F.element_at(F.split("name", "/"), 1).alias("table_file"), "status").distinct()

@@ -34,6 +34,15 @@ LINE_FEATURES = Contract(
     label="label",
 )
 
+# Orders, which unlike their lines have a key each.
+ORDERS = Contract(
+    schema=ddl("id bigint, priority string, status string, price double, attack_cat string, label int"),
+    identifier="id",
+    categorical=("priority", "status"),
+    category="attack_cat",
+    label="label",
+)
+
 PAGE_TOKENS = RawLayout(
     columns=("host", "sport", "dsport", "proto", "state", "service", "dur", "Spkts", "Dpkts", "attack_cat", "label"),
     ports=frozenset({"sport", "dsport"}),
@@ -93,6 +102,19 @@ def line_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders under ``ORDERS``, untidy too; the label asks for a finished one."""
+    finished = F.col("o_orderstatus") == "F"
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit(" "), "o_orderpriority").alias("priority"),
+        F.nullif("o_orderstatus", F.lit("P")).alias("status"),
+        (F.col("o_totalprice") - 100_000).alias("price"),
+        F.when(finished, " Finished ").otherwise("NORMAL").alias("attack_cat"),
+        finished.cast("int").alias("label"),
+    )
+
+
 def line_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with their order as key and ``label`` from the line status."""
     return table(spark, folder, "lineitem").select(

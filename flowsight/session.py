@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import cache
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # fits that run side by side share the cores
+    "spark.scheduler.mode": "FAIR",
     # window state of many sources does not fit the heap of the executors
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -68,6 +72,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows computed once and held in the memory and on the disks of the executors, until the block ends.
+
+    What is lost with an executor is computed again. Nothing that is read after the block may depend on it.
+    """
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist(blocking=True)
+
+
 def spread(df: DataFrame, divisor: int = 16) -> DataFrame:
     """The rows in an order and in partitions that follow from the rows alone.
 

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowsight.functions.hashing import signature_figures
+from flowsight.session import kept
+
 
 def write_parquet(df: DataFrame, path: str, *, once: bool = True, partition_by: Sequence[str] = ()) -> None:
     """Snappy Parquet; ``once`` refuses a path that exists, otherwise it is overwritten."""
@@ -20,15 +23,26 @@ def write_csv_report(df: DataFrame, path: str) -> None:
 
 
 def write_checked(
-    df: DataFrame, path: str, *, once: bool = True, partition_by: Sequence[str] = (), expected_rows: int | None = None
+    df: DataFrame, path: str, *, once: bool = True, partition_by: Sequence[str] = (), expected_rows: int | None = None,
+    values: bool = False,
 ) -> DataFrame:
-    """Write, read back, and require equal types and the expected number of rows.
+    """Write, read back, and require equal types and the expected number of rows, and with ``values`` equal values.
 
-    Without ``expected_rows`` the rows of ``df`` are counted, which reads only the columns its
-    filters need; the stored rows are counted from the file footers. (Figures observed during
-    the write would save the count, but an observed session can no longer serialise a fitted
-    logistic regression.)
+    Without ``expected_rows`` the rows of ``df`` are counted, which reads only the columns its filters need;
+    the stored rows are counted from the file footers. With ``values`` the rows of ``df`` are held by the
+    executors while they are written, so its plan runs once, and their signature is compared with that of the stored
+    table; maps, which have no hash, are left out. (Figures observed during the write would need no holding, but a
+    session that has observed can no longer serialise a fitted logistic regression.)
     """
+    if values:
+        with kept(df) as held:
+            expected = signature_of(held)
+            back = write_checked(held, path, once=once, partition_by=partition_by, expected_rows=expected["rows"])
+        if expected_rows is not None and expected["rows"] != expected_rows:
+            raise ValueError(f"{path} has {expected['rows']} rows, {expected_rows} expected")
+        if signature_of(back) != expected:
+            raise ValueError(f"{path} reads back other values than were written")
+        return back
     write_parquet(df, path, once=once, partition_by=partition_by)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     stored = df.sparkSession.read.parquet(path)
@@ -42,3 +56,9 @@ def write_checked(
     if found != expected:
         raise ValueError(f"{path} reads back {found} rows, {expected} expected")
     return back
+
+
+def signature_of(df: DataFrame) -> dict:
+    """``rows`` and ``signature`` of a table, over all columns that can be hashed."""
+    hashed = [field.name for field in df.schema.fields if "map<" not in field.dataType.simpleString()]
+    return df.agg(*[figure.alias(name) for name, figure in signature_figures(hashed).items()]).first().asDict()

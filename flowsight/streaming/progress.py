@@ -3,27 +3,89 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from flowsight.streaming.sinks import batch_name
 
 PROGRESS_SCHEMA = (
-    "batchId bigint, timestamp string, numInputRows bigint, durationMs map<string, bigint>, "
+    "id string, runId string, batchId bigint, timestamp string, numInputRows bigint, durationMs map<string, bigint>, "
     "eventTime map<string, string>, stateOperators array<struct<numRowsTotal: bigint, numRowsUpdated: bigint, numRowsDroppedByWatermark: bigint>>"
 )
 
 
-def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
-    """``batch_id, input_rows, duration_seconds, rows_per_second`` and more, one row per report.
+class ProgressRecorder(StreamingQueryListener):
+    """Writes every report of the queries of one name to a folder, while it is in force::
+
+        with ProgressRecorder(spark, path, name) as recorder:
+            run = start(...)
+            run.awaitTermination()
+            recorder.wait_for(run)
 
-    Spark keeps a bounded number of recent reports. The rate is NULL for an empty batch.
+    A session keeps only its last reports in memory. Here each batch owns a folder below that of its
+    query, so a report that comes again replaces itself, and a query that is started again from its
+    checkpoint goes on in the same table. Reports come on a thread of their own, after the batch:
+    ``wait_for`` returns when all of a run are written, and raises what kept one from being so.
     """
-    reports = [(item.json if hasattr(item, "json") else json.dumps(item),) for item in progress]
-    parsed = spark.createDataFrame(reports, "report string").select(F.from_json("report", PROGRESS_SCHEMA).alias("p"))
+
+    def __init__(self, spark: SparkSession, path: str, name: str):
+        self.spark, self.path, self.name = spark, path, name
+        self.changed = threading.Condition()
+        self.ended: set[str] = set()
+        self.failure: Exception | None = None
+
+    def __enter__(self) -> ProgressRecorder:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        if report.name != self.name:
+            return
+        try:
+            row = self.spark.createDataFrame([(report.json,)], "report string").coalesce(1)
+            row.write.mode("overwrite").text(f"{self.path}/query-{report.id}/{batch_name(report.batchId)}")
+        except Exception as failure:  # a listener's own errors would only be logged
+            self.failure = self.failure or failure
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def wait_for(self, run: StreamingQuery, seconds: float = 60) -> None:
+        """Until all reports of the ended run are written."""
+        with self.changed:
+            if not self.changed.wait_for(lambda: str(run.runId) in self.ended, seconds):
+                raise TimeoutError(f"no end of {self.name} was reported in {seconds} s")
+        if self.failure:
+            raise self.failure
+
+
+def report_rows(reports: DataFrame) -> DataFrame:
+    """``batch_id, input_rows, duration_seconds, rows_per_second`` and more, one row per JSON ``report``.
+
+    The rate is NULL for an empty batch.
+    """
+    parsed = reports.select(F.from_json("report", PROGRESS_SCHEMA).alias("p"))
     seconds = F.coalesce(F.col("p.durationMs")["triggerExecution"], F.lit(0)) / 1000.0
     rows = F.coalesce("p.numInputRows", F.lit(0))
     return parsed.select(
+        F.col("p.id").alias("query_id"),
+        F.col("p.runId").alias("run_id"),
         F.col("p.batchId").alias("batch_id"),
         F.col("p.timestamp").alias("timestamp"),
         rows.alias("input_rows"),
@@ -40,6 +102,18 @@ def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
     )
 
 
+def recorded_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all reports that ``ProgressRecorder`` has written below the path, over all runs."""
+    reports = spark.read.schema("value string").option("recursiveFileLookup", True).text(path)
+    return report_rows(reports.withColumnRenamed("value", "report"))
+
+
+def progress_rows(spark: SparkSession, progress: Iterable) -> DataFrame:
+    """The rows of reports in memory, of which Spark keeps a bounded number."""
+    reports = [(item.json if hasattr(item, "json") else json.dumps(item),) for item in progress]
+    return report_rows(spark.createDataFrame(reports, "report string"))
+
+
 def require_none_late(progress: DataFrame) -> None:
     """Fail if a batch has dropped rows behind the watermark, for a replay that must be complete."""
     late = progress.agg(F.sum("late_rows")).first()[0]

@@ -19,7 +19,7 @@ from flowsight.operators.windows import (
     event_time,
     window_features,
 )
-from flowsight.streaming.sinks import batch_folder, batch_summary, write_batch
+from flowsight.streaming.sinks import StateTable, batch_folder, batch_summary, write_batch
 
 NAME_PATTERN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]{0,79}")
 Scorer = Callable[[DataFrame], DataFrame]
@@ -98,8 +98,9 @@ def start_windows(
     window_seconds: int = WINDOW_SECONDS,
     watermark_seconds: int = WATERMARK_SECONDS,
     unique_events: bool = False,
+    merge_every: int = 32,
 ) -> StreamingQuery:
-    """Window features kept in state; every batch writes the windows that changed, scored.
+    """Window features kept in state; every batch writes the windows that changed, scored, to a ``StateTable``.
 
     Events behind the watermark are dropped, other late events emit their window again.
     ``unique_events`` also drops repeated event ids within the watermark.
@@ -111,8 +112,10 @@ def start_windows(
     else:
         windows = window_features(flows, seconds=window_seconds, watermark_seconds=watermark_seconds)
 
+    state = StateTable(output, every=merge_every)
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        write_batch(score(batch), output, batch_id)
+        state.write(score(batch), batch_id)
 
     writer = windows.writeStream.queryName(require_name(name)).outputMode("update").foreachBatch(process)
     return with_trigger(writer.option("checkpointLocation", checkpoint), seconds).start()

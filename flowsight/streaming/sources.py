@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsight.contract import FLOW, FLOW_EVENT_SCHEMA
+from flowsight.operators.ranges import ROWS, rank_slice
 from flowsight.operators.windows import recorded_flows
 from flowsight.sources.readers import with_file_name
 
@@ -42,15 +42,18 @@ def check_paths(**paths: str) -> None:
                 raise ValueError(f"{left} and {right} overlap")
 
 
-def land_batch(rows: DataFrame, path: str, index: int, size: int, *, order: Sequence[str] = ("id", "label")) -> int:
+def land_batch(
+    rows: DataFrame, path: str, index: int, size: int, *, order: Sequence[str] = ("id", "label"), task_rows: int = ROWS
+) -> int:
     """Write rows ``size * index + 1 ... size * (index + 1)`` in order as the folder of one batch.
 
-    The slice is an ordered limit, so only ``size * (index + 1)`` rows per task are ever kept.
-    Files appear when the write commits; a batch that exists or falls short is refused.
+    The slice is found by ranks, so a late batch costs what the first one does, and no task orders more
+    than ``task_rows`` rows (``ranges.rank_slice``); ``rows`` should be a written table. A batch is one
+    file for each ``task_rows`` rows. Files appear when the write commits; a batch that exists or falls short is refused.
     """
-    batch = rows.orderBy(*order).offset(size * index).limit(size)
-    found = batch.agg(F.count(F.lit(1))).first()[0]
+    batch = rank_slice(rows, order, size * index, size * (index + 1), rows=task_rows)
+    found = batch.count()
     if found != size:
         raise ValueError(f"batch {index} has {found} of {size} rows")
-    batch.coalesce(1).write.mode("errorifexists").parquet(f"{path}/batch-{index:05d}")
+    batch.coalesce(-(-size // task_rows)).write.mode("errorifexists").parquet(f"{path}/batch-{index:05d}")
     return size

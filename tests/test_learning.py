@@ -116,7 +116,7 @@ def test_sampled_and_baseline_jobs(rows):
     assert train.model_details(fitted.model.stages[-1])["trees"] == 12
 
 
-def test_session_job_uses_calibration_runs_and_measures_the_challenge(spark):
+def test_session_job_uses_calibration_runs_and_measures_the_challenge(spark, tmp_path):
     rng = random.Random(4)
     flows, truth = [], []
     for mode, runs in (("calibration", 10), ("training", 4)):
@@ -142,6 +142,17 @@ def test_session_job_uses_calibration_runs_and_measures_the_challenge(spark):
         learning.challenge_audit(trained.model, complete_sessions(flows.where("lab_mode <> 'training'"), truth), trained.threshold)
     flow_rows = flows.select(F.xxhash64("event_id").alias("id"), "dur", "sbytes", "dbytes", "proto", "service", (F.col("service") == "ssh").cast("int").alias("label"))
     assert learning.flow_job(flow_rows, flow_rows.where("id % 3 = 0"), trees=2).measures.where("part = 'test'").first().f1 == 1.0
+    saved = learning.lab_job(flow_rows, flow_rows.where("id % 3 = 0"), flows, truth, str(tmp_path / "lab"))
+    assert set(saved) == {"flow", "session"}
+    for name, found in saved.items():
+        model, lock = score.load_locked(spark, str(tmp_path / "lab" / name))
+        assert lock == found.lock and lock.decision_threshold == found.trained.threshold and lock.model_name == f"{name}_forest"
+        assert spark.read.parquet(str(tmp_path / "lab" / name / "measures")).where("part = 'test'").first().f1 == 1.0
+    model, lock = score.load_locked(spark, str(tmp_path / "lab" / "flow"))
+    scored = model.transform(flow_rows)
+    assert evaluate.measure_at(scored, lock.decision_threshold).first().f1 == 1.0
+    with pytest.raises(Exception, match="(?i)already exists"):
+        learning.lab_job(flow_rows, flow_rows, flows, truth, str(tmp_path / "lab"))
 
 
 def test_window_job_refuses_few_windows_and_beats_no_rule(spark):
@@ -156,6 +167,10 @@ def test_window_job_refuses_few_windows_and_beats_no_rule(spark):
     assert measures["baseline"] == 1.0 and measures["test"] == 1.0
     with pytest.raises(ValueError, match="too few"):
         learning.window_job({name: part(4) for name in names}, names)
+    labelled = part(40).withColumn("experiment_id", F.explode(F.array(*[F.lit(name) for name in (*names.values(), "e9")])))
+    again = learning.experiments_job(labelled, names, trees=2)
+    counts = {r.part: r.tp + r.fn + r.tn + r.fp for r in again.measures.collect()}
+    assert counts == {"validation": 40, "test": 40, "baseline": 40}
     assert len(SESSION_FEATURES) == len(WINDOW_FEATURES) == 8
 
 
@@ -174,6 +189,17 @@ def test_batch_jobs_from_csv_to_split(spark, flow_row, tmp_path):
     assert bronze.rows.count() == 120
     assert spark.read.csv(str(tmp_path / "sample"), header=True).count() == 10
     silver = batch.silver_job(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"))
+    from flowsight.sources import manifest
+
+    listed = manifest.file_manifest(spark, str(tmp_path / "raw")).where("name LIKE '%.csv'").select("name", "bytes", "md5")
+    again = batch.bronze_job(spark, str(tmp_path / "raw"), str(tmp_path / "bronze2"), expected_rows=120, expected_files=listed)
+    assert {r.status for r in again.reports["files"].collect()} <= {"verified", "unexpected"} and again.rows.count() == 120
+    with pytest.raises(ValueError, match="digest_differs"):
+        batch.bronze_job(
+            spark, str(tmp_path / "raw"), str(tmp_path / "bronze2"), expected_rows=120, expected_files=listed.withColumn("md5", F.lit("0"))
+        )
+    # the last good table is still there
+    assert spark.read.parquet(str(tmp_path / "bronze2")).count() == 120
     assert {r.service for r in silver.rows.select("service").distinct().collect()} == {"__unknown__", "http"}
     reports = batch.profile_job(silver.rows)
     assert {r.attack_cat for r in reports["category_share"].collect()} == {"Normal", "DoS"}

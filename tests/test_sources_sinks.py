@@ -61,6 +61,47 @@ def test_write_checked(spark, tmp_path):
     assert sinks.write_checked(df.where("id < 0"), str(tmp_path / "t3")).count() == 0
 
 
+def test_write_checked_runs_the_plan_once_and_notices_values(spark, tmp_path, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(50).withColumn("text", F.when(F.col("id") % 3 == 0, "t"))
+    back = sinks.write_checked(rows.mapInArrow(count, rows.schema), str(tmp_path / "once"), expected_rows=50, values=True)
+    assert seen.value == 50 and back.count() == 50
+    with pytest.raises(ValueError, match="50 rows, 49 expected"):
+        sinks.write_checked(rows, str(tmp_path / "fewer"), expected_rows=49, values=True)
+
+    def wrong(df, path, **options):
+        df.withColumn("text", F.coalesce("text", F.when(F.col("id") == 4, "u"))).write.parquet(path)
+
+    monkeypatch.setattr(sinks, "write_parquet", wrong)
+    with pytest.raises(ValueError, match="other values"):
+        sinks.write_checked(rows, str(tmp_path / "changed"), values=True)
+    monkeypatch.setattr(sinks, "write_parquet", lambda df, path, **options: df.where("id <> 7").write.parquet(path))
+    with pytest.raises(ValueError, match="reads back 49"):
+        sinks.write_checked(rows, str(tmp_path / "less"), values=True)
+
+
+def test_a_session_that_has_observed_cannot_use_a_fitted_regression(spark, tmp_path):
+    """Why the checked write does not observe: in a session of its own, as the session is of no use afterwards."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    from pyspark.sql import Observation
+
+    own = spark.newSession()
+    rows = own.createDataFrame([(float(i % 2), Vectors.dense(i % 7, 1.0)) for i in range(40)], ["label", "features"])
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(str(tmp_path / "seen"))
+    assert seen.get == {"rows": 40}
+    model = LogisticRegression(maxIter=2).fit(rows)
+    with pytest.raises(Exception, match="(?s)ObservationManager"):
+        model.transform(rows).write.parquet(str(tmp_path / "scored"))
+
+
 def test_written_tables_live_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(f"{base}/x-")
@@ -75,7 +116,10 @@ def test_manifest(spark, tmp_path):
         (tmp_path / name).write_bytes(content)
     found = manifest.file_manifest(spark, str(tmp_path))
     rows = {r.name: r for r in found.collect()}
-    assert set(rows) == set(files) - {"b.csv"}
+    assert set(rows) == set(files)
+    assert (rows["b.csv"].bytes, rows["b.csv"].md5) == (0, hashlib.md5().hexdigest())
+    assert {tuple(row) for row in manifest.file_manifest(spark, str(tmp_path), whole_bytes=3).collect()} == {tuple(row) for row in rows.values()}
+    assert [row.name for row in manifest.file_manifest(spark, str(tmp_path / "a.csv")).collect()] == ["a.csv"]
     assert rows["c.csv"].sha256 == hashlib.sha256(b"three").hexdigest() and rows["c.csv"].bytes == 5
     md5 = {name: hashlib.md5(content).hexdigest() for name, content in files.items()}
     expected = spark.createDataFrame(
@@ -84,12 +128,43 @@ def test_manifest(spark, tmp_path):
     )
     audit = manifest.audit_manifest(found, expected)
     assert {r.name: r.status for r in audit.collect()} == {
-        "a.csv": "verified", "b.csv": "missing", "c.csv": "digest_differs", "e.csv": "missing", "sub/d.csv": "size_differs",
+        "a.csv": "verified", "b.csv": "verified", "c.csv": "digest_differs", "e.csv": "missing", "sub/d.csv": "size_differs",
     }
-    with pytest.raises(ValueError, match="b.csv missing"):
+    with pytest.raises(ValueError, match="c.csv digest_differs, e.csv missing"):
         manifest.require_verified(audit)
 
 
+def test_manifest_of_odd_names_and_a_file_of_three_gigabytes(spark, tmp_path):
+    for name in ("a b.csv", "c+d.csv", "e%20f.csv", "g#h.csv"):
+        (tmp_path / name).write_bytes(name.encode())
+        (tmp_path / f"empty {name}").write_bytes(b"")
+    with open(tmp_path / "sparse.bin", "wb") as file:
+        file.truncate(3 << 30)
+    rows = {r.name: r for r in manifest.file_manifest(spark, str(tmp_path)).collect()}
+    assert len(rows) == 9 and sum(row.bytes == 0 for row in rows.values()) == 4
+    assert all(rows[name].md5 == hashlib.md5(name.encode()).hexdigest() for name in ("a b.csv", "c+d.csv", "e%20f.csv", "g#h.csv"))
+    assert rows["sparse.bin"].bytes == 3 << 30
+    expected = hashlib.md5()
+    for _ in range(3 << 7):
+        expected.update(bytes(8 << 20))
+    assert rows["sparse.bin"].md5 == expected.hexdigest()
+
+
+def test_hash_tree_changes_one_branch(spark):
+    def files(changed=None):
+        digest = F.sha2(F.concat("name", F.when(F.col("name") == changed, "x").otherwise("y")), 256)
+        return spark.range(3_000).select(F.concat(F.lit("f"), "id").alias("name")).withColumn("sha256", digest)
+
+    before, after = manifest.hash_tree(files("none")), manifest.hash_tree(files("f17"))
+    leaf = hashlib.sha256(b"f17").hexdigest()[:4]
+    assert [row.prefix for row in manifest.changed_leaves(before, after).collect()] == [leaf]
+    old, new = ({row.prefix: row.digest for row in tree.collect()} for tree in (before, after))
+    assert {prefix for prefix in old if old[prefix] != new[prefix]} == {leaf, leaf[:2], ""}
+    sizes = before.groupBy(F.length("prefix").alias("level")).agg(F.sum("files").alias("files")).collect()
+    assert {row.level: row.files for row in sizes} == {4: 3_000, 2: 3_000, 0: 3_000}
+    assert manifest.changed_leaves(before, manifest.hash_tree(files("none").repartition(7))).isEmpty()
+
+
 def test_folder_digest_notices_changes(spark, tmp_path):
     (tmp_path / "m").mkdir()
     (tmp_path / "m" / "a").write_text("1")
@@ -117,6 +192,29 @@ def test_results_do_not_depend_on_partitions_or_size(spark):
     checks.require_same(report)
 
 
+def test_held_rows_give_the_same_and_are_let_go(spark, tmp_path):
+    flows(spark).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    variants = checks.read_and_kept({"parquet": table}, totals)
+    found = checks.with_verdict(variants).collect()
+    assert {row.variant for row in found} == {"parquet", "parquet, kept"} and all(row.same for row in found)
+    assert not table.is_cached and "InMemoryTableScan" not in checks.plan_of(totals(spark.read.parquet(str(tmp_path / "t"))))
+    with pytest.raises(ValueError, match="does not read the rows that are held"):
+        checks.read_and_kept({"parquet": table}, lambda df: flows(spark))
+    with pytest.raises(ZeroDivisionError):
+        checks.read_and_kept({"parquet": table}, lambda df: 1 / 0)
+    assert not table.is_cached
+    variants = {"all": flows(spark), "fewer": flows(spark, 399)}
+    assert {row.same for row in checks.with_verdict(variants).where("variant = 'fewer'").collect()} == {False}
+
+
+def test_signatures_tell_where_null_is(spark):
+    left = spark.createDataFrame([(None, 1), (2, None)], "a int, b int")
+    right = spark.createDataFrame([(1, None), (None, 2)], "a int, b int")
+    assert checks.signature(left).first().signature != checks.signature(right).first().signature
+    assert checks.signature(left.limit(0)).first() == (0, "0")
+
+
 def test_differing_results_are_named(spark):
     report = checks.compare_variants({"all": flows(spark), "fewer": flows(spark, 399)})
     with pytest.raises(ValueError, match="fewer"):

@@ -28,6 +28,19 @@ def test_landing_takes_the_next_slice_once(spark, flows, tmp_path):
         sources.land_batch(flows, path, 4, 7)
 
 
+def test_landing_many_batches_of_a_skewed_order(spark, tmp_path):
+    rows = spark.range(400).selectExpr("cast(if(id < 300, 7, id % 3) as int) AS id", "cast(id % 2 as int) AS label", "id AS row")
+    rows.repartition(5).write.parquet(str(tmp_path / "rows"))
+    rows, path = spark.read.parquet(str(tmp_path / "rows")), str(tmp_path / "in")
+    for index in range(8):
+        sources.land_batch(rows, path, index, 50, task_rows=20)
+    landed = sinks.read_batches(spark, path)
+    assert sorted(row["row"] for row in landed.select("row").collect()) == list(range(400))
+    first = spark.read.parquet(f"{path}/batch-00000").agg(F.max("id")).first()[0]
+    last = spark.read.parquet(f"{path}/batch-00007").agg(F.min("id")).first()[0]
+    assert (first, last) == (1, 7)
+
+
 def test_paths_must_not_overlap():
     sources.check_paths(input="/a/in", output="/a/out", checkpoint="/a/in2")
     for bad in ("/a/in", "/a/in/deep", "/a"):
@@ -75,6 +88,113 @@ def test_restart_goes_on_with_new_files_only(spark, flows, tmp_path):
     assert summaries.agg(F.sum("input_rows"), F.count(F.lit(1))).first() == (6, 3)
 
 
+def test_every_report_is_kept_over_a_restart(spark, tmp_path):
+    for part in range(2):
+        for place in range(75):
+            number = part * 75 + place
+            (tmp_path / "in").mkdir(exist_ok=True)
+            spark.range(number, number + 1).coalesce(1).write.parquet(str(tmp_path / "in" / f"b{number:03d}"))
+        source = sources.parquet_stream(spark, str(tmp_path / "in"), spark.range(1).schema)
+        name = f"reports-{tmp_path.name[-20:]}"
+        with progress.ProgressRecorder(spark, str(tmp_path / "reports"), name) as recorder:
+            writer = source.writeStream.queryName(name).format("noop").option("checkpointLocation", str(tmp_path / "cp"))
+            run = queries.with_trigger(writer, None).start()
+            run.awaitTermination()
+            recorder.wait_for(run)
+    kept = progress.recorded_progress(spark, str(tmp_path / "reports")).where("input_rows > 0")
+    assert kept.count() == 150 and kept.select("batch_id").distinct().count() == 150
+    assert kept.select("query_id").distinct().count() == 1 and kept.select("run_id").distinct().count() == 2
+    assert kept.agg(F.sum("input_rows")).first()[0] == 150
+    assert progress.progress_rows(spark, run.recentProgress).count() < 150
+    progress.require_none_late(kept)
+    with pytest.raises(ValueError, match="3 rows came behind"):
+        progress.require_none_late(kept.limit(3).withColumn("late_rows", F.lit(1)))
+
+
+def test_a_report_that_cannot_be_written_is_not_lost(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "in" / "a"))
+    (tmp_path / "file").write_text("no folder")
+    name = f"broken-{tmp_path.name[-20:]}"
+    source = sources.parquet_stream(spark, str(tmp_path / "in"), spark.range(1).schema)
+    with progress.ProgressRecorder(spark, str(tmp_path / "file"), name) as recorder:
+        writer = source.writeStream.queryName(name).format("noop").option("checkpointLocation", str(tmp_path / "cp"))
+        run = queries.with_trigger(writer, None).start()
+        run.awaitTermination()
+        with pytest.raises(Exception, match="(?i)file"):
+            recorder.wait_for(run)
+
+
+def test_the_restart_job_lands_runs_and_goes_on(spark, flows, tmp_path):
+    score.lock_model(spark, features.contract_model().fit(flows), str(tmp_path / "lock"), name="lr", threshold=0.5)
+    done = live.restart_job(spark, flows, str(tmp_path / "job"), lock_path=str(tmp_path / "lock"), name="job", size=4)
+    assert sorted(r.id for r in done["scores"].collect()) == list(range(1, 13))
+    assert done["check"].first().asDict() == {"rows": 12, "distinct_ids": 12, "duplicate_ids": 0, "batches": 3, "consecutive": True}
+    assert done["summaries"].count() == 3 and done["progress"].agg(F.sum("input_rows")).first()[0] == 12
+    with pytest.raises(ValueError, match="2 of 4"):
+        live.restart_job(spark, flows, str(tmp_path / "far"), lock_path=str(tmp_path / "lock"), name="far", size=4, first=8)
+
+
+STATE = "experiment_id string, source_ip string, window_start int, value int"
+
+
+def folded_batches(batches):
+    newest = {}
+    for number, rows in enumerate(batches):
+        newest |= {row[:3]: (row[3], number) for row in rows}
+    return sorted((*key, *value) for key, value in newest.items())
+
+
+def state_rows(spark, table):
+    return sorted(tuple(row) for row in table.read(spark).select("experiment_id", "source_ip", "window_start", "value", "stream_batch_id").collect())
+
+
+def test_state_is_merged_into_a_fixed_number_of_folders(spark, tmp_path):
+    import random
+
+    rng = random.Random(4)
+    table = sinks.StateTable(str(tmp_path / "state"), every=3)
+    batches, files = [], []
+    for number in range(20):
+        keys = rng.sample(range(12), 4)
+        rows = [("e", f"s{key % 4}", key, rng.randrange(1_000)) for key in keys] if number != 5 else []
+        batches.append(rows)
+        table.write(spark.createDataFrame(rows, STATE), number)
+        if number % 4 == 1:
+            table.write(spark.createDataFrame(rows, STATE), number)  # a batch that comes again
+        assert state_rows(spark, table) == folded_batches(batches), number
+        files.append(sum(1 for path in (tmp_path / "state").rglob("part-*")))
+    assert len(list((tmp_path / "state" / "deltas").iterdir())) == 9
+    assert {path.name for path in (tmp_path / "state").iterdir()} == {"deltas", "base-0", "base-1", "commit-0", "commit-1"}
+    assert table.commits(spark)[-1] == (5, 17)
+
+
+def test_a_merge_cut_short_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    table = sinks.StateTable(str(tmp_path / "state"), every=2)
+    batches = [[("e", "s", number, number), ("e", "s", 100, number)] for number in range(6)]
+    for number in range(5):
+        table.write(spark.createDataFrame(batches[number], STATE), number)
+    # the base is written and the commit is not
+    monkeypatch.setattr(spark, "range", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        table.write(spark.createDataFrame(batches[5], STATE), 5)
+    monkeypatch.undo()
+    assert (tmp_path / "state" / "base-0").exists() and table.commits(spark)[-1] == (1, 3)
+    assert state_rows(spark, table) == folded_batches(batches)
+    # a commit folder without its file is as good as none
+    for part in (tmp_path / "state" / "commit-0").glob("part-*"):
+        part.unlink()
+    assert table.commits(spark) == [(1, 3)] and state_rows(spark, table) == folded_batches(batches)
+    table.write(spark.createDataFrame(batches[5], STATE), 5)
+    assert table.commits(spark)[-1] == (2, 5) and state_rows(spark, table) == folded_batches(batches)
+
+
+def test_state_of_null_keys(spark, tmp_path):
+    table = sinks.StateTable(str(tmp_path / "state"), every=1)
+    for number in range(3):
+        table.write(spark.createDataFrame([("e", None, 1, number), (None, "s", None, number)], STATE), number)
+    assert sorted((row[3], row[4]) for row in table.read(spark).select("*").collect()) == [(2, 2), (2, 2)]
+
+
 def event(event_id, second, source="s1", **more):
     row = {
         "event_id": event_id, "experiment_id": "e", "source_ip": source, "actor_id": source, "record_type": "flow", "lab_mode": "live",
@@ -98,7 +218,7 @@ def run_files(spark, tmp_path, batches, **options):
         name = f"w{place}-{tmp_path.name[-20:]}"
         query = queries.start_windows(flows, passed_through, output=output, checkpoint=checkpoint, name=name, **options)
         query.awaitTermination()
-    current = sinks.current_windows(sinks.read_batches(spark, output))
+    current = sinks.StateTable(output).read(spark)
     return {(r.source_ip, r.window_start.minute * 60 + r.window_start.second): r.flow_count for r in current.collect()}, query
 
 
@@ -116,7 +236,7 @@ def test_window_state_equals_the_batch_result(spark, tmp_path):
     assert {(r.source_ip, r.window_start.second): r.flow_count for r in batch.collect()} == found
     rows = progress.progress_rows(spark, query.recentProgress)
     assert rows.where("input_rows > 0").count() == 1 and rows.where("input_rows = 0 AND rows_per_second IS NOT NULL").isEmpty()
-    newest = sinks.newest_windows(sinks.current_windows(sinks.read_batches(spark, str(tmp_path / "out"))), 1).collect()
+    newest = sinks.newest_windows(sinks.StateTable(str(tmp_path / "out")).read(spark), 1).collect()
     assert [r.window_start.second for r in newest] == [10]
 
 
@@ -132,7 +252,7 @@ def test_window_model_scores_the_stream(spark, tmp_path):
     paths = dict(input_path=str(tmp_path / "in"), output=str(tmp_path / "out"), checkpoint=str(tmp_path / "cp"))
     query = live.window_stream_job(spark, model=model, threshold=0.5, name="modelled", **paths)
     query.awaitTermination()
-    current = sinks.current_windows(sinks.read_batches(spark, paths["output"]))
+    current = sinks.StateTable(paths["output"]).read(spark)
     assert {r.source_ip: r.prediction for r in current.collect()} == {"s1": 0, "s2": 1}
     with pytest.raises(ValueError, match="overlap"):
         live.window_stream_job(spark, model=model, threshold=0.5, name="x", **{**paths, "output": paths["input_path"] + "/o"})
