@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,10 +26,20 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, ARROW_TYPES[kind]) for name, kind in (field.split() for field in ddl.split(","))])
 
 
+def release_memory() -> None:
+    """Give back to the system what Arrow and the C library keep for later; workers live on between the tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, rows: int = 2_000) -> Iterator[pa.RecordBatch]:
     """A batch in parts, so that fewer texts are Python objects at a time."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+    release_memory()
 
 
 def map_batches(df: DataFrame, ddl: str, convert: Callable[[list[list]], dict[str, list]]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsight.llm.batches import arrow_schema, filter_batches, map_batches, required
-from flowsight.llm.words import blocks
+from flowsight.llm.words import blocks, forget
 from flowsight.session import written
 
 UNKNOWN = "und"
@@ -132,6 +132,7 @@ def count_ngrams(labelled: DataFrame, settings: Settings) -> DataFrame:
     schema = arrow_schema("lang string, key bigint, n bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tallies: dict[str, Tally] = {}
         for batch in batches:
             texts, langs = (column.to_pylist() for column in batch.columns)

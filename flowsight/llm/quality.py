@@ -67,7 +67,7 @@ class WordShapes:
         part_of_character = np.zeros(max(ranks.values()) + 1, bool)
         part_of_character[[rank for token, rank in ranks.items() if len(token) == 1 and token[0] >= 0x80]] = True
         self.fallback = (piece_bytes, part_of_character)
-        self.memo = Memo(self.encode, limit=120_000)
+        self.memo = Memo(self.encode, limit=100_000)
 
     def encode(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
         """A word is encoded by itself, by the byte-level vocabulary as after a blank."""
@@ -159,8 +159,8 @@ def measure(texts: list[str | None], files: Vocabularies) -> list[tuple]:
             chars = len(texts[place]) - len(body) + sum(map(len, words))
             repeat = repeated_words(words)
             failed = len(words) < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * len(words)
-            packed = [table[word] for word in words]
-            ids = [np.frombuffer(b"".join([pair[number] for pair in packed]), np.int32) for number in range(2)]
+            packed = list(zip(*map(table.__getitem__, words))) or [(), ()]
+            ids = [np.frombuffer(b"".join(own), np.int32) for own in packed]
             shapes = [value for own, bytes_of in zip(ids, words_of.fallback) for value in fertility(own, chars, bytes_of)]
             symbols = len(body) - len(body.translate(None, SYMBOLS))
             rows.append((

@@ -47,6 +47,11 @@ class Splitter:
 LOADED: dict = {}
 
 
+def forget() -> None:
+    """Let go of the vocabulary in use and its words, for work that needs none."""
+    LOADED.clear()
+
+
 def only_loaded(make: Callable, *arguments):
     """What ``make`` gives, kept by the worker until it needs another vocabulary.
 
@@ -67,7 +72,7 @@ class Memo:
     whatever the texts hold, and the results do not depend on what is remembered.
     """
 
-    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int = 250_000):
+    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int = 120_000):
         self.compute, self.limit = compute, limit
         self.young: dict = {}
         self.old: dict = {}
