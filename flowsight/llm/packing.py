@@ -60,8 +60,8 @@ class WordTokens:
         pairs = np.array([(vocabulary[left], vocabulary[right]) for left, right in merges], np.int64)
         results = np.array([vocabulary[left + right] for left, right in merges], np.int32)
         self.table = MergeTable(pairs, np.arange(len(merges), dtype=np.int32), results)
-        self.pieces = Memo(self.encode_pieces)
-        self.units = Memo(self.encode_units, limit=50_000)
+        self.pieces = Memo(self.encode_pieces, limit=250_000)
+        self.units = Memo(self.encode_units, limit=100_000)
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         return merge_words([piece.encode() for piece in pieces], self.single, self.table, self.last)
