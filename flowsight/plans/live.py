@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flowsight.contract import FLOW
+from flowsight.operators.ranges import ROWS
 from flowsight.operators.score import load_locked
 from flowsight.operators.windows import WINDOW_FEATURES, rule_score
 from flowsight.plans import tables
@@ -42,12 +43,13 @@ def scoring_job(
 
 def restart_job(
     spark: SparkSession, rows: DataFrame, folder: str, *, lock_path: str, name: str, first: int = 2, more: int = 1, size: int = 20,
-    order: Sequence[str] = ("id", "label"),
+    order: Sequence[str] = ("id", "label"), task_rows: int = ROWS,
 ) -> dict[str, DataFrame]:
     """Land batches of ``rows`` by rank, score them, land more, and go on from the checkpoint: all below ``folder``.
 
     The second run must read the new batches only and leave every row in the output once, in batches
-    numbered without a gap; otherwise the job fails. Returns ``scores``, ``summaries``, the ``check`` of the
+    numbered without a gap; otherwise the job fails. A landed batch, which has a file for each ``task_rows`` rows, is
+    one batch of the stream. Returns ``scores``, ``summaries``, the ``check`` of the
     restart, and the ``progress`` of both runs.
     """
     paths = {"input_path": f"{folder}/landed", "output": f"{folder}/output", "checkpoint": f"{folder}/checkpoint"}
@@ -55,9 +57,11 @@ def restart_job(
     landed = 0
     for turn, batches in enumerate((first, more)):
         for index in range(landed, landed + batches):
-            sources.land_batch(rows, paths["input_path"], index, size, order=order)
+            sources.land_batch(rows, paths["input_path"], index, size, order=order, task_rows=task_rows)
         landed += batches
-        run = scoring_job(spark, lock_path=lock_path, name=f"{name}-{turn}", schema=rows.schema, **paths)
+        run = scoring_job(
+            spark, lock_path=lock_path, name=f"{name}-{turn}", schema=rows.schema, max_files=sources.batch_files(size, task_rows), **paths
+        )
         read = run.agg(F.sum("input_rows")).first()[0]
         if read != batches * size:
             raise ValueError(f"run {turn} of {name} read {read} rows, {batches * size} had been landed")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from flowsight.contract import FLOW, FLOW_EVENT_SCHEMA
 from flowsight.operators.ranges import ROWS, rank_slice
 from flowsight.operators.windows import recorded_flows
+from flowsight.session import kept
 from flowsight.sources.readers import with_file_name
 
 
@@ -42,18 +43,25 @@ def check_paths(**paths: str) -> None:
                 raise ValueError(f"{left} and {right} overlap")
 
 
+def batch_files(size: int, task_rows: int = ROWS) -> int:
+    """The files of a landed batch: one for each ``task_rows`` rows."""
+    return max(1, -(-size // task_rows))
+
+
 def land_batch(
     rows: DataFrame, path: str, index: int, size: int, *, order: Sequence[str] = ("id", "label"), task_rows: int = ROWS
 ) -> int:
     """Write rows ``size * index + 1 ... size * (index + 1)`` in order as the folder of one batch.
 
     The slice is found by ranks, so a late batch costs what the first one does, and no task orders more
-    than ``task_rows`` rows (``ranges.rank_slice``); ``rows`` should be a written table. A batch is one
-    file for each ``task_rows`` rows. Files appear when the write commits; a batch that exists or falls short is refused.
+    than ``task_rows`` rows (``ranges.rank_slice``); ``rows`` should be a written table. A batch is
+    ``batch_files`` files. They appear when the write commits; a batch that exists or falls short is refused.
     """
     batch = rank_slice(rows, order, size * index, size * (index + 1), rows=task_rows)
-    found = batch.count()
-    if found != size:
-        raise ValueError(f"batch {index} has {found} of {size} rows")
-    batch.coalesce(-(-size // task_rows)).write.mode("errorifexists").parquet(f"{path}/batch-{index:05d}")
+    # dealt evenly, so no file is missing; the tasks that find the rows are as many as the table has
+    with kept(batch.repartition(batch_files(size, task_rows))) as held:
+        found = held.count()
+        if found != size:
+            raise ValueError(f"batch {index} has {found} of {size} rows")
+        held.write.mode("errorifexists").parquet(f"{path}/batch-{index:05d}")
     return size

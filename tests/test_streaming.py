@@ -301,3 +301,11 @@ def test_stream_queries_of_a_table_of_many_files(spark, tmp_path, parts):
     whole = verify.connect(SMALL)
     for name in ("stream_scores", "stream_summary", "stream_windows", "stream_restart_check"):
         assert verify.compare(spark, whole, name, str(tmp_path)) == "", name
+
+
+def test_a_landed_batch_of_several_files_is_one_batch_of_the_stream(spark, flows, tmp_path):
+    score.lock_model(spark, features.contract_model().fit(flows), str(tmp_path / "lock"), name="lr", threshold=0.5)
+    done = live.restart_job(spark, flows, str(tmp_path / "job"), lock_path=str(tmp_path / "lock"), name="files", size=4, task_rows=2)
+    files = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "job" / "landed"))
+    assert files.select(F.input_file_name()).distinct().count() == 6
+    assert done["check"].first().asDict() == {"rows": 12, "distinct_ids": 12, "duplicate_ids": 0, "batches": 3, "consecutive": True}
