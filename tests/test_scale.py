@@ -130,6 +130,17 @@ def test_spread_follows_from_the_rows_alone(spark):
     assert {row.part for row in few} == {0, 1, 2, 3}
 
 
+def test_a_slice_is_read_from_its_written_ranges(spark, tmp_path):
+    """The ranges of the rows are found once: neither the result nor later cuts read the table again."""
+    spark.range(3_000).selectExpr("id % 7 AS k", "id").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    found = ranges.rank_slice(rows, ["k", "id"], 700, 1_900, rows=60)
+    assert not [name for name in found.inputFiles() if str(tmp_path) in name]
+    assert sorted(map(tuple, found.collect())) == sorted((i % 7, i) for i in range(3_000))[700:1_900]
+    for start, stop in ((0, 3_000), (5, 5), (2_990, 3_500), (4_000, 5_000)):
+        assert ranges.rank_slice(rows, ["k", "id"], start, stop, rows=60).count() == max(0, min(stop, 3_000) - start)
+
+
 def test_session_defaults(spark):
     assert build_session().conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
