@@ -58,11 +58,11 @@ def json_sessions(spark, folder):
 
 @query
 def raw_file_rows(spark, folder):
-    """Page tokens as headerless text files, read by name and made canonical: what each file gives."""
+    """Page tokens as headerless text files, read by name and made canonical: what the files of each part give."""
     path = scratch_path(spark, "raw-pages")
     tokens = tables.page_tokens(spark, folder).drop("source_file").withColumn("part", (F.col("label") == "1").cast("int"))
     for part in (0, 1):
-        tokens.where(F.col("part") == part).drop("part").coalesce(1).write.csv(f"{path}/part-{part}")
+        tokens.where(F.col("part") == part).drop("part").write.csv(f"{path}/part-{part}")
     counts = []
     for part in (0, 1):
         found = spark.read.format("binaryFile").load(f"{path}/part-{part}").select("path").collect()
@@ -70,7 +70,8 @@ def raw_file_rows(spark, folder):
         rows = canonical.canonical_rows(
             readers.read_raw_files(spark, f"{path}/part-{part}", names, tables.PAGE_TOKENS), contract=tables.PAGES, layout=tables.PAGE_TOKENS
         )
-        counts.append(quality.source_counts(rows).select(F.lit(part).alias("part"), "rows", "invalid_label_rows"))
+        of_files = quality.source_counts(rows).groupBy(F.lit(part).alias("part"))
+        counts.append(of_files.agg(*[F.sum(name).alias(name) for name in ("rows", "invalid_label_rows")]))
     return readers.union_all(counts)
 
 

@@ -346,3 +346,21 @@ def test_candidates_are_fitted_side_by_side(spark):
     broken = [train.Candidate("broken", "logistic", features.logistic(label="nothing"))]
     with pytest.raises(Exception, match="nothing"):
         train.fit_all(broken, prepared, ready, ready)
+
+
+# --- work that one task did -------------------------------------------------------------------
+
+
+def test_raw_pages_are_written_and_counted_by_many_tasks(spark, tmp_path, monkeypatch):
+    from flowsight.plans import jobs
+
+    spark.read.parquet("/root/testdata/sf0.001/pages.parquet").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    settings = {"spark.sql.files.openCostInBytes": str(128 << 20)}
+    monkeypatch.setattr(jobs, "scratch_path", lambda *_: str(tmp_path / "raw"))
+    spark.conf.set(*settings.popitem())
+    try:
+        found = {row.part: row["rows"] for row in jobs.raw_file_rows(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(list((tmp_path / "raw" / "part-0").glob("part-*.csv"))) == 3
+    assert sum(found.values()) == spark.read.parquet(str(tmp_path / "pages.parquet")).count()
