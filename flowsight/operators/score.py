@@ -16,6 +16,9 @@ from flowsight.sources.sinks import write_checked, write_csv_report
 # Columns that describe a scored row, in output order.
 DESCRIPTIVE = ("id", "proto", "service", "state", "attack_cat", "label", "source_file")
 
+# Rows of a CSV part.
+CSV_ROWS = 250_000
+
 
 def with_optional_columns(df: DataFrame, **types: str) -> DataFrame:
     """Add the named columns as typed NULL where they are absent."""
@@ -104,14 +107,15 @@ def score_batch(
 ) -> DataFrame:
     """Score a table into Parquet, checked by reading it back; no row may be lost.
 
-    ``csv`` adds a copy as one CSV part, for outputs small enough for one task. The Parquet
+    ``csv`` adds a copy as CSV, one part for about each ``CSV_ROWS`` rows. The Parquet
     path must be new, which is also what keeps a final test from being scored twice.
     """
     particulars = dict(threshold=lock.decision_threshold, run_id=run_id, scored_at=scored_at)
     _, flat = scored_rows(
         model.transform(df), model_name=lock.model_name, model_sha256=lock.model_sha256, **particulars
     )
-    saved = write_checked(flat, f"{path}/parquet", expected_rows=df.count())
+    rows = df.count()
+    saved = write_checked(flat, f"{path}/parquet", expected_rows=rows)
     if csv:
-        write_csv_report(saved, f"{path}/csv")
+        write_csv_report(saved, f"{path}/csv", parts=max(1, -(-rows // CSV_ROWS)))
     return saved

@@ -10,7 +10,7 @@ from flowsight.functions.hashing import portable_bucket
 from flowsight.operators import alerts, canonical, clean, features, quality, score, split, train, windows
 from flowsight.plans import batch, learning, live, tables
 from flowsight.plans.registry import query, rounded
-from flowsight.session import scratch_path, spread, written
+from flowsight.session import scratch_path, written
 from flowsight.sources import readers, sinks
 
 # The writer would cut off blanks, which cleaning is to find.
@@ -102,7 +102,7 @@ def locked_on_lines(spark: SparkSession, folder: str, path: str) -> DataFrame:
     """A logistic regression on the order lines, locked below the path; returns the lines."""
     rows = tables.line_features(spark, folder)
     training, _ = split.holdout_split(rows, "id", fraction=0.2, seed=42, bucket=portable_bucket)
-    model = features.fit_contract_model(spread(written(training, "training")), tables.LINE_FEATURES, features.logistic(max_iter=15))
+    model = features.fit_on_vectors(written(training, "training"), tables.LINE_FEATURES, features.logistic(max_iter=15))
     score.lock_model(spark, model, path, name="logistic", threshold=0.5)
     return rows
 
@@ -149,7 +149,7 @@ def restart_job_check(spark, folder):
     """Orders landed by rank, scored, more of them landed, and the query started again from its checkpoint."""
     path = scratch_path(spark, "restart-job")
     rows = written(clean.clean_rows(tables.order_rows(spark, folder), tables.ORDERS), "orders")
-    model = features.fit_contract_model(spread(rows), tables.ORDERS, features.logistic(max_iter=2))
+    model = features.fit_on_vectors(rows, tables.ORDERS, features.logistic(max_iter=2))
     score.lock_model(spark, model, f"{path}/model", name="logistic", threshold=0.5)
     size = rows.count() // 20
     done = live.restart_job(spark, rows, f"{path}/job", lock_path=f"{path}/model", name=f"restart-{path[-32:]}", size=size, order=("id", "label"))

@@ -282,7 +282,7 @@ def score_locked(spark: SparkSession, folder: str) -> DataFrame:
     rows = tables.line_features(spark, folder)
     training, _ = split.holdout_split(rows, "id", fraction=0.2, seed=42)
     path = scratch_path(spark, "locked-model")
-    model = features.fit_contract_model(spread(written(training, "training")), tables.LINE_FEATURES, features.logistic())
+    model = features.fit_on_vectors(written(training, "training"), tables.LINE_FEATURES, features.logistic())
     score.lock_model(spark, model, path, name="logistic", threshold=0.5)
     model, lock = score.load_locked(spark, path)
     named = dict(run_id="run", scored_at="", model_name=lock.model_name, model_sha256=lock.model_sha256)

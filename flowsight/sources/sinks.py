@@ -17,9 +17,9 @@ def write_parquet(df: DataFrame, path: str, *, once: bool = True, partition_by:
     df.write.mode(mode).option("compression", "snappy").partitionBy(*partition_by).parquet(path)
 
 
-def write_csv_report(df: DataFrame, path: str) -> None:
-    """A report as a single CSV part with a header; for tables with a bounded number of rows."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv_report(df: DataFrame, path: str, parts: int = 1) -> None:
+    """A report as CSV with a header in each part: a single one for tables with a bounded number of rows, else at most ``parts``."""
+    df.coalesce(parts).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_checked(

@@ -364,3 +364,18 @@ def test_raw_pages_are_written_and_counted_by_many_tasks(spark, tmp_path, monkey
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert len(list((tmp_path / "raw" / "part-0").glob("part-*.csv"))) == 3
     assert sum(found.values()) == spark.read.parquet(str(tmp_path / "pages.parquet")).count()
+
+
+def test_a_large_csv_copy_has_many_parts(spark, tmp_path, monkeypatch):
+    from flowsight.operators import score
+    from flowsight.plans import tables
+
+    rows = tables.line_features(spark, "/root/testdata/sf0.001").limit(400).repartition(4)
+    model = features.fit_on_vectors(written(rows, "rows"), tables.LINE_FEATURES, features.logistic(max_iter=1))
+    score.lock_model(spark, model, str(tmp_path / "lock"), name="lr", threshold=0.5)
+    model, lock = score.load_locked(spark, str(tmp_path / "lock"))
+    monkeypatch.setattr(score, "CSV_ROWS", 100)
+    monkeypatch.setattr(score, "write_checked", lambda df, path, **_: df.repartition(6))
+    score.score_batch(rows, model, lock, str(tmp_path / "out"), run_id="r", scored_at="t", csv=True)
+    parts = list((tmp_path / "out" / "csv").glob("part-*.csv"))
+    assert len(parts) == 4 and spark.read.csv(str(tmp_path / "out" / "csv"), header=True).count() == 400
