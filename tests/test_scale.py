@@ -379,3 +379,13 @@ def test_a_large_csv_copy_has_many_parts(spark, tmp_path, monkeypatch):
     score.score_batch(rows, model, lock, str(tmp_path / "out"), run_id="r", scored_at="t", csv=True)
     parts = list((tmp_path / "out" / "csv").glob("part-*.csv"))
     assert len(parts) == 4 and spark.read.csv(str(tmp_path / "out" / "csv"), header=True).count() == 400
+
+
+def test_forests_keep_the_node_of_each_row_and_fit_the_same_trees(spark):
+    rows = spark.range(600).selectExpr("cast(id * 7 % 11 > 4 as int) AS label", "id * 7 % 11 * 1.0 + id % 3 AS a", "id % 5 * 1.0 AS b")
+    rows = features.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    fast = features.forest(5, 6)
+    assert fast.getCacheNodeIds()
+    plain = fast.copy().setCacheNodeIds(False)
+    trees = lambda forest: forest.fit(rows).toDebugString.split("\n", 1)[1]
+    assert trees(fast) == trees(plain)
