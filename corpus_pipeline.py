@@ -28,7 +28,10 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """The document with the least doc_id of each group of near copies: five-word shingles, similarity 0.8 or more.
+
+    SimHash groups come first and are checked exactly; bands of MinHash add what lies beyond its 3 bits.
+    """
     return near_sets.first_of_each(docs)
 
 

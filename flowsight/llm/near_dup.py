@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from itertools import accumulate
 
 import numpy as np
@@ -35,16 +36,21 @@ def shingle_hashes(text: str | None, size: int = 3):
         yield np.array([digest(joined[start : end - 1], SEED) for start, end in spans], dtype=np.uint64)
 
 
-def fingerprint(text: str | None, size: int = 3) -> int:
-    """64 bits, each 1 if over half of the shingle hashes have it; no word gives 0."""
+def fingerprint_of(blocks: Iterable[np.ndarray]) -> int:
+    """64 bits, each 1 if over half of the hashes have it; no hash gives 0."""
     total, ones = 0, np.zeros(64, dtype=np.int64)
-    for hashes in shingle_hashes(text, size):
+    for hashes in blocks:
         total += len(hashes)
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     packed = np.packbits(2 * ones > total, bitorder="little") if total else np.zeros(8, dtype=np.uint8)
     return int(packed.view(np.int64)[0])
 
 
+def fingerprint(text: str | None, size: int = 3) -> int:
+    """The fingerprint of a whole text's shingles, repeats included; no word gives 0."""
+    return fingerprint_of(shingle_hashes(text, size))
+
+
 def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fp`` of every row; ``fp`` is the fingerprint as a signed long."""
 

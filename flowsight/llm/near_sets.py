@@ -1,4 +1,4 @@
-"""Near copies by the Jaccard similarity of shingle sets: MinHash bands give candidates, whole sets decide."""
+"""Near copies by the Jaccard similarity of shingle sets: SimHash and then MinHash bands give candidates, whole sets decide."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from flowsight.llm.batches import map_batches, slices
 from flowsight.llm.components import component_roots
-from flowsight.llm.near_dup import shingle_hashes
+from flowsight.llm.near_dup import fingerprint_links, fingerprint_of, shingle_hashes
 from flowsight.llm.words import forget
 from flowsight.session import written
 
@@ -55,7 +55,7 @@ def band_keys(least: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(least.reshape(BANDS, -1))]
 
 
-ADDED = ("place", "node", "keys", "minima")
+ADDED = ("place", "node", "print", "keys", "minima")
 
 
 def added_names(df: DataFrame) -> dict[str, str]:
@@ -68,9 +68,9 @@ def added_names(df: DataFrame) -> dict[str, str]:
 
 
 def signatures(docs: DataFrame, text: str, size: int) -> DataFrame:
-    """All columns of every row; and a number of its own, a hash of its shingle set, band keys, and 16 bits of its minima."""
+    """All columns of every row; and a number of its own, a hash and the SimHash of its shingle set, band keys, and 16 bits of its minima."""
     names = added_names(docs)
-    kinds = dict(zip(ADDED, (T.LongType(), T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.ShortType()))))
+    kinds = dict(zip(ADDED, (T.LongType(), T.LongType(), T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.ShortType()))))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(names[name], kind) for name, kind in kinds.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,15 +78,16 @@ def signatures(docs: DataFrame, text: str, size: int) -> DataFrame:
         place = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, 1_000):
-                node, keys, bits = [], [], []
+                node, prints, keys, bits = [], [], [], []
                 for value in part.column(part.schema.get_field_index(text)).to_pylist():
                     hashes = shingle_set(value, size)
                     least = minima(hashes)
                     node.append(xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63))
+                    prints.append(fingerprint_of([hashes]))
                     keys.append(band_keys(least))
                     bits.append(least.astype(np.uint16).view(np.int16))
                 added = [
-                    pa.array(np.arange(place, place + part.num_rows)), pa.array(node, pa.int64()),
+                    pa.array(np.arange(place, place + part.num_rows)), pa.array(node, pa.int64()), pa.array(prints, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int16())),
                 ]
                 place += part.num_rows
@@ -186,19 +187,33 @@ def pairs_a_node(bands: DataFrame) -> float:
     return row.pairs / row.nodes if row.nodes else 0.0
 
 
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """``u, v``: each node with one node of its SimHash group, linked fingerprints as in operator 2: at most 3 bits apart."""
+    prints = written(nodes.groupBy("print").agg(F.min("node").alias("hub")), "prints")
+    roots = component_roots(fingerprint_links(prints.select(F.col("print").alias("fp"))))
+    rooted = prints.join(roots, prints["print"] == roots["node"], "left").select("print", F.coalesce("root", "print").alias("top"))
+    hubs = prints.select(F.col("print").alias("top"), F.col("hub").alias("u"))
+    pairs = nodes.select("print", F.col("node").alias("v")).join(rooted, "print").join(hubs, "top")
+    return pairs.where("u <> v").select("u", "v")
+
+
 def set_components(rows: DataFrame, size: int, least: float, hubs: int = HUBS) -> DataFrame:
     """``node, root`` of every node of ``rows`` (``node, text, keys, minima``) that is not the root of its component.
 
-    First each node is compared with one node of each of its bands, the hub, which joins a ball of near
+    With a column ``print``, the groups that SimHash makes come first, each node compared with one of its group; the
+    bands then find what is alike but more than 3 bits apart. Of the bands, first each node is compared with one node of each of its bands, the hub, which joins a ball of near
     copies with as many comparisons as it has nodes. Where large bands then still hold nodes of different
     components this is done again with other hubs, and at last with all nodes, so no pair of a band is left out.
     """
-    nodes = rows.groupBy("node").agg(F.first("keys").alias("keys"), F.first("minima").alias("minima"))
+    kinds = [name for name in ("print", "keys", "minima") if name in rows.columns]
+    nodes = rows.groupBy("node").agg(*[F.first(name).alias(name) for name in kinds])
     nodes = written(nodes, "nodes")
     keyed = nodes.select(F.explode("keys").alias("key"), "node")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("count"), F.min("node").alias("hub")).where("count > 1")
     keyed = written(keyed.join(shared, "key"), "bands")
     held = Links(rows.select("node", "text"), nodes.select("node", "minima"), size, least)
+    if "print" in kinds:
+        held.try_pairs(simhash_pairs(nodes))
     held.try_pairs(keyed.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")))
     still = open_bands(keyed.where("count > 2").select("key", "node"), held.roots)
     for turn in range(hubs):
@@ -234,7 +249,7 @@ def first_of_each(
     names = added_names(docs)
     whole = written(signatures(docs, text, size), "signatures")
     place, node = (whole[names[name]] for name in ("place", "node"))
-    rows = whole.select(node.alias("node"), whole[text].alias("text"), *(whole[names[c]].alias(c) for c in ("keys", "minima")))
+    rows = whole.select(node.alias("node"), whole[text].alias("text"), *(whole[names[c]].alias(c) for c in ("print", "keys", "minima")))
     roots = set_components(rows, size, least)
     own = whole.select(place.alias("place"), node.alias("node"), order_of(whole[doc_id], whole[text], place).alias("order"))
     rooted = own.join(roots, "node", "left").select("place", "order", F.coalesce("root", "node").alias("root"))

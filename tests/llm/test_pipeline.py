@@ -140,6 +140,21 @@ def test_near_stage_of_rows_without_ids_and_of_one_id(spark):
     assert len(got) == 4 and {"d", "i"} <= set(got) and ("c" in got) != ("e" in got) and ("g" in got) != ("h" in got)
 
 
+def test_near_stage_takes_simhash_groups_and_checks_them(spark):
+    """Fingerprints at most 3 bits apart are candidates by themselves, without bands; whole sets decide."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(2_000)]
+    rows = [(0, " ".join(base)), (1, " ".join([*base, "more"])), (2, " ".join(rng.sample(base, 2_000)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    signed = near_sets.signatures(docs, "text", 5)
+    names = near_sets.added_names(docs)
+    rows = written(signed.select("doc_id", "text", *(F.col(names[c]).alias(c) for c in ("node", "print", "minima"))), "signed")
+    prints = {row["doc_id"]: row["print"] % (1 << 64) for row in rows.collect()}
+    assert (prints[0] ^ prints[1]).bit_count() <= 3 < (prints[0] ^ prints[2]).bit_count()
+    alone = rows.withColumn("keys", F.array(F.col("doc_id")))
+    assert near_sets.set_components(alone, 5, 0.8).count() == 1
+
+
 def test_stages_are_in_order_and_named():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "language ID", "exact dedup", "SimHash near-dedup", "packing",
