@@ -10,6 +10,9 @@ from flowsight.session import written
 
 # How much of a language's n-grams a text must have, of what the language's own texts have on average.
 MIN_LANGUAGE_SCORE = 0.3
+# What a worker holds while it packs: executors come to this stage with the heap that near copies took.
+PACKED_WORDS = 100_000
+PACKED_ROWS = 500
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +40,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the training windows, with their ids."""
-    return packing.pack(docs, WORD_VOCABULARY)
+    return packing.pack(docs, WORD_VOCABULARY, words=PACKED_WORDS, rows_at_once=PACKED_ROWS)
 
 
 STAGES = [

@@ -26,6 +26,9 @@ GROUP_WINDOWS = 128
 PIECE = 256
 # Ids that a window may stay short of its size, so that near-equal windows need not be equal.
 SLACK = 8
+# Words that a worker remembers, and rows that it encodes at a time.
+WORDS = 250_000
+ROWS = 2_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,7 +48,7 @@ class WordTokens:
     vocabulary's added tokens literally, which the tokeniser gives their own ids.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = WORDS):
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             state = json.load(file)
@@ -60,8 +63,8 @@ class WordTokens:
         pairs = np.array([(vocabulary[left], vocabulary[right]) for left, right in merges], np.int64)
         results = np.array([vocabulary[left + right] for left, right in merges], np.int32)
         self.table = MergeTable(pairs, np.arange(len(merges), dtype=np.int32), results)
-        self.pieces = Memo(self.encode_pieces, limit=250_000)
-        self.units = Memo(self.encode_units, limit=100_000)
+        self.pieces = Memo(self.encode_pieces, limit=words)
+        self.units = Memo(self.encode_units, limit=words * 2 // 5)
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         return merge_words([piece.encode() for piece in pieces], self.single, self.table, self.last)
@@ -90,8 +93,8 @@ class WordTokens:
             yield from (done[place] for place in block)
 
 
-def word_tokens(path: str) -> WordTokens:
-    return only_loaded(WordTokens, path)
+def word_tokens(path: str, words: int = WORDS) -> WordTokens:
+    return only_loaded(WordTokens, path, words)
 
 
 def difference(sizes: np.ndarray, windows: int) -> np.ndarray:
@@ -237,6 +240,8 @@ def pack(
     piece: int = PIECE,
     slack: int = SLACK,
     keep_ids: bool = True,
+    words: int = WORDS,
+    rows_at_once: int = ROWS,
 ) -> DataFrame:
     """``PIECES`` of every row: which ids of a document are where in which sequence.
 
@@ -245,7 +250,8 @@ def pack(
     again gives the same numbers. A sequence is meant to be padded to ``window`` unless its length is a
     power of two, so what is left at the end of a task is cut into such lengths. A null or empty text is one
     piece of the end id; a null doc_id stays null; repeated rows are packed again; an empty table gives an
-    empty result; other columns are ignored. Without ``keep_ids`` the ids column is null.
+    empty result; other columns are ignored. Without ``keep_ids`` the ids column is null. ``words`` and
+    ``rows_at_once`` set what a worker holds against what it computes again; the result does not depend on them.
     """
     schema = arrow_schema(PIECES)
 
@@ -259,12 +265,12 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, field.type) for c, field in zip(columns, schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = word_tokens(path)
+        tokens = word_tokens(path, words)
         packer = Packer(TaskContext.get().partitionId() << 32, window, group, piece, slack)
         end = END_ID.to_bytes(4, "little")
         rows: list[tuple] = []
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, rows_at_once):
                 texts = [value or "" for value in part.column(1).to_pylist()]
                 for doc, packed in zip(part.column(0).to_pylist(), tokens.encode(texts)):
                     rows.extend(packer.add(doc, np.frombuffer(packed + end, "<u4")))

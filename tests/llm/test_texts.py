@@ -16,6 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from flowsight.llm import bpe, chat, html_text, langid, line_dedup, merges, packing, quality, queries, url_filter
 from flowsight.llm.words import Memo, blocks
 from tests.conftest import SMALL
@@ -395,6 +396,22 @@ def check_packing(spark, docs, **options):
     return lengths
 
 
+def test_packing_with_little_memory_gives_the_same_rows(spark, docs):
+    chosen = docs.select("doc_id", "text").coalesce(1)
+    small = packing.pack(chosen, queries.WORD_VOCABULARY, words=100, rows_at_once=3)
+    assert small.collect() == packing.pack(chosen, queries.WORD_VOCABULARY).collect()
+
+
+def test_packing_of_the_pipeline_remembers_few_words():
+    tokens = packing.WordTokens(queries.WORD_VOCABULARY, corpus_pipeline.PACKED_WORDS)
+    rows, size = corpus_pipeline.PACKED_ROWS, 100
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = [" ".join(str(row * size + word).translate(letters) for word in range(size)) for row in range(10 * rows)]
+    for start in range(0, len(texts), rows):
+        assert len([*tokens.encode(texts[start : start + rows])]) == rows
+        assert len(tokens.pieces.young) + len(tokens.pieces.old) <= 2 * (corpus_pipeline.PACKED_WORDS + rows * size)
+
+
 def test_packing_holds_every_id_once_with_little_padding(spark, docs):
     extra = spark.createDataFrame(list(enumerate([*ODD_TEXTS, "word " * 30_000], 10_000)), DOCS)
     lengths = check_packing(spark, docs.select("doc_id", "text").unionByName(extra))
