@@ -9,6 +9,7 @@ from flowsight.operators import evaluate, features, score, split, train
 from flowsight.operators.windows import SESSION_FEATURES, WINDOW_FEATURES
 from flowsight.plans import batch, learning
 from flowsight.contract import Contract
+from flowsight.session import spread, written
 
 SMALL = Contract(
     schema=ddl("id bigint, proto string, dur double, sbytes bigint, attack_cat string, label int"),
@@ -108,6 +109,23 @@ def test_full_training_scores_the_test_part_once(spark, rows, tmp_path):
         train.test_once(model, rows, lock.decision_threshold, str(tmp_path / "once"))
 
 
+def test_full_training_writes_no_training_rows_again(rows, tmp_path, monkeypatch):
+    names = []
+    monkeypatch.setattr(learning, "written", lambda df, name: names.append(name) or written(df, name))
+    part = F.when(F.col("id") <= 240, "train").when(F.col("id") <= 320, "validation").otherwise("test")
+    saved = split.save_split(rows.withColumn("split", part), str(tmp_path / "split"))
+    learning.full_training_job(saved, str(tmp_path / "run"), SMALL, max_iter=5)
+    assert names == ["candidates"]
+
+
+def test_many_rows_of_a_fit_are_held_on_disk_only(rows):
+    for many, memory in ((1_000, True), (100, False)):
+        with features.dealt(rows, many) as held:
+            assert (held.storageLevel.useMemory, held.storageLevel.useDisk) == (memory, True)
+            assert held.collect() == spread(rows).collect()
+        assert not held.storageLevel.useDisk
+
+
 def test_sampled_and_baseline_jobs(rows):
     fitted = learning.sampled_job(rows, SMALL, train_rows=100)
     report = fitted.report.first()
