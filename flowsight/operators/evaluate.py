@@ -126,14 +126,19 @@ def score_steps(df: DataFrame, label: str, raw: str) -> DataFrame:
     return known.groupBy("score").agg(F.sum("_label").alias("ones"), F.sum(1 - F.col("_label")).alias("zeros"))
 
 
-def ranking_measures(df: DataFrame, *, label: str = "label", raw: str = "rawPrediction", rows: int = ROWS) -> DataFrame:
+def ranking_measures(
+    df: DataFrame, *, label: str = "label", raw: str = "rawPrediction", rows: int = ROWS, slots: int | None = None
+) -> DataFrame:
     """One row: ``roc_auc, pr_auc``, the exact areas under both curves by trapezoids over all distinct scores.
 
     The precision curve begins at the precision of the highest score. Both are NULL without rows of
     both labels. Distinct scores are counted first and written; they are then summed up from the top
-    inside ranges of at most ``rows`` scores, so no task orders more of them.
+    inside ranges of at most ``rows`` scores, so no task orders more of them; ``slots`` asks for at least so many
+    ranges, as far as there are scores.
     """
     steps = written(score_steps(df, label, raw), "score-steps")
+    if slots is not None:
+        rows = max(1, min(rows, steps.count() // slots))
     ranged, _ = adaptive_ranges(steps.withColumn(KEY, F.struct("score")), rows=rows)
     slotted = ranged.select("score", "ones", "zeros", F.col(RANGE).alias("slot"))
     all_slots = Window.partitionBy(F.lit(0))
