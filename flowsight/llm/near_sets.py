@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsight.llm.batches import map_batches, slices
+from flowsight.llm.batches import arrow_schema, map_batches, slices
 from flowsight.llm.components import component_roots
 from flowsight.llm.near_dup import fingerprint_links, fingerprint_of, shingle_hashes
 from flowsight.llm.words import forget
@@ -26,9 +26,10 @@ BAND_HASHES = 5
 # Of 150 minima, a pair at similarity s has about 150 s in common. One that is at least 0.8 alike has so few less than
 # 0.65 of them, 4.6 deviations off, with probability 0.000003.
 SLACK = 0.15
-# Where nodes of open bands have more partners than this, they are compared with this many further hubs, one after
-# another, before all are with each other.
-MANY = 20
+# Nodes of an open band, and shingles of them, that are compared with as many others by one call.
+BLOCK_NODES = 4_000
+BLOCK_SHINGLES = 1_000_000
+# Where an open band fills more blocks than one, its nodes are first compared with this many further hubs, one after another.
 HUBS = 3
 # Shingles that are hashed at a time.
 BLOCK = 2_048
@@ -107,20 +108,24 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return both.where(F.col("share") >= least - SLACK)
 
 
-def near_enough(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """The pairs ``u, v`` whose whole shingle sets have at least the similarity ``least``, as a written table.
-
-    The sets of the nodes that are asked for are hashed once each, and then compared in the JVM.
-    """
-    pairs = written(pairs.select("u", "v"), "pairs")
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+def shingle_sets(texts: DataFrame, asked: DataFrame, size: int) -> DataFrame:
+    """``node, hashes`` of the nodes asked for, each set hashed once, as a written table."""
 
     def convert(columns):
         return {"node": columns[0], "hashes": [shingle_set(text, size).view(np.int64) for text in columns[1]]}
 
     # texts of one node have one set, so any of them will do
     found = texts.join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    sets = written(map_batches(found.select("node", "text"), "node bigint, hashes array<bigint>", convert), "sets")
+    return written(map_batches(found.select("node", "text"), "node bigint, hashes array<bigint>", convert), "sets")
+
+
+def near_enough(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """The pairs ``u, v`` whose whole shingle sets have at least the similarity ``least``, as a written table.
+
+    The sets of the nodes that are asked for are hashed once each, and then compared in the JVM.
+    """
+    pairs = written(pairs.select("u", "v"), "pairs")
+    sets = shingle_sets(texts, pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), size)
     left, right = (sets.select(F.col("node").alias(side), F.col("hashes").alias(f"of_{side}")) for side in "uv")
     common = F.size(F.array_intersect("of_u", "of_v"))
     alike = common >= least * (F.size("of_u") + F.size("of_v") - common)
@@ -163,8 +168,11 @@ class Links:
             self.add(rest)
 
     def add(self, pairs: DataFrame) -> None:
-        """Verify pairs; the links are joined between components and not between all their nodes again."""
-        more = near_enough(pairs, self.texts, self.size, self.least)
+        """Verify pairs and take in those that are links."""
+        self.join(near_enough(pairs, self.texts, self.size, self.least))
+
+    def join(self, more: DataFrame) -> None:
+        """Take in links, a written table; they are joined between components and not between all their nodes again."""
         if more.isEmpty():
             return
         joined = component_roots(between_roots(more, self.roots))
@@ -180,11 +188,89 @@ def open_bands(keyed: DataFrame, roots: DataFrame) -> DataFrame:
     return written(rooted.join(ends.where("low < high").select("key"), "key"), "open-bands")
 
 
-def pairs_a_node(bands: DataFrame) -> float:
-    """How many partners a node of the bands has on average, if all nodes of a band are compared."""
-    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.sum(F.col("n") * F.col("n")).alias("pairs"), F.sum("n").alias("nodes")).first()
-    return row.pairs / row.nodes if row.nodes else 0.0
+def block_links(
+    roots: np.ndarray, chunks: np.ndarray, minima: np.ndarray, flat: np.ndarray, edges: np.ndarray, least: float
+) -> list[tuple[int, int]]:
+    """Places of nodes to link, so that all that are alike and in one block are in one component.
+
+    Nodes of one root, or joined by earlier links of the block, are not compared; nor, where there are two chunks, nodes
+    of one chunk. The minima leave few pairs, of which the whole sets (``flat`` from edge to edge) are counted.
+    """
+    _, part = np.unique(roots, return_inverse=True)
+    across = chunks.min() != chunks.max()
+    columns = np.ascontiguousarray(minima.T)
+    values, ids = np.unique(flat, return_inverse=True)
+    sizes, marked, links = np.diff(edges), np.zeros(len(values) + 1, bool), []
+    for u in range(len(roots) - 1):
+        open_rows = part[u + 1 :] != part[u]
+        if across:
+            open_rows &= chunks[u + 1 :] != chunks[u]
+        if not open_rows.any():
+            continue
+        same = (columns[:, u + 1 :] == columns[:, u : u + 1]).sum(axis=0, dtype=np.int16)
+        others = np.flatnonzero(open_rows & (same / len(columns) >= least - SLACK)) + u + 1
+        if not len(others):
+            continue
+        own = ids[edges[u] : edges[u + 1]]
+        marked[own] = True
+        common = np.array([np.count_nonzero(marked[ids[edges[v] : edges[v + 1]]]) for v in others.tolist()])
+        marked[own] = False
+        alike = others[common >= least * (sizes[u] + sizes[others] - common)]
+        joined, first = np.unique(part[alike], return_index=True)
+        links.extend((u, int(v)) for v in alike[first])
+        part[np.isin(part, joined)] = part[u]
+    return links
+
+
+def chunk_counts(bands: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """``key, main, others, mains``: in how many chunks of about ``block`` nodes, and of bounded sets, a band is compared.
+
+    A band that fills more than one has chunks of its own for its largest component, the root ``main``.
+    """
+
+    def filled(count: Column, size: Column) -> Column:
+        return F.ceil(F.greatest(count / block, size / BLOCK_SHINGLES)).cast("int")
+
+    sized = bands.join(sets.select("node", F.size("hashes").alias("size")), "node")
+    parts = sized.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    whole = parts.groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "root", "size")).alias("main")
+    )
+    fits = filled(F.col("n"), F.col("size")) <= 1
+    rest = filled(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size"))
+    counts = whole.select(
+        "key", F.when(~fits, F.col("main.root")).alias("main"), F.when(fits, 1).otherwise(rest).alias("others"),
+        F.when(fits, 0).otherwise(filled(F.col("main.n"), F.col("main.size"))).alias("mains"),
+    )
+    return written(counts, "chunks")
+
+
+def band_links(bands: DataFrame, chunks: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links ``u, v`` that join all nodes that are alike and share a band of ``key, node, root``, as a written table.
+
+    ``sets`` has the ``minima`` and ``hashes`` of the nodes. Each chunk of a band meets itself and each other one in a block of
+    its own, but for two of its largest component; a block gives at most one link a node: pairs are compared where they
+    are, and are no rows of a table.
+    """
+    is_main = F.col("root").eqNullSafe(F.col("main"))
+    place = F.xxhash64("node")
+    own = F.when(is_main, F.col("others") + F.pmod(place, F.col("mains"))).otherwise(F.pmod(place, F.col("others"))).cast("int")
+    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    met = bands.join(chunks, "key").select("key", "node", "root", own.alias("chunk"), F.explode(F.sequence(F.lit(0), last)).alias("met"))
+    dealt = met.select("key", F.least("chunk", "met").alias("low"), F.greatest("chunk", "met").alias("high"), "chunk", "node", "root")
+    schema = arrow_schema("u bigint, v bigint")
+
+    def compare(block: pa.Table) -> pa.Table:
+        # so that the links do not depend on the order in which rows come
+        block = block.sort_by("node").combine_chunks()
+        node, root, chunk = (block.column(name).to_numpy() for name in ("node", "root", "chunk"))
+        minima, hashes = (block.column(name).combine_chunks() for name in ("minima", "hashes"))
+        least_of = minima.flatten().to_numpy().reshape(block.num_rows, -1)
+        edges = np.concatenate([[0], np.cumsum(hashes.value_lengths().to_numpy())])
+        links = block_links(root, chunk, least_of, hashes.flatten().to_numpy(), edges, least)
+        return pa.Table.from_arrays([pa.array([node[pair[side]] for pair in links], pa.int64()) for side in (0, 1)], schema=schema)
+
+    return written(dealt.join(sets, "node").groupBy("key", "low", "high").applyInArrow(compare, "u bigint, v bigint"), "links")
 
 
 def simhash_pairs(nodes: DataFrame) -> DataFrame:
@@ -197,13 +283,14 @@ def simhash_pairs(nodes: DataFrame) -> DataFrame:
     return pairs.where("u <> v").select("u", "v")
 
 
-def set_components(rows: DataFrame, size: int, least: float, hubs: int = HUBS) -> DataFrame:
+def set_components(rows: DataFrame, size: int, least: float, hubs: int = HUBS, block: int = BLOCK_NODES) -> DataFrame:
     """``node, root`` of every node of ``rows`` (``node, text, keys, minima``) that is not the root of its component.
 
     With a column ``print``, the groups that SimHash makes come first, each node compared with one of its group; the
-    bands then find what is alike but more than 3 bits apart. Of the bands, first each node is compared with one node of each of its bands, the hub, which joins a ball of near
-    copies with as many comparisons as it has nodes. Where large bands then still hold nodes of different
-    components this is done again with other hubs, and at last with all nodes, so no pair of a band is left out.
+    bands then find what is alike but more than 3 bits apart. Of the bands, first each node is compared with one node of
+    each of its bands, the hub, which joins a ball of near copies with as many comparisons as it has nodes. In bands that
+    then still hold nodes of different components all nodes are compared, so no pair of a band is left out: in blocks of
+    ``block`` nodes, and where a band fills several, after the same with other hubs.
     """
     kinds = [name for name in ("print", "keys", "minima") if name in rows.columns]
     nodes = rows.groupBy("node").agg(*[F.first(name).alias(name) for name in kinds])
@@ -216,17 +303,21 @@ def set_components(rows: DataFrame, size: int, least: float, hubs: int = HUBS) -
         held.try_pairs(simhash_pairs(nodes))
     held.try_pairs(keyed.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")))
     still = open_bands(keyed.where("count > 2").select("key", "node"), held.roots)
+    if still.isEmpty():
+        return held.roots
+    sets = shingle_sets(held.texts, still.select("node").distinct(), size).join(held.nodes, "node")
+    chunks = chunk_counts(still, sets, block)
     for turn in range(hubs):
-        if pairs_a_node(still) <= MANY:
+        large = still.join(chunks.where("mains > 0").select("key"), "key")
+        if large.isEmpty():
             break
         order = F.xxhash64("node", F.lit(turn))
-        chosen = still.groupBy("key").agg(F.min(F.struct(order.alias("order"), "node", "root")).alias("hub"))
-        pairs = still.join(chosen, "key").where("root <> hub.root")
+        chosen = large.groupBy("key").agg(F.min(F.struct(order.alias("order"), "node", "root")).alias("hub"))
+        pairs = large.join(chosen, "key").where("root <> hub.root")
         held.try_pairs(pairs.select(F.col("hub.node").alias("u"), F.col("node").alias("v")))
         still = open_bands(still.select("key", "node"), held.roots)
-    left, right = (still.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "root"))) for side in "uv")
-    pairs = left.join(right, "key").where("node_u < node_v and root_u <> root_v")
-    held.try_pairs(pairs.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")))
+        chunks = chunk_counts(still, sets, block)
+    held.join(band_links(still, chunks, sets, least))
     return held.roots
 
 

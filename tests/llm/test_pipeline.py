@@ -128,6 +128,53 @@ def test_near_stage_of_a_ball_that_stays_apart(spark):
     assert kept == slow_near_sets(rows) and 2 < len(kept) < 60
 
 
+def ball_and_strangers(rng):
+    """Texts of a ball that mostly stay apart, near copies of one of them, and other texts."""
+    base = [f"w{rng.randrange(10_000)}" for _ in range(150)]
+    rows = []
+    for _ in range(120):
+        copy = list(base)
+        for place in rng.sample(range(150), rng.choice([3, 4, 5])):
+            copy[place] = f"n{rng.randrange(100_000)}"
+        rows.append(copy)
+    rows += [[*rows[0], *(f"e{number}" for number in range(extra))] for extra in range(1, 30)]
+    rows += [[f"w{rng.randrange(10_000)}" for _ in range(30)] for _ in range(20)]
+    return [(place, " ".join(words)) for place, words in enumerate(rows)]
+
+
+def test_near_stage_compares_a_ball_without_a_row_for_each_pair(spark, monkeypatch):
+    rows = ball_and_strangers(random.Random(11))
+    asked = []
+    joined = near_sets.near_enough
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return joined(pairs, *rest)
+
+    monkeypatch.setattr(near_sets, "near_enough", counted)
+    kept = {row["doc_id"] for row in near_sets.first_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert kept == slow_near_sets(rows) and 20 < len(kept) < 149
+    # each node with one of its SimHash group and one of each band, at most
+    assert sum(asked) < 10 * len(rows)
+
+
+def test_bands_are_compared_whole_in_blocks_of_any_size(spark):
+    rows = ball_and_strangers(random.Random(12))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    signed = near_sets.signatures(docs.coalesce(1), "text", 5)
+    names = near_sets.added_names(docs)
+    signed = written(signed.select("doc_id", "text", *(F.col(names[c]).alias(c) for c in ("node", "keys", "minima"))), "signed")
+    found = []
+    for block, hubs in ((4_000, 3), (7, 1), (40, 0)):
+        roots = {row["node"]: row["root"] for row in near_sets.set_components(signed, 5, 0.8, hubs, block).collect()}
+        groups = defaultdict(set)
+        for row in signed.collect():
+            groups[roots.get(row["node"], row["node"])].add(row["doc_id"])
+        found.append({frozenset(group) for group in groups.values()})
+    assert found[0] == found[1] == found[2]
+    assert {min(group) for group in found[0]} == slow_near_sets(rows)
+
+
 def test_near_stage_of_rows_without_ids_and_of_one_id(spark):
     long = " ".join(f"w{number}" for number in range(100))
     rows = [(None, long, "a"), (None, long + " x", "b"), (5, long + " y", "c"), (5, "another text of one id", "d"), (5, long, "e"),
