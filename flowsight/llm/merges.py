@@ -218,15 +218,22 @@ def lower_ranks(
     return early
 
 
-def merge_words(words: list[bytes], single: np.ndarray, table: MergeTable, last: np.ndarray | None = None) -> list[bytes]:
-    """Packed 32-bit ids of words; ``single`` has the symbols of bytes, ``last`` those of the last byte of a word."""
+def merged_words(
+    words: list[bytes], single: np.ndarray, table: MergeTable, last: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words, one after another, and how many each has; ``single`` has the symbols of bytes, ``last`` those of the last byte of a word."""
     lengths = np.array([len(word) for word in words], np.int64)
     codes = np.frombuffer(b"".join(words), np.uint8)
     symbols = single[codes]
     if last is not None and len(codes):
         ends = np.cumsum(lengths)[lengths > 0] - 1
         symbols[ends] = last[codes[ends]]
-    tokens, counts = replay(symbols, lengths, table)
+    return replay(symbols, lengths, table)
+
+
+def merge_words(words: list[bytes], single: np.ndarray, table: MergeTable, last: np.ndarray | None = None) -> list[bytes]:
+    """Packed 32-bit ids of each word."""
+    tokens, counts = merged_words(words, single, table, last)
     edges = (np.concatenate([[0], np.cumsum(counts)]) * 4).tolist()
     body = tokens.astype("<i4").tobytes()
     return [body[low:high] for low, high in zip(edges, edges[1:])]

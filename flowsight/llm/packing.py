@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from flowsight.llm.batches import arrow_schema, required, slices
-from flowsight.llm.merges import MergeTable, merge_words
-from flowsight.llm.words import Memo, Splitter, blocks, is_latin, only_loaded
+from flowsight.llm.merges import MergeTable, merged_words
+from flowsight.llm.words import IdMemo, Memo, Splitter, blocks, is_latin, only_loaded
 
 WINDOW = 2048
 END_ID = 1
@@ -26,9 +26,11 @@ GROUP_WINDOWS = 128
 PIECE = 256
 # Ids that a window may stay short of its size, so that near-equal windows need not be equal.
 SLACK = 8
-# Words that a worker remembers, and rows that it encodes at a time.
+# Words that a worker remembers, and rows and characters that it encodes at a time: the new words of all of them are merged
+# together, which costs less the more they are.
 WORDS = 250_000
-ROWS = 2_000
+ROWS = 5_000
+CHARS = 24_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -63,16 +65,15 @@ class WordTokens:
         pairs = np.array([(vocabulary[left], vocabulary[right]) for left, right in merges], np.int64)
         results = np.array([vocabulary[left + right] for left, right in merges], np.int32)
         self.table = MergeTable(pairs, np.arange(len(merges), dtype=np.int32), results)
-        self.pieces = Memo(self.encode_pieces, limit=words)
+        self.pieces = IdMemo(self.encode_pieces, limit=words)
         self.units = Memo(self.encode_units, limit=words * 2 // 5)
 
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        return merge_words([piece.encode() for piece in pieces], self.single, self.table, self.last)
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return merged_words([piece.encode() for piece in pieces], self.single, self.table, self.last)
 
     def encode_units(self, units: list[str]) -> list[bytes]:
-        plain = {unit: self.split(unit.lower()) for unit in units if is_latin(unit)}
-        table = self.pieces.table(chain.from_iterable(plain.values()))
-        packed = {unit: b"".join(map(table.__getitem__, pieces)) for unit, pieces in plain.items()}
+        plain = [unit for unit in units if is_latin(unit)]
+        packed = dict(zip(plain, self.pieces.packed(self.split(unit.lower()) for unit in plain)))
         others = [unit for unit in units if unit not in packed]
         for unit, encoded in zip(others, self.whole.encode_batch(others, add_special_tokens=False)):
             packed[unit] = array("I", encoded.ids).tobytes()
@@ -80,13 +81,12 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of whole texts as little-endian 32-bit numbers."""
-        for block in blocks(texts):
+        for block in blocks(texts, CHARS):
             special = [place for place in block if any(token in texts[place] for token in self.added)]
             encoded = self.whole.encode_batch([texts[place] for place in special], add_special_tokens=False)
             done = {place: array("I", found.ids).tobytes() for place, found in zip(special, encoded)}
-            split = {place: self.split(texts[place].lower()) for place in block if place not in done and is_latin(texts[place])}
-            table = self.pieces.table(chain.from_iterable(split.values()))
-            done |= {place: b"".join(map(table.__getitem__, pieces)) for place, pieces in split.items()}
+            plain = [place for place in block if place not in done and is_latin(texts[place])]
+            done |= zip(plain, self.pieces.packed(self.split(texts[place].lower()) for place in plain))
             split = {place: texts[place].replace("\n", " ").split(" ") for place in block if place not in done}
             table = self.units.table(chain.from_iterable(split.values()))
             done |= {place: b"".join(map(table.__getitem__, units)) for place, units in split.items()}

@@ -412,6 +412,22 @@ def test_packing_of_the_pipeline_remembers_few_words():
         assert len(tokens.pieces.young) + len(tokens.pieces.old) <= 2 * (corpus_pipeline.PACKED_WORDS + rows * size)
 
 
+def test_new_words_of_many_texts_are_merged_together():
+    tokens = packing.WordTokens(queries.WORD_VOCABULARY, 1_000)
+    merged, calls = tokens.pieces.compute, []
+    tokens.pieces.compute = lambda pieces: (calls.append(len(pieces)), merged(pieces))[1]
+    letters = str.maketrans("0123456789", "abcdefghij")
+    # 10 million characters, which went in two parts before; then words that are known, forgotten and new
+    rounds = [[f"{'ab ' * 5_000}{number}".translate(letters) for number in range(650)]]
+    rounds += [[f"{low + number} {number} é".translate(letters) for number in range(900)] for low in (0, 500, 3_000, 0)]
+    for number, texts in enumerate(rounds, 1):
+        got = [list(memoryview(ids).cast("I")) for ids in tokens.encode(texts)]
+        assert got == [found.ids for found in tokens.whole.encode_batch(texts, add_special_tokens=False)]
+        assert len(calls) == number
+        assert len(tokens.pieces.young) + len(tokens.pieces.old) <= 2 * (1_000 + 1_801)
+    assert calls[0] == 651 and sum(calls) < sum(len(set(" ".join(texts).split())) for texts in rounds)
+
+
 def test_packing_holds_every_id_once_with_little_padding(spark, docs):
     extra = spark.createDataFrame(list(enumerate([*ODD_TEXTS, "word " * 30_000], 10_000)), DOCS)
     lengths = check_packing(spark, docs.select("doc_id", "text").unionByName(extra))
