@@ -31,6 +31,8 @@ BLOCK_NODES = 4_000
 BLOCK_SHINGLES = 1_000_000
 # Where an open band fills more blocks than one, its nodes are first compared with this many further hubs, one after another.
 HUBS = 3
+# Up to so many nodes (8 bytes each) go to all executors, where they pick the texts asked for; for more all texts are shuffled.
+ASKED = 1_000_000
 # Shingles that are hashed at a time.
 BLOCK = 2_048
 DRAWN = np.random.default_rng(42).integers(0, 1 << 64, size=(2, BANDS * BAND_HASHES), dtype=np.uint64)
@@ -114,6 +116,9 @@ def shingle_sets(texts: DataFrame, asked: DataFrame, size: int) -> DataFrame:
     def convert(columns):
         return {"node": columns[0], "hashes": [shingle_set(text, size).view(np.int64) for text in columns[1]]}
 
+    asked = written(asked, "asked")
+    if asked.count() <= ASKED:
+        asked = F.broadcast(asked)
     # texts of one node have one set, so any of them will do
     found = texts.join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     return written(map_batches(found.select("node", "text"), "node bigint, hashes array<bigint>", convert), "sets")

@@ -175,6 +175,27 @@ def test_bands_are_compared_whole_in_blocks_of_any_size(spark):
     assert {min(group) for group in found[0]} == slow_near_sets(rows)
 
 
+def test_texts_that_are_not_asked_for_are_not_shuffled(spark, monkeypatch):
+    texts = written(spark.createDataFrame([(number, f"text number {number}") for number in range(500)], "node bigint, text string"), "texts")
+    asked = spark.range(0, 500, 7).withColumnRenamed("id", "node")
+    plans, batches = [], near_sets.map_batches
+
+    def planned(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return batches(df, *rest)
+
+    monkeypatch.setattr(near_sets, "map_batches", planned)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64")
+    try:
+        first = {row["node"]: row["hashes"] for row in near_sets.shingle_sets(texts, asked, 5).collect()}
+        monkeypatch.setattr(near_sets, "ASKED", 70)
+        second = {row["node"]: row["hashes"] for row in near_sets.shingle_sets(texts, asked, 5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert first == second and len(first) == 72
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
+
+
 def test_near_stage_of_rows_without_ids_and_of_one_id(spark):
     long = " ".join(f"w{number}" for number in range(100))
     rows = [(None, long, "a"), (None, long + " x", "b"), (5, long + " y", "c"), (5, "another text of one id", "d"), (5, long, "e"),
