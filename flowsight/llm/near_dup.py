@@ -105,8 +105,12 @@ def finer_keys(rows: DataFrame, width: int, variants: bool) -> DataFrame:
 
 
 def verified(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Links among rows of equal keys, each compared on all 64 bits."""
-    pairs = left.select("key", F.col("fp").alias("u")).join(right.select("key", F.col("fp").alias("v")), "key")
+    """Links among rows of equal keys, each compared on all 64 bits.
+
+    The keys were exploded, of which the optimizer knows nothing: it takes 33 rows a fingerprint for one, and would
+    broadcast them all. So both sides are sorted, whatever their estimated size.
+    """
+    pairs = left.select("key", F.col("fp").alias("u")).hint("merge").join(right.select("key", F.col("fp").alias("v")), "key")
     return pairs.where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS)).select("u", "v")
 
 

@@ -71,6 +71,13 @@ def test_dense_ball_loses_no_link(spark, crowd):
     assert got == want
 
 
+def test_exploded_keys_are_not_broadcast(spark, plan_of):
+    # 33 keys of a fingerprint count as one row's bytes by the optimizer's estimate, so a small table seems to fit
+    prints = spark.range(200).select(F.xxhash64("id").alias("fp"))
+    plan = plan_of(near_dup.verified(*near_dup.first_keys(prints)))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (4, "a b"), (None, "a  B"), (None, "solo x"), (5, "word " * 100_000)]
     docs = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], f"{DOCS}, component_id string, fp int")
