@@ -234,3 +234,13 @@ def test_the_entry_works_without_these_operators():
     found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=Path(__file__).parents[2])
     assert found.returncode == 0, found.stderr
     assert found.stdout.split()[1] == "False" and int(found.stdout.split()[0]) > 70
+
+
+def test_simhash_groups_broadcast_no_exploded_keys(spark, plan_of, monkeypatch):
+    plans, roots_of = [], near_sets.component_roots
+    monkeypatch.setattr(near_sets, "component_roots", lambda links: plans.append(plan_of(links)) or roots_of(links))
+    prints = [0, 1, 3, 1 << 40, (1 << 62) - 1]
+    nodes = spark.createDataFrame([(fp, place) for place, fp in enumerate(prints)], "print bigint, node bigint")
+    pairs = {tuple(row) for row in near_sets.simhash_pairs(nodes).collect()}
+    assert {v for _, v in pairs} == {1, 2, 3} and {u for u, _ in pairs} == {0}
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
